@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from affinora import fixtures
 
-FAMILIES = ["bundles"]
+FAMILIES = ["bundles", "industry", "quality"]
 
 
 def _modules():
