@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from affinora import fixtures
 
-FAMILIES = ["bundles", "item_master", "industry", "quality"]
+FAMILIES = ["bundles", "item_master", "datasets", "industry", "quality"]
 
 
 def _modules():

@@ -344,6 +344,7 @@ class Fixtures:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.sf_dir = sf_dir
         self._frames: dict[str, DataFrame] = {}
 

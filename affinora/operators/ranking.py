@@ -62,3 +62,35 @@ def percent_rank_of_known(df: DataFrame, keys: Sequence[str], value: str, name:
     is_null = F.col(value).isNull()
     window = Window.partitionBy(*keys, is_null).orderBy(value)
     return df.withColumn(name, F.when(~is_null, F.percent_rank().over(window)))
+
+
+def distributed_row_number(
+    df: DataFrame, keys: Sequence[str], buckets: Sequence[Column], order: Sequence[Order], name: str, total: str
+) -> DataFrame:
+    """Exact row number (and row total) per key without sorting a key in one task.
+
+    ``buckets`` are ascending functions of the order: rows sort by (buckets, order). Each bucket is
+    numbered on its own; the bucket sizes, a small table, give its offset.
+    """
+    names = [f"_bucket{i}" for i in range(len(buckets))]
+    rows = df.select("*", *[b.alias(n) for b, n in zip(buckets, names)])
+    sizes = rows.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_size"))
+    by_key = Window.partitionBy(*keys)
+    before = by_key.orderBy(*names).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = sizes.select(
+        *keys, *names, (F.sum("_size").over(before) - F.col("_size")).alias("_offset"), F.sum("_size").over(by_key).alias(total)
+    )
+    local = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*_order(order)))
+    numbered = rows.withColumn("_local", local).join(offsets, [*keys, *names])
+    return numbered.withColumn(name, F.col("_offset") + F.col("_local")).drop("_local", "_offset", *names)
+
+
+def ntile_of(row: Column, total: Column, tiles: int) -> Column:
+    """Tile of a row number among ``total`` rows, with the remainder spread over the first tiles."""
+    n = F.lit(tiles).cast("bigint")
+    small = F.call_function("div", total, n)
+    extra = total % n
+    wide = extra * (small + 1)
+    in_wide = F.call_function("div", row - 1, small + 1) + 1
+    in_small = extra + F.call_function("div", row - wide - 1, F.nullif(small, F.lit(0))) + 1
+    return F.when(row <= wide, in_wide).otherwise(in_small)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import os
 import sys
@@ -63,7 +64,8 @@ def main(argv):
     from affinora.session import local_session
 
     spark = local_session(8)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
+    logging.disable(logging.CRITICAL)
     sf_dir = f"/root/testdata/sf{sf}"
     con = duck(sf_dir)
     queries, oracle = catalog.queries(), catalog.oracle_sql()
@@ -80,7 +82,7 @@ def main(argv):
                 n = df.count()
                 ok, why = True, "rows only"
         except Exception as exc:  # report and go on
-            ok, why, n = False, f"{type(exc).__name__}: {str(exc)[:700]}", -1
+            ok, why, n = False, f"{type(exc).__name__}: {str(exc)[:300]}", -1
         bad += not ok
         print(f"{'ok  ' if ok else 'FAIL'} {name:34s} rows={n:<8d} {time.time() - start:6.2f}s {why}", flush=True)
     print(f"{bad} failing")
