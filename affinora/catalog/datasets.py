@@ -10,6 +10,7 @@ from affinora.operators import quality
 from affinora.plans import datasets as D
 from affinora.plans import models as R
 from affinora.plans import reporting as Q
+from affinora.session import cut_lineage
 from affinora.streaming import monitor as S
 
 QUERIES: dict = {}
@@ -28,7 +29,8 @@ def _add(name, fn, sql=None):
 
 def _items_dataset(fx):
     base = fx.base_item.join(IM._dates(fx), ["item", "country"], "left")
-    return D.items_dataset(base, IM._high_value(fx), IM._bulk(fx), IM._ratings(fx), IM._complexity(fx))
+    proxies = [cut_lineage(p(fx)) for p in (IM._high_value, IM._bulk, IM._ratings, IM._complexity)]
+    return D.items_dataset(base, *proxies)
 
 
 _add("items_dataset", lambda fx: tidy(_items_dataset(fx)),
@@ -98,6 +100,18 @@ def _engaged(fx, kinds=None, exclude_search=True):
     return D.engagement(_raw(fx), fx.user_identifier, _consent(fx), SINCE, UNTIL, kinds, exclude_search)
 
 
+def _cut(fx, name, build):
+    """Build a shared stage once per query and keep it in reliable storage for its later uses."""
+    stages = fx.__dict__.setdefault("stages", {})
+    if name not in stages:
+        stages[name] = cut_lineage(build(fx))
+    return stages[name]
+
+
+def _shared(fx):
+    return _cut(fx, "interactions", _interactions)
+
+
 def _interactions(fx):
     return D.interactions_dataset(_engaged(fx), fx.customer_profile, {"7": "70"})
 
@@ -137,16 +151,16 @@ _add("resolve_identity", lambda fx: tidy(D.resolve_identity(fx.item_event, fx.us
 _add("interactions_dataset", lambda fx: tidy(_interactions(fx)), f"with {INTER} select * from interactions")
 
 _SEG = ["Business", "Consumer", "Unknown"]
-_add("qa_users", lambda fx: tidy(D.qa_report(_users(fx), ["user_id", "lifecycle_segment"], ["user_id"],
+_add("qa_users", lambda fx: tidy(D.qa_report(_cut(fx, "users", _users), ["user_id", "lifecycle_segment"], ["user_id"],
         {"master_segment": ["Business", "Unknown"], "industry": ["AUTOMOBILE", "BUILDING", "HOUSEHOLD"]}, {"booking_budget_category": list(range(1, 9))})),
      f"""with {USERS} select 'domain' as "check", 'master_segment' as column_name, master_segment as value, count(*) as n from users where master_segment not in ('Business', 'Unknown') group by 3
  union all select 'domain', 'industry', industry, count(*) from users where industry not in ('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD') group by 3
  union all select 'exact_domain', 'booking_budget_category', cast(b as string), null from unnest(range(1, 9)) t(b) where b not in (select booking_budget_category from users)""")
-_add("qa_interactions", lambda fx: tidy(D.qa_report(_interactions(fx), ["item_id", "user_id", "timestamp", "event_type"], None,
+_add("qa_interactions", lambda fx: tidy(D.qa_report(_shared(fx), ["item_id", "user_id", "timestamp", "event_type"], None,
         {"page_section": ["Product Page", "Studio", "Gallery", "Cart"]}, {"event_type": ["productView", "purchase", "click", "addToCart", "addToFavorites", "share"]})),
      f"""with {INTER} select 'domain' as "check", 'page_section' as column_name, page_section as value, count(*) as n from interactions where page_section not in ('Product Page', 'Studio', 'Gallery', 'Cart') group by 3
  union all select 'exact_domain', 'event_type', 'share', null""")
-_add("qa_items", lambda fx: tidy(D.qa_report(_items_dataset(fx), ["item", "is_accessory"], ["region", "item"], {"bulk": ["1_high", "2_medium", "3_low", "4_least"]}, {"is_accessory": [0, 1]}, ["min_unit_price"])),
+_add("qa_items", lambda fx: tidy(D.qa_report(_cut(fx, "items", _items_dataset), ["item", "is_accessory"], ["region", "item"], {"bulk": ["1_high", "2_medium", "3_low", "4_least"]}, {"is_accessory": [0, 1]}, ["min_unit_price"])),
      f"""with {IM.BULK} select 'domain' as "check", 'bulk' as column_name, '5_unknown' as value, count(*) as n
  from (select distinct region, item from base_item) b where (region, item) not in (select region, item from bulk) having count(*) > 0""")
 
@@ -156,7 +170,7 @@ _ENG = f"{RAW}, {engaged_sql(False)}, browsed as (select * from engaged where ki
 
 
 def _browsed(fx):
-    return _engaged(fx, ["view", "click"], False)
+    return _cut(fx, "browsed", lambda f: _engaged(f, ["view", "click"], False))
 
 
 _CLICKS = "clicks as (select locale, item_id, count(*) as clicks, row_number() over (partition by locale order by count(*) desc, item_id) as click_rank from browsed group by 1, 2)"
@@ -175,7 +189,7 @@ def _versions(fx):
 
 
 def _served(fx):
-    return R.popularity_count(_interactions(fx)).withColumn("solution", F.concat(F.lit("sol"), F.substring("locale", 2, 2)))
+    return R.popularity_count(_shared(fx)).withColumn("solution", F.concat(F.lit("sol"), F.substring("locale", 2, 2)))
 
 
 _POP = """popular as (select * from (select locale, item_id, count(*) as score, row_number() over (partition by locale order by count(*) desc, item_id) as rank
@@ -215,7 +229,7 @@ _add("engaged_subcategories", lambda fx: tidy(_subs(fx).withColumn("subcategorie
 
 def _overlap(fx):
     cats = fx.product.select(F.col("item").cast("string").alias("item_id"), "subcategory")
-    recs = R.popularity_count(_interactions(fx), 5).join(cats, "item_id", "left")
+    recs = R.popularity_count(_shared(fx), 5).join(cats, "item_id", "left")
     users = _sample(fx).select("user_id", F.col("user_locale").alias("locale"))
     return Q.engaged_overlap(recs.join(users, "locale"), _subs(fx)).select("locale", "user_id", "item_id", "rank", "subcategory", "band", "engaged_flag")
 
@@ -258,11 +272,11 @@ _add("feature_timeline", lambda fx: tidy(Q.feature_timeline(_snapshots(fx), [1,
 
 # --- models ---------------------------------------------------------------------------------
 
-_add("popularity_count", lambda fx: tidy(R.popularity_count(_interactions(fx))), f"with {INTER}, {_POP} select * from popular")
+_add("popularity_count", lambda fx: tidy(R.popularity_count(_shared(fx))), f"with {INTER}, {_POP} select * from popular")
 
 
 def _similar(fx):
-    rows = _interactions(fx).join(fx.country_region.select(F.col("country").alias("locale"), "region"), "locale")
+    rows = _shared(fx).join(fx.country_region.select(F.col("country").alias("locale"), "region"), "locale")
     return R.item_to_item(rows, 4, 0.5, 20, "region")
 
 
@@ -282,7 +296,7 @@ def _allowed(fx):
 
 
 def _filtered(fx):
-    return R.serve_with_filter(R.popularity_count(_interactions(fx), 50).select("locale", "item_id", "rank"), _allowed(fx), ["locale"])
+    return R.serve_with_filter(R.popularity_count(_shared(fx), 50).select("locale", "item_id", "rank"), _allowed(fx), ["locale"])
 
 
 _FILTERED = """pop50 as (select * from (select locale, item_id, row_number() over (partition by locale order by count(*) desc, item_id) as rank
@@ -293,7 +307,7 @@ _add("serve_with_filter", lambda fx: tidy(_filtered(fx)), f"with {INTER}, {_FILT
 
 
 def _invariants(fx):
-    unfiltered = R.popularity_count(_interactions(fx), 50).select("locale", "item_id", "rank")
+    unfiltered = R.popularity_count(_shared(fx), 50).select("locale", "item_id", "rank")
     regions = fx.country_region.select(F.col("region").alias("locale")).distinct()
     partners = regions.select("locale", F.lit("1").alias("source"), F.lit("2").alias("target"))
     forbidden = fx.base_item.filter("is_accessory = 1").select(F.col("country").alias("locale"), F.col("item").cast("string").alias("item_id"))

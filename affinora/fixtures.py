@@ -349,7 +349,7 @@ class Fixtures:
         self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name.startswith("_") or name == "stages":
             raise AttributeError(name)
         return self.view(name)
 

@@ -105,18 +105,23 @@ def users_dataset(orders: DataFrame, customers: DataFrame, countries: DataFrame,
 def resolve_identity(events: DataFrame, identifiers: DataFrame, consent: DataFrame | None = None) -> DataFrame:
     """Give every event its user id; anonymous ones go through their canonical id; unresolved ones drop out.
 
-    Known and anonymous events take separate branches, so no join sees a mass of null keys.
-    ``consent`` (user_id, functional_consent) removes known users who declined.
+    Rows that a join does not concern carry a key made from their event id, so no join meets a mass of
+    null keys. ``consent`` (user_id, functional_consent) removes known users who declined.
     """
-    known = events.filter(F.col("user_id").isNotNull())
+    anonymous = identifiers.filter("type = 'anonymous_id'").select(F.concat(F.lit("a:"), "value").alias("_key"), "canonical_id")
+    users = identifiers.filter("type = 'user_id'").select(F.col("value").alias("_linked"), "canonical_id")
+    link = anonymous.join(users, "canonical_id").select("_key", "_linked")
+    spread = F.concat(F.lit("e:"), F.col("event_id").cast("string"))
+    known = F.col("user_id").isNotNull()
+    rows = events
     if consent is not None:
-        declined = consent.filter("functional_consent = 0").select("user_id").distinct()
-        known = known.join(declined, "user_id", "left_anti")
-    anonymous = identifiers.filter("type = 'anonymous_id'").select(F.col("value").alias("anonymous_id"), "canonical_id")
-    users = identifiers.filter("type = 'user_id'").select(F.col("value").alias("user_id"), "canonical_id")
-    link = anonymous.join(users, "canonical_id").select("anonymous_id", "user_id")
-    found = events.filter(F.col("user_id").isNull()).drop("user_id").join(link, "anonymous_id")
-    return known.select(*events.columns).unionByName(found.select(*events.columns)).filter(~F.col("user_id").like("%@%"))
+        declined = consent.filter("functional_consent = 0").select(F.concat(F.lit("u:"), "user_id").alias("_key")).distinct()
+        own = F.when(known, F.concat(F.lit("u:"), "user_id")).otherwise(spread)
+        rows = rows.withColumn("_key", own).join(declined, "_key", "left_anti").drop("_key")
+    key = F.when(~known, F.concat(F.lit("a:"), F.coalesce("anonymous_id", spread))).otherwise(spread)
+    resolved = rows.withColumn("_key", key).join(link, "_key", "left")
+    resolved = resolved.withColumn("user_id", F.coalesce("user_id", "_linked")).select(*events.columns)
+    return resolved.filter(F.col("user_id").isNotNull() & ~F.col("user_id").like("%@%"))
 
 
 _VIEW_SECTIONS_CLICK = ["Gallery", "Studio"]
@@ -156,7 +161,7 @@ def explode_orders(events: DataFrame) -> DataFrame:
     products = F.transform(F.from_json("products", "array<struct<product_id:string>>"), lambda p: p["product_id"])
     ids = F.when(F.col("kind") == "order", products).otherwise(F.array("item_id"))
     cols = [c for c in events.columns if c not in ("item_id", "products")]
-    return events.select(*cols, F.explode(ids).alias("item_id"))
+    return events.select(*cols, F.posexplode(ids).alias("position", "item_id"))
 
 
 def engagement(
@@ -174,25 +179,33 @@ def engagement(
     rows = resolve_identity(explode_orders(rows.filter(in_time)).filter(eligible(exclude_search)), identifiers, consent)
 
     is_view, section = F.col("kind") == "view", F.col("page_section")
-    views = rows.filter(is_view)
-    firsts = views.groupBy("page_search").agg(F.min("ts").alias("_first")).select(F.col("page_search").alias("_search"), "_first")
-    configure = views.filter(section == _CONFIGURE).join(
-        firsts, F.col("page_search").eqNullSafe(F.col("_search")) & (F.col("ts") == F.col("_first")), "left_semi"
-    )
-    browse = ranking.latest(
-        views.filter(section.isin(_VIEW_SECTIONS_CLICK)), ["visit", "item_id", "page_section"], [F.asc("ts"), F.asc("event_id"), F.asc("user_id")]
-    )
-    plain = rows.filter(~is_view | (section == "Product Page"))
-    kept = plain.unionByName(configure).unionByName(browse)
+    is_configure = is_view & (section == _CONFIGURE)
+    is_browse = is_view & section.isin(_VIEW_SECTIONS_CLICK)
+    firsts = rows.filter(is_view).groupBy(F.col("page_search").alias("_search")).agg(F.min("ts").alias("_first"))
+    rows = rows.join(firsts, F.col("page_search").eqNullSafe(F.col("_search")) & (F.col("ts") == F.col("_first")), "left")
+    rows = rows.filter(~is_configure | F.col("_first").isNotNull())
+
+    # One aggregate does both jobs: a browse view keeps its first row per visit, item and section,
+    # everything else is distinct on its output columns (ordered products stay row by row).
+    first = F.struct("ts", "event_id", "user_id", "country")
+    own = ~is_browse
+    keys = [
+        F.col("kind"), F.col("item_id"), F.col("page_section"), F.when(is_browse, F.col("visit")).alias("_visit"),
+        F.when(own, F.col("user_id")).alias("_user"), F.when(own, F.unix_seconds(F.col("ts").cast("timestamp"))).alias("_second"),
+        F.when(own, F.col("country")).alias("_country"),
+        F.when(F.col("kind") == "order", F.struct("event_id", "position", "user_id")).alias("_order_row"),
+    ]
+    kept = rows.groupBy(*keys).agg(F.min(first).alias("f"))
     event_type = (
-        F.when(is_view & (section == _CONFIGURE), "addToCart").when(is_view & section.isin(_VIEW_SECTIONS_CLICK), "click")
+        F.when(is_configure, "addToCart").when(is_browse, "click")
         .when(is_view, "productView").when(F.col("kind") == "cart", "addToCart").when(F.col("kind") == "wish", "addToFavorites")
         .when(F.col("kind") == "order", "purchase").otherwise("click")
     )
-    cols = ["kind", "user_id", "item_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"), "page_section", F.col("country").alias("locale"), event_type.alias("event_type")]
-    shaped = kept.select(*cols)
-    # every kind but orders keeps distinct rows
-    return shaped.filter("kind <> 'order'").distinct().unionByName(shaped.filter("kind = 'order'"))
+    shaped = kept.select(
+        "_order_row", "kind", F.col("f.user_id").alias("user_id"), "item_id", F.unix_seconds(F.col("f.ts").cast("timestamp")).alias("timestamp"),
+        "page_section", F.col("f.country").alias("locale"), event_type.alias("event_type"),
+    )
+    return shaped.distinct().drop("_order_row")
 
 
 def interactions_dataset(engaged: DataFrame, customers: DataFrame, remap: dict[str, str] | None = None) -> DataFrame:
