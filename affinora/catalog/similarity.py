@@ -376,7 +376,8 @@ _IDS = [f"cfg{i}" for i in range(0, 500, 25)]
 
 
 def _topk(fx):
-    rows = _sided(fx).withColumn("color_distance", 1 - color.color_similarity(color.hex_to_lab(F.col("source_color_hex")), color.hex_to_lab(F.col("target_color_hex"))))
+    rows = _sided(fx).withColumns({"_a": color.hex_to_lab(F.col("source_color_hex")), "_b": color.hex_to_lab(F.col("target_color_hex"))})
+    rows = rows.withColumn("color_distance", 1 - color.color_similarity(F.col("_a"), F.col("_b")))
     return S.topk_similar(rows, _IDS, 5)
 
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from affinora.functions.binding import let
+
 # fixed values: sRGB to XYZ matrix, D65 white point, CIE constants, CMC l:c = 2:1
 SRGB_TO_XYZ = ((0.4124564, 0.3575761, 0.1804375), (0.2126729, 0.7151522, 0.0721750), (0.0193339, 0.1191920, 0.9503041))
 WHITE_D65 = (0.95047, 1.0, 1.08883)
@@ -124,22 +126,31 @@ def color_similarity(first_lab: Column, second_lab: Column) -> Column:
 
 def nearest_basic_color(lab: Column) -> Column:
     """Name of the nearest anchor; the earlier anchor wins a tie."""
-    anchors = []
-    for name, codes in BASIC_COLORS.items():
-        for code in codes:
-            l, a, b = lab_of(code)
-            anchors.append(F.struct(
-                F.lit(len(anchors)).alias("pos"), F.lit(name).alias("name"), F.lit(l).alias("l"), F.lit(a).alias("a"), F.lit(b).alias("b")
-            ))
-    scored = F.transform(F.array(*anchors), lambda x: F.struct(delta_e_cmc(lab, x).alias("d"), x["pos"].alias("pos"), x["name"].alias("name")))
-    return F.array_min(scored)["name"]
+    codes = [(name, lab_of(code)) for name, codes in BASIC_COLORS.items() for code in codes]
+    anchors = F.expr("array(" + ", ".join(
+        f"named_struct('pos', {i}, 'name', '{name}', 'l', {l!r}D, 'a', {a!r}D, 'b', {b!r}D)" for i, (name, (l, a, b)) in enumerate(codes)
+    ) + ")")
+
+    def nearest(own: Column) -> Column:
+        scored = F.transform(anchors, lambda x: F.struct(delta_e_cmc(own, x).alias("d"), x["pos"].alias("pos"), x["name"].alias("name")))
+        return F.array_min(scored)["name"]
+
+    return let(lab, nearest)
 
 
 def nearest_css_color(hex_color: Column) -> Column:
     """CSS keyword with the smallest squared RGB distance; the alphabetically first wins a tie."""
-    r, g, b = (channel(hex_color, i) for i in range(3))
-    palette = []
-    for name, code in sorted(CSS_COLORS.items()):
-        cr, cg, cb = (int(code[i : i + 2], 16) for i in (1, 3, 5))
-        palette.append(F.struct(((r - cr) * (r - cr) + (g - cg) * (g - cg) + (b - cb) * (b - cb)).alias("d"), F.lit(name).alias("name")))
-    return F.array_min(F.array(*palette))["name"]
+    rgb = F.struct(*[channel(hex_color, i).alias(c) for i, c in enumerate("rgb")])
+    palette = F.expr("array(" + ", ".join(
+        "named_struct('r', {}, 'g', {}, 'b', {}, 'name', '{}')".format(*(int(code[i : i + 2], 16) for i in (1, 3, 5)), name)
+        for name, code in CSS_COLORS.items()
+    ) + ")")
+
+    def nearest(own: Column) -> Column:
+        def distance(x: Column) -> Column:
+            gaps = [own[c] - x[c] for c in "rgb"]
+            return gaps[0] * gaps[0] + gaps[1] * gaps[1] + gaps[2] * gaps[2]
+
+        return F.array_min(F.transform(palette, lambda x: F.struct(distance(x).alias("d"), x["name"].alias("name"))))["name"]
+
+    return let(rgb, nearest)

@@ -29,8 +29,11 @@ def none_to_null(c: Column) -> Column:
 
 def translate_values(c: Column, table: dict[str, str | None]) -> Column:
     """Replace exact values by a small dictionary; a null target clears the value."""
-    mapping = F.create_map(*[F.lit(x).cast("string") for pair in table.items() for x in pair])
-    return F.when(c.isin(list(table)), F.try_element_at(mapping, c)).otherwise(c)
+    def quoted(x: str | None) -> str:
+        return "cast(null as string)" if x is None else '"' + x.replace('"', '\\"') + '"'
+
+    mapping = F.expr("map(" + ", ".join(f"{quoted(k)}, {quoted(v)}" for k, v in table.items()) + ")")
+    return F.when(F.map_contains_key(mapping, c), F.try_element_at(mapping, c)).otherwise(c)
 
 
 def sentence(template: str) -> Column:

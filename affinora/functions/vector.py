@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from affinora.functions.binding import let
+
 
 def as_double(v: Column) -> Column:
     return v.cast("array<double>")
@@ -26,8 +28,7 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def normalised(v: Column) -> Column:
-    n = norm(v)
-    return F.transform(as_double(v), lambda x: F.try_divide(x, n))
+    return let(norm(v), lambda n: F.transform(as_double(v), lambda x: F.try_divide(x, n)))
 
 
 def tokens(text: Column) -> Column:
@@ -40,15 +41,24 @@ def text_embedding(text: Column, dim: int) -> Column:
     Empty text gives zeros. One fold over the tokens; no per-bucket scan.
     """
 
-    def add(acc: Column, token: Column) -> Column:
+    def code(token: Column) -> Column:
+        """Bucket number from 1, negative for a negative count."""
         digest = F.md5(token)
-        bucket = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim).cast("int")
-        sign = F.when(F.conv(F.substring(digest, 9, 1), 16, 10).cast("int") % 2 == 0, 1.0).otherwise(-1.0)
-        return F.transform(acc, lambda x, i: F.when(i == bucket, x + sign).otherwise(x))
+        bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim + 1
+        odd = F.substring(digest, 9, 1).isin("1", "3", "5", "7", "9", "b", "d", "f")
+        return F.when(odd, -bucket).otherwise(bucket).cast("int")
+
+    def add(acc: Column, c: Column) -> Column:
+        return F.transform(acc, lambda x, i: F.when(i + 1 == F.abs(c), x + F.signum(c)).otherwise(x))
+
+    codes = F.transform(tokens(F.coalesce(text, F.lit(""))), code)
+    counts = F.aggregate(codes, F.array_repeat(F.lit(0.0), dim), add)
+
+    def scaled(v: Column) -> Column:
+        length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+        return let(length, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
 
-    counts = F.aggregate(tokens(F.coalesce(text, F.lit(""))), F.array_repeat(F.lit(0.0), dim), add)
-    length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(counts, lambda x: F.when(length > 0, x / length).otherwise(0.0))
+    return let(counts, scaled)
 
 
 def seeded_weight(seed: str, row: int, column: int, scale: float = 1.0) -> float:
@@ -57,15 +67,12 @@ def seeded_weight(seed: str, row: int, column: int, scale: float = 1.0) -> float
     return round((int(digest[:8], 16) / 0xFFFFFFFF * 2.0 - 1.0) * scale, 9)
 
 
-def seeded_dense(inputs: Sequence[Column], dim: int, seed: str) -> Column:
-    """Fixed random layer with ReLU: max(0, W x)."""
-    units = []
-    for j in range(dim):
-        total = inputs[0] * seeded_weight(seed, 0, j)
-        for i in range(1, len(inputs)):
-            total = total + inputs[i] * seeded_weight(seed, i, j)
-        units.append(F.greatest(total, F.lit(0.0)))
-    return F.array(*units)
+def seeded_dense(inputs: Sequence[str], dim: int, seed: str) -> Column:
+    """Fixed random layer with ReLU over numeric columns: max(0, W x)."""
+    units = [
+        "greatest(" + " + ".join(f"`{c}` * {seeded_weight(seed, i, j)!r}D" for i, c in enumerate(inputs)) + ", 0D)" for j in range(dim)
+    ]
+    return F.expr(f"array({', '.join(units)})")
 
 
 def category_lookup(value: Column, dim: int, seed: str, scale: float = 0.05) -> Column:

@@ -137,19 +137,22 @@ class Vocabulary:
     def agrees(self, source: Column, target: Column) -> Column:
         """1 or 0; null when a value is missing or undefined."""
         s, t = F.upper(source), F.upper(target)
-        hit = F.arrays_overlap(F.try_element_at(_map(self.accepted()), s), _groups_of(self, t))
+        accepted = F.try_element_at(literal_map(self.accepted()), s)
+        member = F.try_element_at(literal_map({v: self.membership().get(v, []) for v in self.values()}), t)
+        hit = F.arrays_overlap(accepted, member)
         for a, b in self.rejected:
             hit = hit & ~((s == a) & (t == b))
-        defined = s.isin(self.values()) & t.isin(self.values())
-        return F.when(defined, F.coalesce(hit, F.lit(False)).cast("int"))
+        return F.when(accepted.isNotNull() & member.isNotNull(), F.coalesce(hit, F.lit(False)).cast("int"))
 
 
-def _map(table: dict[str, list[str]]) -> Column:
-    return F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.array(*[F.lit(g) for g in v]))])
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _groups_of(vocabulary: Vocabulary, value: Column) -> Column:
-    return F.try_element_at(_map(vocabulary.membership()), value)
+def literal_map(table: dict[str, list[str]]) -> Column:
+    """Constant map as one SQL text: one expression to build instead of one per entry."""
+    entries = [f"{sql_text(k)}, cast(array({', '.join(map(sql_text, v))}) as array<string>)" for k, v in table.items()]
+    return F.expr(f"map({', '.join(entries)})")
 
 
 class _Words(Vocabulary):

@@ -265,7 +265,7 @@ def config_embeddings(configs: DataFrame, encoder: Encoder = vector.text_embeddi
     d = dims or config.EMBEDDING_DIMS
     numeric = ["unit_price", "l_color", "a_color", "b_color", "back_pockets", "panels"]
     rows = standardised(attribute_sentences(color_features(configs)), numeric)
-    scaled = [F.col(f"{c}_scaled") for c in numeric]
+    scaled = [f"{c}_scaled" for c in numeric]
     parts = rows.select(
         *configs.columns, "color_name", "type_text", "gender_text", "sleeve_text", "other_text",
         encoder(F.col("type_text"), d["type"]).alias("type_vector"),

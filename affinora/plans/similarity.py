@@ -79,7 +79,7 @@ def similar_pairs(
         rows.filter("_is_target").withColumnsRenamed({"product_group": "_target_group", "_band": "_tband"})
         .join(block_pairs, ["market", "_target_group", "_tband"]).withColumn("_t", slot("_n_target"))
         .withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_n_source") - 1)))
-        .select(*key, "id", "product_key", "_unit")
+        .select(*[F.col(c).alias(f"t{c}") for c in (*key, "id", "product_key", "_unit")])
     )
 
     def multiply(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -87,8 +87,8 @@ def similar_pairs(
                               "target": pd.Series(dtype=str), "similarity": pd.Series(dtype=float)})
         if a.empty or b.empty:
             return empty
-        left_m, right_m = np.stack(a["_unit"].to_numpy()), np.stack(b["_unit"].to_numpy())
-        right_keys = b["product_key"].to_numpy()
+        left_m, right_m = np.stack(a["_unit"].to_numpy()), np.stack(b["t_unit"].to_numpy())
+        right_keys = b["tproduct_key"].to_numpy()
         out = []
         step = 512
         for start in range(0, len(a), step):
@@ -96,12 +96,12 @@ def similar_pairs(
             keep = (scores > threshold) & (a["product_key"].to_numpy()[start : start + step, None] != right_keys[None, :])
             i, j = np.nonzero(keep)
             out.append(pd.DataFrame({
-                "market": a["market"].iloc[0], "source": a["id"].to_numpy()[start + i], "target": b["id"].to_numpy()[j],
+                "market": a["market"].iloc[0], "source": a["id"].to_numpy()[start + i], "target": b["tid"].to_numpy()[j],
                 "similarity": scores[i, j],
             }))
         return pd.concat(out, ignore_index=True)
 
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+    return left.groupBy(*key).cogroup(right.groupBy(*[f"t{c}" for c in key])).applyInPandas(
         multiply, "market string, source string, target string, similarity double"
     )
 
@@ -165,9 +165,10 @@ def attribute_precision(pairs: DataFrame, relevant: dict[str, list[str]] | None
         cols[f"{name}_eval"] = F.when(
             vocab.is_relevant(group, name, relevant), vocabulary.agrees(F.col(f"source_{name}"), F.col(f"target_{name}"))
         )
-    shade = color.color_similarity(color.hex_to_lab(F.col("source_color_hex")), color.hex_to_lab(F.col("target_color_hex")))
+    shade = color.color_similarity(F.col("_a"), F.col("_b"))
     cols["color_eval"] = F.when(vocab.is_relevant(group, "color", relevant), shade)
-    return pairs.withColumns(cols)
+    labs = pairs.withColumns({"_a": color.hex_to_lab(F.col("source_color_hex")), "_b": color.hex_to_lab(F.col("target_color_hex"))})
+    return labs.withColumns(cols).drop("_a", "_b")
 
 
 def precision_at_k(evaluated: DataFrame, ks: Sequence[int] = (5, 10, 15)) -> DataFrame:
