@@ -99,24 +99,45 @@ def lab_of(hex_color: str) -> tuple[float, float, float]:
     return 116 * fy - 16, 500 * (fx - fy), 200 * (fy - fz)
 
 
+def cmc_standard(lab: Column) -> Column:
+    """Everything the CMC difference needs of the standard colour, computed once."""
+    l, a, b = lab["l"], lab["a"], lab["b"]
+
+    def of_chroma(c: Column) -> Column:
+        angle = F.degrees(F.atan2(b, a))
+        hue = F.when(angle < 0, angle + 360.0).otherwise(angle)
+
+        def of_hue(h: Column) -> Column:
+            t = F.when(h.between(164.0, 345.0), F.abs(F.cos(F.radians(h + 168.0)) * 0.2) + 0.56).otherwise(
+                F.abs(F.cos(F.radians(h + 35.0)) * 0.4) + 0.36
+            )
+            c4 = F.pow(c, F.lit(4.0))
+            f = F.sqrt(c4 / (c4 + 1900.0))
+            sl = F.when(l < 16.0, F.lit(0.511)).otherwise(l * 0.040975 / (l * 0.01765 + 1.0))
+            sc = c * 0.0638 / (c * 0.0131 + 1.0) + 0.638
+            return F.struct(
+                l.alias("l"), a.alias("a"), b.alias("b"), c.alias("c"), (sl * CMC_LIGHTNESS).alias("sl"),
+                (sc * CMC_CHROMA).alias("sc"), (sc * (f * t + 1.0 - f)).alias("sh"),
+            )
+
+        return let(hue, of_hue)
+
+    return let(F.sqrt(a * a + b * b), of_chroma)
+
+
+def cmc_distance(standard: Column, sample: Column) -> Column:
+    """CMC(2:1) difference of a prepared standard and a Lab struct."""
+    da, db = standard["a"] - sample["a"], standard["b"] - sample["b"]
+    dl = standard["l"] - sample["l"]
+    dc = standard["c"] - F.sqrt(sample["a"] * sample["a"] + sample["b"] * sample["b"])
+    dh2 = F.greatest(da * da + db * db - dc * dc, F.lit(0.0))
+    x, y = dl / standard["sl"], dc / standard["sc"]
+    return F.sqrt(x * x + y * y + dh2 / (standard["sh"] * standard["sh"]))
+
+
 def delta_e_cmc(first: Column, second: Column) -> Column:
     """CMC(2:1) difference of two Lab structs; the first is the standard."""
-    l1, a1, b1 = first["l"], first["a"], first["b"]
-    l2, a2, b2 = second["l"], second["a"], second["b"]
-    c1, c2 = F.sqrt(a1 * a1 + b1 * b1), F.sqrt(a2 * a2 + b2 * b2)
-    dl, dc = l1 - l2, c1 - c2
-    dh2 = F.greatest((a1 - a2) * (a1 - a2) + (b1 - b2) * (b1 - b2) - dc * dc, F.lit(0.0))
-    angle = F.degrees(F.atan2(b1, a1))
-    hue = F.when(angle < 0, angle + 360.0).otherwise(angle)
-    t = F.when(
-        hue.between(164.0, 345.0), F.abs(F.cos(F.radians(hue + 168.0)) * 0.2) + 0.56
-    ).otherwise(F.abs(F.cos(F.radians(hue + 35.0)) * 0.4) + 0.36)
-    c4 = F.pow(c1, F.lit(4.0))
-    f = F.sqrt(c4 / (c4 + 1900.0))
-    sl = F.when(l1 < 16.0, F.lit(0.511)).otherwise(l1 * 0.040975 / (l1 * 0.01765 + 1.0))
-    sc = c1 * 0.0638 / (c1 * 0.0131 + 1.0) + 0.638
-    sh = sc * (f * t + 1.0 - f)
-    return F.sqrt(F.pow(dl / (sl * CMC_LIGHTNESS), F.lit(2.0)) + F.pow(dc / (sc * CMC_CHROMA), F.lit(2.0)) + dh2 / (sh * sh))
+    return let(cmc_standard(first), lambda s: cmc_distance(s, second))
 
 
 def color_similarity(first_lab: Column, second_lab: Column) -> Column:
@@ -132,10 +153,10 @@ def nearest_basic_color(lab: Column) -> Column:
     ) + ")")
 
     def nearest(own: Column) -> Column:
-        scored = F.transform(anchors, lambda x: F.struct(delta_e_cmc(own, x).alias("d"), x["pos"].alias("pos"), x["name"].alias("name")))
+        scored = F.transform(anchors, lambda x: F.struct(cmc_distance(own, x).alias("d"), x["pos"].alias("pos"), x["name"].alias("name")))
         return F.array_min(scored)["name"]
 
-    return let(lab, nearest)
+    return let(cmc_standard(lab), nearest)
 
 
 def nearest_css_color(hex_color: Column) -> Column:
