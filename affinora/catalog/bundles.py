@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinora.catalog.common import SINCE_ALL, tidy
+from affinora.catalog.common import SINCE_ALL, stage, tidy
 from affinora.plans import bundles as B
 
 QUERIES: dict = {}
@@ -43,17 +43,21 @@ def _step1(fx):
 
 
 def _step2(fx):
-    return B.fallback_fill(_step1(fx), _view_rules(fx), _universe(fx), _accessories(fx))
+    return B.fallback_fill(stage(fx, "step1", _step1), _view_rules(fx), _universe(fx), _accessories(fx))
 
 
 def _step3(fx):
-    return B.donor_fill(_step1(fx), _step2(fx), _universe(fx))
+    return B.donor_fill(stage(fx, "step1", _step1), stage(fx, "step2", _step2), _universe(fx))
 
 
 def _final(fx):
     return B.min_list_length(B.exclude_same_category(_step3(fx), _items(fx)))
 
 
+def _final_stage(fx):
+    return stage(fx, "final", _final)
+
+
 def _countries(fx):
     return fx.country_region.select(F.upper("region").alias("locale"), "country")
 
@@ -64,7 +68,7 @@ def _base(fx):
 
 def _served(fx):
     """Model output as comma lists: the step-1 lists, with every third source on the locale's default list."""
-    rows = _step1(fx)
+    rows = stage(fx, "step1", _step1)
     texts = rows.groupBy("locale", "source").agg(B.lists.ordered_text("rank", "target", ", ").alias("own"))
     return texts.select(
         "locale", F.col("source").cast("string").alias("source"),
@@ -77,7 +81,7 @@ def _allowed(fx):
 
 
 def _subset(fx):
-    return B.subset_and_backfill(B.default_list_flag(_served(fx)), _allowed(fx), _rules(fx), _accessories(fx))
+    return B.subset_and_backfill(stage(fx, "flagged", lambda f: B.default_list_flag(_served(f))), _allowed(fx), _rules(fx), _accessories(fx))
 
 
 # --- oracle snippets ------------------------------------------------------------------------
@@ -200,10 +204,10 @@ _add("fbt_donor", lambda fx: tidy(_step3(fx)),
      CASCADE + f"select {_MEASURES}, rank, origin from step3")
 _add("fbt_final_lists", lambda fx: tidy(_final(fx).select("locale", "source", "target", "rank")),
      CASCADE + "select locale, source, target, rank from final")
-_add("fbt_country_text", lambda fx: tidy(B.country_list_text(B.region_lists(_final(fx), _countries(fx), _base(fx)))),
+_add("fbt_country_text", lambda fx: tidy(B.country_list_text(B.region_lists(_final_stage(fx), _countries(fx), _base(fx)))),
      CASCADE + """select country, source, string_agg(cast(target as string), ',' order by rank, target) as items
 from listed group by 1, 2 having count(target) >= 5""")
-_add("fbt_country_rows", lambda fx: tidy(B.country_list_rows(B.region_lists(_final(fx), _countries(fx), _base(fx)))),
+_add("fbt_country_rows", lambda fx: tidy(B.country_list_rows(B.region_lists(_final_stage(fx), _countries(fx), _base(fx)))),
      CASCADE + """select country, source, target, row_number() over (partition by country, source order by rank, target) as rank
 from (select *, count(*) over (partition by country, source) as n from listed) l where n >= 5""")
 _add("fbt_coverage", lambda fx: tidy(B.coverage(_final(fx))),

@@ -6,9 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinora.session import cut_lineage
+
 SINCE_ALL = "1995-01-01"
 
 
+def stage(fx, name, build):
+    """Build a stage that later steps read several times once per query, in reliable storage."""
+    stages = fx.__dict__.setdefault("stages", {})
+    if name not in stages:
+        stages[name] = cut_lineage(build(fx))
+    return stages[name]
+
+
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round fractions, text for dates and times, bigint for whole numbers: comparable across engines."""
     cols = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinora.catalog import item_master as IM
-from affinora.catalog.common import tidy
+from affinora.catalog.common import stage, tidy
 from affinora.operators import quality
 from affinora.plans import datasets as D
 from affinora.plans import models as R
@@ -100,16 +100,8 @@ def _engaged(fx, kinds=None, exclude_search=True):
     return D.engagement(_raw(fx), fx.user_identifier, _consent(fx), SINCE, UNTIL, kinds, exclude_search)
 
 
-def _cut(fx, name, build):
-    """Build a shared stage once per query and keep it in reliable storage for its later uses."""
-    stages = fx.__dict__.setdefault("stages", {})
-    if name not in stages:
-        stages[name] = cut_lineage(build(fx))
-    return stages[name]
-
-
 def _shared(fx):
-    return _cut(fx, "interactions", _interactions)
+    return stage(fx, "interactions", _interactions)
 
 
 def _interactions(fx):
@@ -151,7 +143,7 @@ _add("resolve_identity", lambda fx: tidy(D.resolve_identity(fx.item_event, fx.us
 _add("interactions_dataset", lambda fx: tidy(_interactions(fx)), f"with {INTER} select * from interactions")
 
 _SEG = ["Business", "Consumer", "Unknown"]
-_add("qa_users", lambda fx: tidy(D.qa_report(_cut(fx, "users", _users), ["user_id", "lifecycle_segment"], ["user_id"],
+_add("qa_users", lambda fx: tidy(D.qa_report(stage(fx, "users", _users), ["user_id", "lifecycle_segment"], ["user_id"],
         {"master_segment": ["Business", "Unknown"], "industry": ["AUTOMOBILE", "BUILDING", "HOUSEHOLD"]}, {"booking_budget_category": list(range(1, 9))})),
      f"""with {USERS} select 'domain' as "check", 'master_segment' as column_name, master_segment as value, count(*) as n from users where master_segment not in ('Business', 'Unknown') group by 3
  union all select 'domain', 'industry', industry, count(*) from users where industry not in ('AUTOMOBILE', 'BUILDING', 'HOUSEHOLD') group by 3
@@ -160,7 +152,7 @@ _add("qa_interactions", lambda fx: tidy(D.qa_report(_shared(fx), ["item_id", "us
         {"page_section": ["Product Page", "Studio", "Gallery", "Cart"]}, {"event_type": ["productView", "purchase", "click", "addToCart", "addToFavorites", "share"]})),
      f"""with {INTER} select 'domain' as "check", 'page_section' as column_name, page_section as value, count(*) as n from interactions where page_section not in ('Product Page', 'Studio', 'Gallery', 'Cart') group by 3
  union all select 'exact_domain', 'event_type', 'share', null""")
-_add("qa_items", lambda fx: tidy(D.qa_report(_cut(fx, "items", _items_dataset), ["item", "is_accessory"], ["region", "item"], {"bulk": ["1_high", "2_medium", "3_low", "4_least"]}, {"is_accessory": [0, 1]}, ["min_unit_price"])),
+_add("qa_items", lambda fx: tidy(D.qa_report(stage(fx, "items", _items_dataset), ["item", "is_accessory"], ["region", "item"], {"bulk": ["1_high", "2_medium", "3_low", "4_least"]}, {"is_accessory": [0, 1]}, ["min_unit_price"])),
      f"""with {IM.BULK} select 'domain' as "check", 'bulk' as column_name, '5_unknown' as value, count(*) as n
  from (select distinct region, item from base_item) b where (region, item) not in (select region, item from bulk) having count(*) > 0""")
 
@@ -170,7 +162,7 @@ _ENG = f"{RAW}, {engaged_sql(False)}, browsed as (select * from engaged where ki
 
 
 def _browsed(fx):
-    return _cut(fx, "browsed", lambda f: _engaged(f, ["view", "click"], False))
+    return stage(fx, "browsed", lambda f: _engaged(f, ["view", "click"], False))
 
 
 _CLICKS = "clicks as (select locale, item_id, count(*) as clicks, row_number() over (partition by locale order by count(*) desc, item_id) as click_rank from browsed group by 1, 2)"

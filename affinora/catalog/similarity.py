@@ -9,7 +9,7 @@ from affinora.functions import color, text, vector, vocab
 from affinora.operators import quality
 from affinora.plans import embeddings as E
 from affinora.plans import similarity as S
-from affinora.session import cut_lineage
+from affinora.session import cut_lineage, spread
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -218,7 +218,7 @@ def _long(df, keys, column):
     return df.select(*keys, F.posexplode(column).alias("pos", "x"))
 
 
-_add("text_embedding", lambda fx: tidy(_long(fx.documents.select("doc_id", vector.text_embedding(F.col("text"), 18).alias("v")), ["doc_id"], "v")),
+_add("text_embedding", lambda fx: tidy(_long(spread(fx.documents.select("doc_id", "text")).select("doc_id", vector.text_embedding(F.col("text"), 18).alias("v")), ["doc_id"], "v")),
      f"select doc_id, pos, round(x, 6) + 0 as x from ({text_vector_sql('documents', 'doc_id', 'text', 18)}) v")
 
 

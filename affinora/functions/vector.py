@@ -38,7 +38,7 @@ def tokens(text: Column) -> Column:
 def text_embedding(text: Column, dim: int) -> Column:
     """Hashed bag of words: each token adds +1 or -1 to the bucket its md5 names; unit length.
 
-    Empty text gives zeros. One fold over the tokens; no per-bucket scan.
+    Empty text gives zeros. Tokens are hashed once; a bucket is a count over the hashed codes.
     """
 
     def code(token: Column) -> Column:
@@ -48,11 +48,12 @@ def text_embedding(text: Column, dim: int) -> Column:
         odd = F.substring(digest, 9, 1).isin("1", "3", "5", "7", "9", "b", "d", "f")
         return F.when(odd, -bucket).otherwise(bucket).cast("int")
 
-    def add(acc: Column, c: Column) -> Column:
-        return F.transform(acc, lambda x, i: F.when(i + 1 == F.abs(c), x + F.signum(c)).otherwise(x))
-
     codes = F.transform(tokens(F.coalesce(text, F.lit(""))), code)
-    counts = F.aggregate(codes, F.array_repeat(F.lit(0.0), dim), add)
+
+    def count(v: Column, k: Column) -> Column:
+        return (F.size(F.filter(v, lambda c: c == k)) - F.size(F.filter(v, lambda c: c == -k))).cast("double")
+
+    counts = let(codes, lambda v: F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda k: count(v, k)))
 
     def scaled(v: Column) -> Column:
         length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))

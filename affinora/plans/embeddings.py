@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from affinora import config
 from affinora.functions import color, text, vector
 from affinora.operators import ranking
+from affinora.session import spread
 
 ALL_COLORS = "ALL"
 
@@ -264,7 +265,7 @@ def config_embeddings(configs: DataFrame, encoder: Encoder = vector.text_embeddi
     """
     d = dims or config.EMBEDDING_DIMS
     numeric = ["unit_price", "l_color", "a_color", "b_color", "back_pockets", "panels"]
-    rows = standardised(attribute_sentences(color_features(configs)), numeric)
+    rows = standardised(attribute_sentences(color_features(spread(configs))), numeric)
     scaled = [f"{c}_scaled" for c in numeric]
     parts = rows.select(
         *configs.columns, "color_name", "type_text", "gender_text", "sleeve_text", "other_text",

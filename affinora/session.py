@@ -44,3 +44,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a frame used by several later branches in reliable storage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out rows before a CPU-heavy per-row stage whose input has few or lopsided splits.
+
+    An explicit partition number keeps AQE from coalescing the (small) input again.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n)
