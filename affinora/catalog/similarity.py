@@ -404,7 +404,7 @@ _add("ranking_quality", lambda fx: tidy(S.ranking_quality(_all_ranked(fx).select
 judged as (select config_id as source, concat('cfg', cast((cast(substring(config_id, 4) as int) + pos * 20) % 500 as string)) as target, pos from (select config_id, unnest(range(1, 9)) as pos from config) c),
 rel as (select r.source, r.rank, coalesce(8 - j.pos + 1, 0) as relevance, k from ret r left join judged j on j.source = r.source and j.target = r.target, (values (5), (10)) ks(k) where r.rank <= k),
 ideal as (select *, row_number() over (partition by source, k order by relevance desc, rank) as ir from rel)
-select source, k::bigint as k, count(*) filter (relevance > 0) / k as precision, round(coalesce(sum(relevance / log2(rank + 1.0)) / nullif(sum(relevance / log2(ir + 1.0)), 0), 0), 6) as ndcg from ideal group by 1, 2""")
+select source, ideal.k::bigint as k, count(*) filter (relevance > 0) / ideal.k as precision, round(coalesce(sum(relevance / log2(rank + 1.0)) / nullif(sum(relevance / log2(ir + 1.0)), 0), 0), 6) as ndcg from ideal group by source, ideal.k""")
 
 _QUERY = [((i * 37) % 19 - 9) / 10.0 for i in range(64)]
 _QUERY_SQL = "[" + ", ".join(f"{x}::double" for x in _QUERY) + "]"
