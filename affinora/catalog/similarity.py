@@ -215,7 +215,8 @@ def text_vector_sql(rows: str, key: str, column: str, dim: int) -> str:
 
 
 def _long(df, keys, column):
-    return df.select(*keys, F.posexplode(column).alias("pos", "x"))
+    # the outer form: a plain explode adds a filter on the array, which would compute the vector again
+    return df.select(*keys, F.posexplode_outer(column).alias("pos", "x"))
 
 
 _add("text_embedding", lambda fx: tidy(_long(spread(fx.documents.select("doc_id", "text")).select("doc_id", vector.text_embedding(F.col("text"), 18).alias("v")), ["doc_id"], "v")),
