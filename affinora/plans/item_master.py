@@ -87,7 +87,8 @@ def parse_constraints(payload: DataFrame, merchant: str, body: str = "body", col
 
     A constraint without attributes blocks all colours; one with a colour attribute blocks its first
     colour, unless a block on all colours of the same product and country precedes it in the payload.
-    The precedence is decided inside the payload array: no shuffle.
+    The precedence is decided inside the payload array: no shuffle. The outer explode parses each payload
+    once (a plain one adds a filter that parses it again).
     """
 
     def first_value(c, key):
@@ -115,7 +116,7 @@ def parse_constraints(payload: DataFrame, merchant: str, body: str = "body", col
         ),
     )
     return (
-        payload.select(rows.alias("_rows")).select(F.explode(kept).alias("r"))
+        payload.select(rows.alias("_rows")).select(F.explode_outer(kept).alias("r")).filter("r is not null")
         .select("r.product_key", "r.product_version", "r.country", "r.constraint_type", "r.color").distinct()
     )
 
