@@ -60,7 +60,7 @@ def compare(spark_df, con, sql):
 def main(argv):
     sf = argv[0] if argv else "0.01"
     prefixes = argv[1:]
-    from affinora import catalog
+    import __spark_entry__ as catalog
     from affinora.session import local_session
 
     spark = local_session(8)
