@@ -9,7 +9,7 @@ shingled as (
     select doc_id, list_distinct(case
         when len(w) = 0 then []::varchar[]
         when len(w) < 5 then [array_to_string(w, ' ')]
-        else list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) end) as s
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
     from worded),
 items as (select doc_id, unnest(s) as item from shingled),
 common as (
