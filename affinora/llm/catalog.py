@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import minhash, oracle
+from affinora.llm import decontaminate, minhash, oracle
 from affinora.llm.cut import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,16 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op4_decontaminate": op4_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op1_minhash_dedup": oracle.NEAR_DUPLICATES,
+    "op4_decontaminate": oracle.CONTAMINATION,
 }

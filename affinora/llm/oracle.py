@@ -24,3 +24,26 @@ reach(doc_id, seen) as (
 select s.doc_id, len(s.s)::bigint as n_shingles, r.component_id, s.doc_id = r.component_id as kept
 from shingled s join (select doc_id, min(seen) as component_id from reach group by 1) r on r.doc_id = s.doc_id
 """
+
+CONTAMINATION = rf"""
+with rows as (
+    select 'd' as kind, row_number() over () as row_no, doc_id as id, text from documents
+    union all select 'b', row_number() over (), item_id, text from benchmark),
+worded as (
+    select kind, row_no, id, regexp_extract_all(coalesce(translate(text, '{UPPER}', '{LOWER}'), ''), '[^\x20\x09-\x0D]+') as w from rows),
+shingled as (
+    select kind, row_no, id, list_distinct(case
+        when len(w) = 0 then []::varchar[]
+        when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+    from worded),
+items as (select row_no, id, len(s) as size, unnest(s) as item from shingled where kind = 'b'),
+parts as (select row_no, unnest(s) as item from shingled where kind = 'd'),
+hits as (
+    select p.row_no, i.row_no as item_row, any_value(i.id) as item_id, 100.0::double * count(*) / any_value(i.size) as percent
+    from parts p join items i using (item) group by 1, 2
+    having 100 * count(*) >= 80 * any_value(i.size))
+select d.id as doc_id, count(h.item_row)::bigint as n_items, coalesce(string_agg(h.item_id::varchar, ',' order by h.item_id), '') as item_ids,
+    coalesce(max(h.percent), 0.0)::double as best_percent, count(h.item_row) > 0 as contaminated
+from shingled d left join hits h on h.row_no = d.row_no where d.kind = 'd' group by d.row_no, d.id
+"""
