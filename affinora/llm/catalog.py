@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, minhash, oracle
+from affinora.llm import decontaminate, language, minhash, mixing, oracle, toxicity
 from affinora.llm.cut import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,16 +16,32 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_mix_sources": op2_mix_sources,
     "op4_decontaminate": op4_decontaminate,
+    "op6_language_id": op6_language_id,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLE: dict[str, str] = {
     "op1_minhash_dedup": oracle.NEAR_DUPLICATES,
+    "op2_mix_sources": oracle.MIX,
     "op4_decontaminate": oracle.CONTAMINATION,
 }

@@ -1,5 +1,7 @@
 """DuckDB statements for the queries that SQL can express."""
 
+from affinora.llm.mixing import SCHEDULES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NEAR_DUPLICATES = rf"""
@@ -47,3 +49,53 @@ select d.id as doc_id, count(h.item_row)::bigint as n_items, coalesce(string_agg
     coalesce(max(h.percent), 0.0)::double as best_percent, count(h.item_row) > 0 as contaminated
 from shingled d left join hits h on h.row_no = d.row_no where d.kind = 'd' group by d.row_no, d.id
 """
+
+
+def _position(share: str) -> str:
+    """Inverse of the piecewise demand of each kind of source, in SQL."""
+    kinds = []
+    for kind, schedule in enumerate(SCHEDULES):
+        cases = []
+        segments = schedule.segments()
+        for n, (a, length, u, v, before) in enumerate(segments):
+            area = f"({share} - {before!r}::double)"
+            slope = (v - u) / length
+            at = f"{a!r}::double + {area} / {u!r}::double" if u == v else (
+                f"{a!r}::double + (sqrt(greatest(0.0::double, {u * u!r}::double + {2 * slope!r}::double * {area})) - {u!r}::double) / {slope!r}::double")
+            cases.append(f"when {share} < {segments[n + 1][4]!r}::double then {at}" if n + 1 < len(segments) else f"else {at}")
+        kinds.append(f"when {kind} then " + (f"case {' '.join(cases)} end" if len(cases) > 1 else cases[0][5:]))
+    return f"least(1.0::double, greatest(0.0::double, case kind {' '.join(kinds)} end))"
+
+
+MIX = rf"""
+with sized as (
+    select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+        md5(coalesce(doc_id::varchar, '')) as place
+    from documents),
+totals as (
+    select source, sum(size)::bigint as source_size, (row_number() over (order by source nulls last) - 1) % 3 as kind from sized group by source),
+weighed as (select *, case kind when 0 then 3 when 1 then 1 else 2 end as weight, 2 * source_size as cap from totals),
+ranked as (
+    select *, cap::double / weight as ratio,
+        (1.5::double * sum(source_size) over () - coalesce(sum(cap) over (order by cap::double / weight, source nulls last rows between unbounded preceding and 1 preceding), 0)::double)
+        / sum(weight) over (order by cap::double / weight, source nulls last rows between current row and unbounded following)::double as level
+    from weighed),
+targets as (
+    select source, source_size, kind,
+        least(coalesce(max(case when level <= ratio then level end) over () * weight, cap::double), cap::double) as target
+    from ranked),
+placed as (
+    select s.*, t.source_size, t.kind, t.target,
+        coalesce(sum(s.size) over (partition by s.source order by place, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as start
+    from sized s join targets t on s.source is not distinct from t.source),
+counted as (
+    select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole from placed),
+filled as (
+    select *, greatest(0, least(size, floor(target)::bigint - whole * source_size - start))::bigint as more from counted),
+shared as (
+    select *, case when whole > 0 and size > 0 then (start + size / 2.0::double) / target
+        when more > 0 then (start + more / 2.0::double) / target end as share from filled)
+select doc_id, size, source_size, target, whole * size + more as taken,
+    case when share is not null then round({_position("share")}, 6) end as position
+from shared
+"""
