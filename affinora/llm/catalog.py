@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, language, minhash, mixing, oracle, toxicity
-from affinora.llm.cut import table
+from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, rollups, toxicity
+from affinora.llm.cut import checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,16 +33,31 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = rollups.Store(spark, f"{checkpoint_dir(spark)}/rollups-{uuid.uuid4().hex}")
+    changes = rollups.document_changes(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    for batch, rows in [*changes, changes[1]]:  # the last one is a repeated delivery
+        store.add(batch, rows)
+    return store.totals()
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op4_decontaminate": op4_decontaminate,
     "op6_language_id": op6_language_id,
     "op8_toxicity": op8_toxicity,
+    "op9_license_scan": op9_license_scan,
+    "op10_token_rollups": op10_token_rollups,
 }
 
 ORACLE: dict[str, str] = {
     "op1_minhash_dedup": oracle.NEAR_DUPLICATES,
     "op2_mix_sources": oracle.MIX,
     "op4_decontaminate": oracle.CONTAMINATION,
+    "op10_token_rollups": oracle.ROLLUPS,
 }

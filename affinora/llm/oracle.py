@@ -99,3 +99,13 @@ select doc_id, size, source_size, target, whole * size + more as taken,
     case when share is not null then round({_position("share")}, 6) end as position
 from shared
 """
+
+ROLLUPS = r"""
+with live as (
+    select source, lang, text, 1 - (doc_id in (select doc_id from labels where toxic > 0 and doc_id is not null))::int as stays from documents),
+counted as (
+    select source, lang, 'words-1' as tokenizer, stays, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n from live
+    union all
+    select source, lang, 'pieces-2', stays, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x80-\x{10FFFF}]+|[0-9]|[^A-Za-z0-9\x80-\x{10FFFF}\x20\x09-\x0D]')) from live)
+select source, lang, tokenizer, sum(coalesce(stays, 1))::bigint as n_docs, sum(coalesce(stays, 1) * n)::bigint as n_tokens from counted group by 1, 2, 3
+"""
