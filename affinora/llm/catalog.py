@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, rollups, toxicity
+from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, rollups, toxicity, wrappers
 from affinora.llm.cut import checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +52,7 @@ def op10_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_html_extract": op3_html_extract,
     "op4_decontaminate": op4_decontaminate,
     "op6_language_id": op6_language_id,
     "op8_toxicity": op8_toxicity,
