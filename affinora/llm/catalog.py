@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, rollups, toxicity, wrappers
+from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, rollups, subspace, toxicity, wrappers
 from affinora.llm.cut import checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op3_html_extract": op3_html_extract,
     "op4_decontaminate": op4_decontaminate,
     "op6_language_id": op6_language_id,
+    "op7_near_vectors": op7_near_vectors,
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_token_rollups": op10_token_rollups,
@@ -64,5 +69,6 @@ ORACLE: dict[str, str] = {
     "op1_minhash_dedup": oracle.NEAR_DUPLICATES,
     "op2_mix_sources": oracle.MIX,
     "op4_decontaminate": oracle.CONTAMINATION,
+    "op7_near_vectors": oracle.NEAR_VECTORS,
     "op10_token_rollups": oracle.ROLLUPS,
 }

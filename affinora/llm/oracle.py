@@ -109,3 +109,15 @@ counted as (
     select source, lang, 'pieces-2', stays, len(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x80-\x{10FFFF}]+|[0-9]|[^A-Za-z0-9\x80-\x{10FFFF}\x20\x09-\x0D]')) from live)
 select source, lang, tokenizer, sum(coalesce(stays, 1))::bigint as n_docs, sum(coalesce(stays, 1) * n)::bigint as n_tokens from counted group by 1, 2, 3
 """
+
+NEAR_VECTORS = """
+with recursive vectors as (select vec_id, embedding::double[] as e from embeddings),
+links as (
+    select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, seen) as (
+    select vec_id, vec_id from vectors
+    union
+    select l.b, r.seen from reach r join links l on l.a = r.vec_id),
+roots as (select vec_id, min(seen) as component_id from reach group by 1)
+select r.vec_id, (select count(*) from links l where l.a = r.vec_id)::bigint as n_links, r.component_id, r.vec_id = r.component_id as kept from roots r
+"""
