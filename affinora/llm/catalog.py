@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, rollups, subspace, toxicity, wrappers
+from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, pseudolikelihood, rollups, subspace, toxicity, wrappers
 from affinora.llm.cut import checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudolikelihood.scores(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_html_extract": op3_html_extract,
     "op4_decontaminate": op4_decontaminate,
+    "op5_pseudo_likelihood": op5_pseudo_likelihood,
     "op6_language_id": op6_language_id,
     "op7_near_vectors": op7_near_vectors,
     "op8_toxicity": op8_toxicity,
