@@ -13,6 +13,9 @@ other than those named are not read. Batches of one store are added by one drive
 
 from __future__ import annotations
 
+import base64
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +33,6 @@ def pattern_count(text: Column, version: str) -> Column:
 
 def vocabulary_count(path: str, text: Column) -> Column:
     """Tokens under a byte-level vocabulary file (ranks in base64), read by each task from a path that all machines have."""
-    import base64
-
-    import pandas as pd
-
     def count(texts: pd.Series) -> pd.Series:
         import tiktoken
 
