@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinora.catalog.common import SINCE_ALL, stage, tidy
+from affinora.catalog.common import ITEM_MIN_COUNT, SINCE_BUNDLES, stage, tidy
+from affinora.fixtures import ORDERS_AS_OF
 from affinora.plans import bundles as B
 
 QUERIES: dict = {}
@@ -30,7 +31,8 @@ def _views(fx):
 
 
 def _rules(fx):
-    return B.co_purchase_rules(fx.basket_line, SINCE_ALL)
+    staged = fx.__dict__.get("stages", {}).get("rules")
+    return staged if staged is not None else B.co_purchase_rules(fx.basket_line, SINCE_BUNDLES, min_count=ITEM_MIN_COUNT)
 
 
 def _view_rules(fx):
@@ -81,12 +83,14 @@ def _allowed(fx):
 
 
 def _subset(fx):
+    """The rules serve the lists and their replacements: mined once."""
+    stage(fx, "rules", _rules)
     return B.subset_and_backfill(stage(fx, "flagged", lambda f: B.default_list_flag(_served(f))), _allowed(fx), _rules(fx), _accessories(fx))
 
 
 # --- oracle snippets ------------------------------------------------------------------------
 
-def rules_sql(rows: str, segment: str, basket: str, item: str, min_targets: int = 5) -> str:
+def rules_sql(rows: str, segment: str, basket: str, item: str, min_targets: int = 5, min_count: int = 2) -> str:
     return f"""
 select * from (
   select cp.locale, cp.source, cp.target, ts.n as source_baskets, cp.n as pair_count, cp.avg_size as avg_basket_size,
@@ -98,7 +102,7 @@ select * from (
               from (select distinct {segment} as locale, {basket} as basket, {item} as item from {rows}) d) a
         join (select distinct {segment} as locale, {basket} as basket, {item} as item from {rows}) b
           on a.locale = b.locale and a.basket = b.basket and a.item <> b.item
-        group by 1, 2, 3 having count(distinct a.basket) >= 2) cp
+        group by 1, 2, 3 having count(distinct a.basket) >= {min_count}) cp
   join (select locale, item, n, n / sum(n) over (partition by locale) as supp
         from (select {segment} as locale, {item} as item, count(distinct {basket}) as n from {rows} group by 1, 2) t) ts
     on ts.locale = cp.locale and ts.item = cp.source
@@ -108,7 +112,8 @@ select * from (
 where target_count >= {min_targets}"""
 
 
-_RULES = rules_sql("basket_line", "locale", "basket", "item")
+_RECENT = f"created_at >= timestamp '{SINCE_BUNDLES}'"
+_RULES = rules_sql(f"(select * from basket_line where {_RECENT})", "locale", "basket", "item", min_count=ITEM_MIN_COUNT)
 _VIEW_ROWS = "(select upper(region) as locale, visit, item from item_event where page_section = 'Product Page' and ts >= timestamp '2023-10-31')"
 _VIEW = f"""
 select locale, source, target, source_baskets, pair_count, cast(0 as double) as avg_basket_size, confidence, support, conviction, target_count, view_rank
@@ -181,14 +186,21 @@ def _add(name, fn, sql):
 
 _add("fbt_rules", lambda fx: tidy(_rules(fx)),
      f"select {_MEASURES}, round(avg_basket_size, 6) as avg_basket_size from ({_RULES}) r")
-_add("fbt_rules_item", lambda fx: tidy(B.co_purchase_rules(
-        fx.order_line.withColumn("locale", F.lit("ALL")), SINCE_ALL, basket="order_number")),
+def _mapped_lines(fx):
+    """Recent order lines with the article that their product key meant in their country at as_of."""
+    lines = fx.order_line.drop("item").withColumn("locale", F.lit("ALL"))
+    return B.map_items(lines, fx.product_mapping, ORDERS_AS_OF)
+
+
+_VALID = f"valid_from <= timestamp '{ORDERS_AS_OF}' and valid_to > timestamp '{ORDERS_AS_OF}'"
+_add("fbt_rules_item", lambda fx: tidy(B.co_purchase_rules(_mapped_lines(fx), SINCE_BUNDLES, basket="order_number", min_count=ITEM_MIN_COUNT)),
      f"select {_MEASURES}, round(avg_basket_size, 6) as avg_basket_size from ("
-     + rules_sql("(select 'ALL' as locale, order_number, item from order_line)", "locale", "order_number", "item") + ") r")
+     + rules_sql(f"(select 'ALL' as locale, o.order_number, m.item from order_line o join product_mapping m on m.product_key = o.product_key and m.country = o.country where o.{_RECENT} and {_VALID})",
+                 "locale", "order_number", "item", min_count=ITEM_MIN_COUNT) + ") r")
 _add("fbt_rules_group", lambda fx: tidy(B.co_purchase_rules(
-        fx.order_line.withColumn("locale", F.upper("region")), SINCE_ALL, basket="order_number", item="product_group")),
+        fx.order_line.withColumn("locale", F.upper("region")), SINCE_BUNDLES, basket="order_number", item="product_group")),
      f"select {_MEASURES}, round(avg_basket_size, 6) as avg_basket_size from ("
-     + rules_sql("(select upper(region) as locale, order_number, product_group from order_line)", "locale", "order_number", "product_group") + ") r")
+     + rules_sql(f"(select upper(region) as locale, order_number, product_group from order_line where {_RECENT})", "locale", "order_number", "product_group") + ") r")
 _add("fbt_co_view_rules", lambda fx: tidy(_view_rules(fx)),
      f"select {_MEASURES}, avg_basket_size, view_rank from ({_VIEW}) r")
 _add("fbt_ranked", lambda fx: tidy(B.rank_rules(_rules(fx), _accessories(fx)).select("locale", "source", "target", "rank")),
@@ -255,14 +267,15 @@ _add("fbt_subset_backfill", lambda fx: tidy(_subset(fx)),
 
 
 def _bundles(fx):
-    keys = _items(fx).select("locale", F.col("item").cast("string").alias("item"), "product_key")
-    rows = B.bundle_arrays(_subset(fx), keys)
+    valid = B.valid_at(fx.product_mapping, ORDERS_AS_OF).select(F.upper("region").alias("locale"), F.col("item").cast("string").alias("item"), "product_key")
+    rows = B.bundle_arrays(_subset(fx), valid.distinct())
     return rows.select("locale", "source_key", F.array_join("bundle", ",").alias("bundle"))
 
 
 _add("fbt_bundle_arrays", lambda fx: tidy(_bundles(fx)),
-     _SERVED + """select r.locale, a.product_key as source_key, string_agg(b.product_key, ',' order by r.rank, b.product_key) as bundle
+     _SERVED + f", valid_key as (select distinct upper(region) as locale, item, product_key from product_mapping where {_VALID})" + """
+select r.locale, a.product_key as source_key, string_agg(b.product_key, ',' order by r.rank, b.product_key) as bundle
 from (select distinct * from result) r
-join catalog_item a on a.locale = r.locale and cast(a.item as string) = r.source
-join catalog_item b on b.locale = r.locale and cast(b.item as string) = r.target
+join valid_key a on a.locale = r.locale and cast(a.item as string) = r.source
+join valid_key b on b.locale = r.locale and cast(b.item as string) = r.target
 where r.is_default = 0 group by 1, 2""")

@@ -8,7 +8,11 @@ from pyspark.sql import types as T
 
 from affinora.session import cut_lineage
 
-SINCE_ALL = "1995-01-01"
+# as_of 2001-08-02 less 15 months (bundles) and 24 months (bulk)
+SINCE_BUNDLES = "2000-05-02"
+SINCE_BULK = "1999-08-02"
+# The given orders hold few pairs twice, so article rules start at one common order.
+ITEM_MIN_COUNT = 1
 
 
 def stage(fx, name, build):

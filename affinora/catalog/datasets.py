@@ -28,6 +28,7 @@ def _add(name, fn, sql=None):
 # --- datasets -------------------------------------------------------------------------------
 
 def _items_dataset(fx):
+    fx._frames["base_item"] = stage(fx, "base_item", lambda f: f.base_item)
     base = fx.base_item.join(IM._dates(fx), ["item", "country"], "left")
     proxies = [cut_lineage(p(fx)) for p in (IM._high_value, IM._bulk, IM._ratings, IM._complexity)]
     return D.items_dataset(base, *proxies)
@@ -72,18 +73,18 @@ USERS = USERS.replace("select g.region, c.*,", "select g.region, c.customer_id,
     "select * exclude (region_1), ntile(20)", "select *, ntile(20)").replace(" from (select *, 1 as region_1 from chosen) z)", " from chosen)")
 _add("users_dataset", lambda fx: tidy(_users(fx)), f"with {USERS} select * from users")
 
-RAW = """raw_event as (select event_id, user_id, anonymous_id, ts, visit, country, value,
+RAW = """raw_event as (select event_id, user_id, anonymous_id, ts, visit, country, region, value,
  case event_type when 'productView' then 'view' when 'addToCart' then 'cart' when 'addToFavorites' then 'wish' when 'purchase' then 'order' else case when event_id % 3 = 0 then 'search_click' else 'click' end end as kind,
  case when event_id % 37 = 0 then concat('PRD-', cast(item as string)) else cast(item as string) end as item_id,
  case when event_type in ('addToFavorites') then case event_id % 3 when 0 then 'Product Page' when 1 then 'My Account' else 'Gallery' end
       when event_type = 'click' then case event_id % 6 when 0 then 'Search Results Page' when 1 then 'Cart' when 2 then 'Home Page' when 3 then 'Search Results Page' when 4 then 'My Account' else 'Design Services' end
       else page_section end as page_section,
- case when event_id % 7 = 0 then null else concat('q', cast(event_id % 50 as string)) end as page_search,
+ case when event_id % 7 = 0 then null else concat('q', cast(cast(floor(event_id / 20) as bigint) as string)) end as page_search,
  case when event_id % 11 = 0 then '/studio?recommendationsId=1' else '/studio' end as page_url,
  case when event_id % 13 = 0 then '/xs/a' when event_id % 17 = 0 then '/search?q' when event_id % 29 = 0 then null else '/home' end as referrer,
  case when event_id % 3 = 2 then 'other' else 'recommendations' end as route,
  case when event_id % 2 = 0 then 'Matching-list' end as list_section_id, case when event_id % 5 = 1 then 'MATCHING' else 'sale' end as offer_type,
- concat('[{"product_id":"', cast(item as string), '"},{"product_id":"PRD-1"},{"product_id":"', cast((item + 1) % 100 as string), '"}]') as products
+ concat('[{"product_id":"', cast(item as string), '"},{"product_id":"PRD-1"},{"product_id":"', cast(item + 1 as string), '"}]') as products
 from item_event)"""
 
 
@@ -116,7 +117,7 @@ def engaged_sql(search=True, name="engaged"):
   left join user_identifier u2 on u2.type = 'user_id' and u2.canonical_id = u1.canonical_id
   left join customer_profile c on c.user_id = e.user_id
   where coalesce(e.user_id, u2.value) is not null and coalesce(e.user_id, u2.value) not like '%@%' and coalesce(c.functional_consent, 1) = 1),
-{p}_v as (select *, rank() over (partition by page_search order by ts) as r, row_number() over (partition by visit, item_id, page_section order by ts, event_id, user_id) as rn from {p}_id
+{p}_v as (select *, rank() over (partition by region, page_search order by ts) as r, row_number() over (partition by visit, item_id, page_section order by ts, event_id, user_id) as rn from {p}_id
   where kind = 'view' and item_id not like '%PRD-%' and (page_section in ('Configure - Recommendation', 'Gallery') or (page_section = 'Studio' and page_url not like '%recommendationsId=%')
     or (page_section = 'Product Page' and referrer not like '%/xs/%')) {not_search}),
 {p} as (
@@ -320,9 +321,15 @@ _add("events_per_window", lambda fx: tidy(S.events_per_window(fx.item_event, "30
  from (select time_bucket(interval 300 second, ts) as w, event_type from item_event) x group by 1, 2, 3""")
 _add("hourly_item_counts", lambda fx: tidy(S.hourly_item_counts(fx.item_event.withColumn("item_id", F.col("item").cast("string")))),
      "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') as hour, cast(item as string) as item_id, count(*) as events from item_event group by 1, 2")
-_add("idle_windows", lambda fx: tidy(S.idle_windows(fx.item_event, 3600, ["country", "event_type"], "2024-01-05 00:00:00", "2024-01-12 00:00:00")),
+def _watched(fx):
+    """Every country with every event type, and a type that no event has."""
+    kinds = F.explode(F.array(*[F.lit(k) for k in ("productView", "click", "purchase", "addToCart", "addToFavorites", "share")]))
+    return fx.country_region.select("country", kinds.alias("event_type"))
+
+
+_add("idle_windows", lambda fx: tidy(S.idle_windows(fx.item_event, 3600, ["country", "event_type"], "2024-01-05 00:00:00", "2024-01-12 00:00:00", _watched(fx))),
      """with busy as (select country, event_type, date_trunc('hour', ts) as h from item_event where ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-12'),
- spine as (select country, event_type, timestamp '2024-01-05' + to_hours(cast(i as int)) as h from (select distinct country, event_type from busy) k, unnest(range(0, 168)) t(i))
+ spine as (select country, event_type, timestamp '2024-01-05' + to_hours(cast(i as int)) as h from (select country, unnest(['productView', 'click', 'purchase', 'addToCart', 'addToFavorites', 'share']) as event_type from country_region) k, unnest(range(0, 168)) t(i))
  select country, event_type, strftime(h, '%Y-%m-%d %H:%M:%S') as window_start from spine where (country, event_type, h) not in (select country, event_type, h from busy)""")
 _add("stream_interactions", lambda fx: tidy(S.stream_interactions(fx.item_event)),
      """select distinct user_id, cast(item as string) as item_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, page_section, country as locale,

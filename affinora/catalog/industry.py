@@ -24,9 +24,7 @@ def _keys(fx):
 
 
 def _orders(fx):
-    lines = fx.order_line.select(
-        F.upper("region").alias("locale"), "customer_id", F.concat(F.lit("PRD-"), F.col("item") % 100).alias("product_key")
-    )
+    lines = fx.order_line.select(F.upper("region").alias("locale"), "customer_id", "product_key")
     users = fx.customer_profile.filter("confidence_rank <= 8").select("customer_id", "user_id", "industry")
     return I.order_events(lines.join(users, "customer_id"), fx.product.select("product_key", "item"))
 
@@ -72,7 +70,7 @@ def base_sql(kind):
     if kind == "order":
         return """(select upper(o.region) as locale, cp.industry, cp.user_id, p.item from order_line o
  join customer_profile cp on cp.customer_id = o.customer_id and cp.confidence_rank <= 8
- join product p on p.product_key = concat('PRD-', cast(o.item % 100 as string)))"""
+ join product p on p.product_key = o.product_key)"""
     event, section = KINDS[kind]
     extra = f" and page_section = '{section}'" if section else ""
     return f"""(select upper(region) as locale, industry, user_id, item from item_event

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinora.catalog.common import SINCE_ALL, tidy
+from affinora.catalog.common import SINCE_BULK, stage, tidy
+from affinora.operators import ranking
 from affinora.plans import item_master as M
 from affinora.plans import proxies as P
 
@@ -43,7 +44,8 @@ def _mapping(fx):
 
 
 def _active(fx):
-    return M.active_items(fx.status_event, fx.live_mapping)
+    staged = fx.__dict__.get("stages", {}).get("active")
+    return staged if staged is not None else M.active_items(fx.status_event, fx.live_mapping)
 
 
 _RESOLVED = """resolved as (select country, product_key, item, priority from (
@@ -186,8 +188,12 @@ _add("proxy_high_value", lambda fx: tidy(_high_value(fx).drop("category_items"))
  round(price / category_avg, 6) as category_ratio, round(pct_rank, 6) as pct_rank, label from hv""")
 
 
+def _zoned(lines):
+    return lines.withColumn("zone", F.format_string("+%02d:00", "utc_offset"))
+
+
 def _bulk(fx):
-    return P.bulk_proxy(fx.order_line, fx.product_mapping, fx.base_item, SINCE_ALL, EXCLUDED)
+    return P.bulk_proxy(_zoned(fx.order_line), fx.product_mapping, fx.base_item, SINCE_BULK, EXCLUDED, "zone")
 
 
 def shrink_sql(prefix, n, value, prior, groups, score):
@@ -201,8 +207,9 @@ def shrink_sql(prefix, n, value, prior, groups, score):
 
 
 BULK = """bulk_sold as (select b.region, b.category, b.subcategory, b.product_group, m.item, o.order_number, o.quantity
-  from order_line o join product_mapping m on m.product_key = o.product_key and m.country = o.country and o.created_at >= m.valid_from and o.created_at < m.valid_to
-  join base_item b on b.item = m.item and b.country = m.country),
+  from order_line o join product_mapping m on m.product_key = o.product_key and m.country = o.country
+   and o.created_at - to_hours(o.utc_offset) >= m.valid_from and o.created_at - to_hours(o.utc_offset) < m.valid_to
+  join base_item b on b.item = m.item and b.country = m.country where o.created_at >= timestamp '""" + SINCE_BULK + """'),
 bulk_product as (select region, category, subcategory, product_group, item, count(distinct order_number) as order_count, median(quantity) as median_quantity
   from bulk_sold where category <> 'PROMO' group by 1, 2, 3, 4, 5),
 bulk_system as (select region, category, subcategory, product_group, count(distinct order_number) as system_order_count, median(quantity) as system_median from bulk_sold group by 1, 2, 3, 4),
@@ -214,16 +221,16 @@ _add("proxy_bulk", lambda fx: tidy(_bulk(fx)),
 
 
 def _ratings(fx):
-    return P.ratings_proxy(fx.review, fx.order_line, fx.product_mapping, fx.base_item, EXCLUDED)
+    return P.ratings_proxy(fx.review, _zoned(fx.order_line), fx.product_mapping, fx.base_item, EXCLUDED, "zone")
 
 
 RATINGS = """rating_rows as (select b.region, b.category, b.subcategory, b.product_group, m.item, r.review_id, r.rating
-  from review r left join order_line o on o.order_number = r.order_number and o.line_no = r.line_no
+  from review r left join (select order_number, line_no, min(created_at - to_hours(utc_offset)) as created_at from order_line group by 1, 2) o on o.order_number = r.order_number and o.line_no = r.line_no
   join product_mapping m on m.product_key = r.product_key and m.country = r.country and coalesce(o.created_at, r.created_at) >= m.valid_from and coalesce(o.created_at, r.created_at) < m.valid_to
   join base_item b on b.item = m.item and b.country = m.country where r.published_flag = 1 and b.category <> 'PROMO'),
 ratings_product as (select region, category, subcategory, product_group, item, count(distinct review_id) as rating_count, avg(rating) as rating_avg from rating_rows group by 1, 2, 3, 4, 5),
 ratings_system as (select region, category, subcategory, count(distinct review_id) as system_rating_count, avg(rating) as system_rating_avg from rating_rows group by 1, 2, 3),
-""" + shrink_sql("ratings", "rating_count", "rating_avg", "system_rating_avg", ["region", "category", "subcategory"], "round(shrunk, 3)")
+""" + shrink_sql("ratings", "rating_count", "rating_avg", "system_rating_avg", ["region", "category", "subcategory"], "round(cast(shrunk as decimal(18, 9)), 3)::double")
 _add("proxy_ratings", lambda fx: tidy(_ratings(fx)),
      f"""with {RATINGS} select region, category, subcategory, product_group, item, rating_count, round(rating_avg, 6) as rating_avg, round(system_weight, 6) as system_weight,
  system_rating_count, round(system_rating_avg, 6) as system_rating_avg, round(score, 6) as score, label from ratings""")
@@ -239,10 +246,10 @@ def _complexity(fx):
 
 DURATIONS = """visit_start as (select visit_id, min(session_start) as session_start from (
    select unnest(from_json(visit_ids, '["VARCHAR"]')) as visit_id, session_start from site_session) v group by 1),
-completed as (select d.session_id, min(v.session_start) as session_start from design_session d join visit_start v on v.visit_id = d.visit_id where d.label = 'Continue Button' group by 1),
+completed as (select d.unique_session_id, min(v.session_start) as session_start from design_session d join visit_start v on v.visit_id = d.visit_id where d.label = 'Continue Button' group by 1),
 shared as (select work_id, count(distinct session_id) > 1 as is_shared from design_session where work_id is not null group by 1),
 timed as (select m.item, d.country, coalesce(s.is_shared, false) as is_shared, d.session_id, d.work_id, d.duration_ms from design_session d
-   join completed c on c.session_id = d.session_id left join shared s on s.work_id = d.work_id
+   join completed c on c.unique_session_id = d.unique_session_id left join shared s on s.work_id = d.work_id
    join product_mapping m on m.product_key = d.product_key and m.country = d.country and c.session_start >= m.valid_from and c.session_start < m.valid_to
    where d.label = 'Studio review page view'),
 durations as (
@@ -260,8 +267,11 @@ _add("proxy_design_complexity", lambda fx: tidy(_complexity(fx)),
 
 
 def _features(fx):
+    """Active versions and base items stand in many branches: built once."""
+    fx._frames["base_item"] = stage(fx, "base_item", lambda f: f.base_item)
+    stage(fx, "active", _active)
     price = _prices(fx).select("product_key", "country", "currency", "moq", "total_moq_price", "unit_moq_price")
-    item_price = price.dropDuplicates(["product_key", "country"])
+    item_price = ranking.latest(price, ["product_key", "country"], ["moq", "total_moq_price", "unit_moq_price", "currency"])
     return M.all_features(
         M.all_items(_mapping(fx), _active(fx), fx.product), fx.country_region,
         by_item=[_categories(fx), _dates(fx), M.logomaker_flags(fx.logo_payload)],

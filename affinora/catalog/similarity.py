@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from affinora.catalog.common import tidy
 from affinora.functions import color, text, vector, vocab
-from affinora.operators import quality
+from affinora.operators import quality, ranking
 from affinora.plans import embeddings as E
 from affinora.plans import similarity as S
-from affinora.session import cut_lineage, spread
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -219,7 +218,7 @@ def _long(df, keys, column):
     return df.select(*keys, F.posexplode_outer(column).alias("pos", "x"))
 
 
-_add("text_embedding", lambda fx: tidy(_long(spread(fx.documents.select("doc_id", "text")).select("doc_id", vector.text_embedding(F.col("text"), 18).alias("v")), ["doc_id"], "v")),
+_add("text_embedding", lambda fx: tidy(_long(fx.documents.select("doc_id", vector.text_embedding(F.col("text"), 18).alias("v")), ["doc_id"], "v")),
      f"select doc_id, pos, round(x, 6) + 0 as x from ({text_vector_sql('documents', 'doc_id', 'text', 18)}) v")
 
 
@@ -267,12 +266,11 @@ def _pairs(fx):
     return S.similar_pairs(fx.config, GROUPS, THRESHOLD)
 
 
-def _sided(fx):
-    return S.with_sides(cut_lineage(_pairs(fx)), fx.config, _SIDE)
-
-
 def _substitutes(fx):
-    return S.substitutable_pairs(_sided(fx), MIN_COLOR, ["G3"], 0.3)
+    """Only usable targets are paired; Lab and colour name are worked out once per config."""
+    usable = F.coalesce((F.col("is_inactive") == 0) & (F.col("is_constrained") == 0), F.lit(False))
+    pairs = S.similar_pairs(fx.config, GROUPS, THRESHOLD, targets=usable)
+    return S.substitutable_pairs(S.with_sides(pairs, S.with_color(fx.config), [*_SIDE, "lab", "basic_color"]), MIN_COLOR, ["G3"], 0.3)
 
 
 def _ranked(fx):
@@ -313,15 +311,13 @@ _add("substitute_lists", lambda fx: tidy(_lists(fx)),
 _EVALS = [*vocab.VOCABULARIES, "color"]
 
 
-def _all_ranked(fx):
-    """Every similar pair ranked by similarity: the metrics' input."""
-    from affinora.operators import ranking
-
-    return ranking.with_row_number(_sided(fx), ["source"], [F.desc("similarity"), F.asc("target")])
+def _nearest(fx):
+    """The ranks of similar pairs that the ranking metrics look at."""
+    return ranking.top_k(_pairs(fx), ["source"], [F.desc("similarity"), F.asc("target")], 10)
 
 
 def _evaluated(fx):
-    return S.attribute_precision(_all_ranked(fx), RELEVANT)
+    return S.attribute_precision(_ranked(fx), RELEVANT)
 
 
 def _relevant_sql(attribute, group):
@@ -347,11 +343,11 @@ _AGREE = {
   when a.sleeve_style <> 'LONG SLEEVE' and b.sleeve_style <> 'LONG SLEEVE' then 1 else 0 end""",
     "fit_type": "case when a.fit_type = b.fit_type then 1 else 0 end",
 }
-EVALS = f"""{PAIRS}, {ANCHORS}, {named_sql('config', 'color_hex', 'code')},
-evals as (select p.market, p.source, p.target, a.product_group, row_number() over (partition by p.source order by similarity desc, p.target) as rank,
+EVALS = f"""{SUBS},
+evals as (select p.market, p.source, p.target, a.product_group, p.rank,
  {', '.join(f"case when {_relevant_sql(n, 'a.product_group')} then {sql} end as {n}_eval" for n, sql in _AGREE.items())},
  1 - {cmc_sql('x.p_', 'y.p_')} / 100 as color_eval
- from pairs p join config a on a.config_id = p.source join config b on b.config_id = p.target join named x on x.code = a.color_hex join named y on y.code = b.color_hex)"""
+ from ranked p join config a on a.config_id = p.source join config b on b.config_id = p.target join named x on x.code = a.color_hex join named y on y.code = b.color_hex)"""
 _add("attribute_precision", lambda fx: tidy(_evaluated(fx).select("source", "target", "rank", *[f"{n}_eval" for n in _EVALS])),
      f"with {EVALS} select source, target, rank, {', '.join(f'{n}_eval::bigint as {n}_eval' for n in _AGREE)}, round(color_eval, 6) as color_eval from evals")
 _add("precision_at_k", lambda fx: tidy(S.precision_at_k(_evaluated(fx))),
@@ -377,7 +373,8 @@ _IDS = [f"cfg{i}" for i in range(0, 500, 25)]
 
 
 def _topk(fx):
-    rows = _sided(fx).withColumns({"_a": color.hex_to_lab(F.col("source_color_hex")), "_b": color.hex_to_lab(F.col("target_color_hex"))})
+    mine = S.similar_pairs(fx.config, GROUPS, THRESHOLD, sources=F.col("config_id").isin(_IDS))
+    rows = S.with_sides(mine, fx.config, _SIDE).withColumns({"_a": color.hex_to_lab(F.col("source_color_hex")), "_b": color.hex_to_lab(F.col("target_color_hex"))})
     rows = rows.withColumn("color_distance", 1 - color.color_similarity(F.col("_a"), F.col("_b")))
     return S.topk_similar(rows, _IDS, 5)
 
@@ -396,13 +393,14 @@ _add("side_by_side", lambda fx: tidy(S.side_by_side(_topk(fx), fx.config, ["gend
 
 def _judged(fx):
     ids = F.sequence(F.lit(1), F.lit(8))
-    rows = fx.config.select(F.col("config_id").alias("source"), F.expr("cast(substring(config_id, 4) as int)").alias("n"), F.explode(ids).alias("position"))
-    return rows.select("source", F.concat(F.lit("cfg"), ((F.col("n") + F.col("position") * 20) % 500).cast("string")).alias("target"), "position")
+    total = F.broadcast(fx.config.agg(F.count("*").cast("int").alias("total")))  # one row
+    rows = fx.config.select(F.col("config_id").alias("source"), F.expr("cast(substring(config_id, 4) as int)").alias("n"), F.explode(ids).alias("position")).crossJoin(total)
+    return rows.select("source", F.concat(F.lit("cfg"), ((F.col("n") + F.col("position") * 20) % F.col("total")).cast("string")).alias("target"), "position")
 
 
-_add("ranking_quality", lambda fx: tidy(S.ranking_quality(_all_ranked(fx).select("source", "target", "rank"), _judged(fx))),
+_add("ranking_quality", lambda fx: tidy(S.ranking_quality(_nearest(fx).select("source", "target", "rank"), _judged(fx))),
      f"""with {PAIRS}, ret as (select source, target, row_number() over (partition by source order by similarity desc, target) as rank from pairs),
-judged as (select config_id as source, concat('cfg', cast((cast(substring(config_id, 4) as int) + pos * 20) % 500 as string)) as target, pos from (select config_id, unnest(range(1, 9)) as pos from config) c),
+judged as (select config_id as source, concat('cfg', cast((cast(substring(config_id, 4) as int) + pos * 20) % total as string)) as target, pos from (select config_id, unnest(range(1, 9)) as pos, (select count(*) from config) as total from config) c),
 rel as (select r.source, r.rank, coalesce(8 - j.pos + 1, 0) as relevance, k from ret r left join judged j on j.source = r.source and j.target = r.target, (values (5), (10)) ks(k) where r.rank <= k),
 ideal as (select *, row_number() over (partition by source, k order by relevance desc, rank) as ir from rel)
 select source, ideal.k::bigint as k, count(*) filter (relevance > 0) / ideal.k as precision, round(coalesce(sum(relevance / log2(rank + 1.0)) / nullif(sum(relevance / log2(ir + 1.0)), 0), 0), 6) as ndcg from ideal group by source, ideal.k""")

@@ -8,7 +8,6 @@ MIN_LIST_LENGTH = 5
 MAX_BUNDLE_RANK = 40
 MAX_VIEW_RANK = 50
 CONVICTION_EPSILON = 1e-10
-INDUSTRY_DAYS = 91
 INDUSTRY_CONFIDENCE = 8
 INDUSTRY_TOP = 20
 INDEX_WEIGHTS = {"order": 2.0, "cart": 1.5, "view": 1.0}
@@ -18,8 +17,6 @@ COLOR_THRESHOLD = 0.83
 COLOR_THRESHOLD_RELAXED = 0.5
 BULK_SHRINK_BELOW = 50
 PRIOR_WEIGHT_QUANTILE = 0.2
-COUNT_DRIFT = 0.05
-GROUP_DRIFT = 0.1
 EMBEDDING_DIMS = {
     "type": 18, "numeric_color": 10, "numeric_other": 4, "categorical": 4,
     "gender": 18, "sleeve": 12, "other": 12,

@@ -22,7 +22,7 @@ LOCALE_ALL = "ALL"
 VIEWS: dict[str, str] = {}
 
 VIEWS["country_region"] = """
-select n.n_nationkey as nation_key, concat('C', cast(n.n_nationkey as string)) as country, lower(r.r_name) as region,
+select n.n_nationkey as nation_key, cast(n.n_nationkey % 9 as int) as utc_offset, concat('C', cast(n.n_nationkey as string)) as country, lower(r.r_name) as region,
        concat('C', cast(min(n.n_nationkey) over (partition by r.r_regionkey) as string)) as primary_country
 from nation n join region r on n.n_regionkey = r.r_regionkey
 """
@@ -57,7 +57,7 @@ where m.version_no = 2
 """
 
 VIEWS["order_line"] = """
-select distinct c.region, c.country, o.o_orderkey as order_number, l.l_linenumber as line_no, p.item, p.product_key,
+select distinct c.region, c.country, c.utc_offset, o.o_orderkey as order_number, l.l_linenumber as line_no, p.item, p.product_key,
        p.product_group, l.l_quantity as quantity, l.l_extendedprice as total, o.o_orderdate as created_at,
        o.o_custkey as customer_id
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey
@@ -66,9 +66,8 @@ join country_region c on c.country = concat('C', cast(cu.c_nationkey as string))
 join product p on p.item = l.l_partkey
 """
 
-# Order lines rolled up to 500 store articles: dense baskets in every region at every scale.
 VIEWS["basket_line"] = """
-select distinct upper(c.region) as locale, o.o_orderkey as basket, l.l_partkey % 500 as item, o.o_orderdate as created_at
+select distinct upper(c.region) as locale, o.o_orderkey as basket, l.l_partkey as item, o.o_orderdate as created_at
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 join customer cu on o.o_custkey = cu.c_custkey
 join country_region c on c.country = concat('C', cast(cu.c_nationkey as string))
@@ -128,9 +127,9 @@ from order_line where order_number % 3 = 0
 """
 
 VIEWS["design_session"] = """
-select i.event_id, concat('u', cast(i.event_id % 997 as string)) as session_id,
-       concat('v', cast(i.event_id % 499 as string)) as visit_id,
-       case when i.event_id % 6 = 0 then null else concat('w', cast(i.event_id % 701 as string)) end as work_id,
+select i.event_id, concat('u', i.visit, '-', cast(i.event_id % 2 as string)) as unique_session_id, concat('s', i.visit) as session_id,
+       concat('v', i.visit) as visit_id,
+       case when i.event_id % 6 = 0 then null else concat('w', i.anonymous_id, '-', cast(i.event_id % 4 as string)) end as work_id,
        concat('PRD-', cast(i.item as string)) as product_key, i.country, i.region, i.ts,
        case when i.event_id % 3 = 0 then 'Continue Button' else 'Studio review page view' end as label,
        cast(round(i.value * 1000) as bigint) as duration_ms
@@ -140,8 +139,8 @@ from item_event i
 # One row per site session with the JSON list of the visits it covers.
 VIEWS["site_session"] = """
 select event_id as site_session_id, ts as session_start,
-       concat('["v', cast(event_id % 499 as string), '","v', cast((event_id + 1) % 499 as string), '"]') as visit_ids
-from events where event_id % 2 = 0
+       concat('["v', visit, '","v', cast(item as string), '-', visit, '"]') as visit_ids
+from item_event where event_id % 2 = 0
 """
 
 VIEWS["fx_rate"] = """
@@ -229,7 +228,7 @@ from product
 VIEWS["hierarchy_payload"] = """
 select c.country, concat('[{"id":"', p.site_category, '","parentId":"', upper(substring(p.site_category, 1, 2)), '-', c.region, '","type":"category"},{"id":"', cast(p.item as string),
        '","parentId":"', case when p.item % 9 = 0 then 'orphan' else p.site_category end, '","type":"product"}]') as body
-from (select item, site_category, {series:0:2} as nation_no from product) p
+from (select item, site_category, {series:0:24} as nation_no from product) p
 join country_region c on c.nation_key = p.nation_no
 """
 

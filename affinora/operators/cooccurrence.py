@@ -12,12 +12,12 @@ def distinct_baskets(df: DataFrame, segment: str, basket: str, item: str) -> Dat
     """Distinct (segment, basket, item) rows with the basket's article count.
 
     The distinct combines map-side, so a basket repeated in a third of the input collapses to its
-    distinct articles before the shuffle.
+    distinct articles before the shuffle; its size is a combined count joined back, not a window over it.
     """
     rows = df.select(F.col(segment).alias("segment"), F.col(basket).alias("basket"), F.col(item).alias("item"))
     rows = rows.filter("segment is not null and basket is not null and item is not null").distinct()
-    size = F.count(F.lit(1)).over(Window.partitionBy("segment", "basket"))
-    return rows.withColumn("basket_size", size)
+    sizes = rows.groupBy("segment", "basket").agg(F.count(F.lit(1)).alias("basket_size"))
+    return rows.join(sizes, ["segment", "basket"])
 
 
 def item_totals(baskets: DataFrame) -> DataFrame:

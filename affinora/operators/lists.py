@@ -1,10 +1,8 @@
-"""Ordered lists and fan-out."""
+"""Ordered lists."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -19,12 +17,3 @@ def ordered_array(order: str | Column, value: str | Column) -> Column:
 def ordered_text(order: str | Column, value: str | Column, sep: str = ",") -> Column:
     """Aggregate: values as one text in ascending order of ``order``."""
     return F.array_join(F.transform(ordered_array(order, value), lambda x: x.cast("string")), sep)
-
-
-def fan_out(df: DataFrame, mapping: DataFrame, on: Sequence[str]) -> DataFrame:
-    """One output row per row and mapped value (region to countries)."""
-    return df.join(mapping, list(on))
-
-
-def contains_token(text: Column, token: Column) -> Column:
-    return F.contains(text, token)

@@ -5,16 +5,30 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinora.operators import ranking
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None) -> DataFrame:
+
+def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
+    """The first source row of each key in ``order``; without an order, a job that meets a repeated key fails."""
+    if order is not None:
+        return ranking.latest(source, keys, order)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    refused = F.when(n > 1, F.raise_error(F.lit("several source rows share one merge key")).cast("boolean")).otherwise(F.lit(True))
+    return source.withColumn("_single", refused).filter("_single").drop("_single")
+
+
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str] | None = None, order: Sequence[str | Column] | None = None
+) -> DataFrame:
     """Target after MERGE: matched rows updated, new rows inserted. New source columns are added.
 
-    With ``update_cols`` only those columns change on a match.
+    With ``update_cols`` only those columns change on a match. Repeated source keys are refused, or reduced by ``order``.
     """
     keys = list(keys)
+    source = one_per_key(source, keys, order)
     if update_cols is None:
         kept = target.join(source.select(*keys), keys, "left_anti")
         return kept.unionByName(source, allowMissingColumns=True)
@@ -44,9 +58,14 @@ def delete_not_matched_by_source(target: DataFrame, source: DataFrame, keys: Seq
 
 def changed_rows(
     incoming: DataFrame, current: DataFrame, keys: Sequence[str], version: str, price: str,
-    attributes: Sequence[str], price_tolerance: float = 0.05,
+    attributes: Sequence[str], price_tolerance: float = 0.05, full_refresh: bool = False,
 ) -> DataFrame:
-    """Incoming rows that are new, changed version, moved price by the tolerance, or changed an attribute."""
+    """Incoming rows that are new, changed version, moved price by the tolerance, or changed an attribute.
+
+    A full refresh takes every incoming row, as ``refresh``.
+    """
+    if full_refresh:
+        return incoming.withColumn("change", F.lit("refresh"))
     old = current.select(
         *keys, *[F.col(c).alias(f"_old_{c}") for c in (version, price, *attributes)], F.lit(True).alias("_known")
     )
@@ -80,7 +99,9 @@ def retain_since(df: DataFrame, column: str, as_of: str, months: int = 13) -> Da
     return df.filter(F.col(column) >= F.add_months(F.lit(as_of).cast("date"), -months))
 
 
-def add_missing_columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    """Additive schema evolution: columns of ``like`` that ``df`` lacks, as nulls."""
-    missing = [f for f in like.schema.fields if f.name not in df.columns]
-    return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+def lower_case_columns(df: DataFrame) -> DataFrame:
+    """All column names in lower case; names that only differ in case are refused."""
+    names = [c.lower() for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns differ only in case: {df.columns}")
+    return df.toDF(*names)

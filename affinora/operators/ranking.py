@@ -29,17 +29,6 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Order]) -> DataFr
     return top_k(df, keys, order, 1, "_latest").drop("_latest")
 
 
-def latest_by_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key holding the greatest ``order`` columns, as a map-side combined aggregate.
-
-    Use it where a key may own a large share of all rows: partial ``max`` ships one row per key
-    and task.
-    """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*order, *rest)
-    return df.groupBy(*keys).agg(F.max(packed).alias("_top")).select(*keys, "_top.*").select(*df.columns)
-
-
 def min_list_length(df: DataFrame, keys: Sequence[str], rank: str, at_least: int) -> DataFrame:
     """Keep keys whose longest rank reaches ``at_least``."""
     best = F.max(rank).over(Window.partitionBy(*keys))
@@ -58,10 +47,22 @@ def mode_value(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def percent_rank_of_known(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Percent rank among the non-null values of each key; null values get a null rank."""
-    is_null = F.col(value).isNull()
-    window = Window.partitionBy(*keys, is_null).orderBy(value)
-    return df.withColumn(name, F.when(~is_null, F.percent_rank().over(window)))
+    """Percent rank among the non-null values of each key; null values get a null rank.
+
+    Works on counts per distinct value and bucket of values, so no key is sorted in one task: the rank is
+    the number of rows with smaller values, from the sizes of smaller buckets and of smaller values inside one.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    # signed power-of-two scale: ascending in the value, so rows of one bucket are neighbours
+    size = F.floor(F.log2(F.abs(F.col(value)) + 1) * 16)
+    counts = counts.withColumn("_bucket", F.when(F.col(value) < 0, -size - 1).otherwise(size))
+    sizes = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"), F.sum("_size").over(Window.partitionBy(*keys)).alias("_total"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    smaller = counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(offsets, [*keys, "_bucket"])
+    rank = F.when(F.col("_total") > 1, (F.col("_offset") + F.col("_inside")) / (F.col("_total") - 1)).otherwise(F.lit(0.0))
+    return df.join(smaller.select(*keys, value, rank.alias(name)), [*keys, value], "left").select(*df.columns, name)
 
 
 def distributed_row_number(

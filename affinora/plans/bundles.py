@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from affinora import config
 from affinora.operators import cooccurrence, lists, ranking
+from affinora.plans.item_master import canonical_country
 
 KEYS = ["locale", "source"]
 
@@ -23,6 +24,18 @@ def _view_order():
     return [F.desc("conviction"), F.desc("confidence"), F.desc("support"), F.asc("target")]
 
 
+def valid_at(mapping: DataFrame, as_of: str) -> DataFrame:
+    """Rows of a validity table (valid_from, valid_to; half-open) that hold at a time."""
+    at = F.lit(as_of).cast("timestamp")
+    return mapping.filter((F.col("valid_from") <= at) & (F.col("valid_to") > at))
+
+
+def map_items(lines: DataFrame, mapping: DataFrame, as_of: str) -> DataFrame:
+    """Order lines with the article of their product key and country valid at ``as_of``; UK on the order side is GB."""
+    keys = valid_at(mapping, as_of).select("product_key", "country", "item").distinct()
+    return lines.withColumn("country", canonical_country("country")).join(keys, ["product_key", "country"])
+
+
 def co_purchase_rules(
     lines: DataFrame, since: str, locale: str = "locale", basket: str = "basket", item: str = "item",
     created_at: str = "created_at", min_count: int = config.MIN_PAIR_COUNT, min_targets: int = config.MIN_LIST_LENGTH,
@@ -56,7 +69,7 @@ def rank_rules(rules: DataFrame, accessories: DataFrame, by: str = "purchase", t
 
 def exclude_same_category(ranked: DataFrame, items: DataFrame, category: str = "site_category") -> DataFrame:
     """Drop pairs of one category and close the rank gaps. A side without category is kept."""
-    cats = items.select("locale", "item", F.col(category).alias("_cat")).dropDuplicates(["locale", "item"])
+    cats = items.groupBy("locale", "item").agg(F.min(category).alias("_cat"))
     left = cats.select("locale", F.col("item").alias("source"), F.col("_cat").alias("_source_cat"))
     right = cats.select("locale", F.col("item").alias("target"), F.col("_cat").alias("_target_cat"))
     joined = ranked.join(left, KEYS, "left").join(right, ["locale", "target"], "left")
@@ -98,7 +111,8 @@ def donor_fill(primary: DataFrame, filled: DataFrame, universe: DataFrame) -> Da
     The donor is the article with the largest rule count; primary donors win over all others. One
     donor exists per (locale, product_group), so the borrowed list is a small join side.
     """
-    groups = universe.select("locale", F.col("item").alias("source"), "product_group").dropDuplicates(KEYS)
+    universe = universe.groupBy("locale", "item").agg(F.min("product_group").alias("product_group"))
+    groups = universe.select("locale", F.col("item").alias("source"), "product_group")
 
     def donors(rows: DataFrame, name: str) -> DataFrame:
         sources = rows.groupBy(*KEYS).agg(F.max("target_count").alias("target_count"))
@@ -108,14 +122,16 @@ def donor_fill(primary: DataFrame, filled: DataFrame, universe: DataFrame) -> Da
         )
         return best.select("locale", "product_group", F.col("source").alias(name))
 
-    missing = uncovered(universe.select("locale", "item", "product_group"), filled).dropDuplicates(["locale", "item"])
-    chosen = (
-        missing.join(donors(primary, "_first"), ["locale", "product_group"], "left")
-        .join(donors(filled, "_second"), ["locale", "product_group"], "left")
-        .select("locale", "item", F.coalesce("_first", "_second").alias("source"))
-        .filter(F.col("source").isNotNull())
+    missing = uncovered(universe, filled)
+    first = donors(primary, "_first").join(donors(filled, "_second"), ["locale", "product_group"], "full_outer")
+    # The donor's list travels as one array per (locale, product_group), so that the many articles of a group
+    # that lack a list don't all meet the donor's rows under one join key.
+    rest = [c for c in filled.columns if c not in KEYS]
+    lent = (
+        first.select("locale", "product_group", F.coalesce("_first", "_second").alias("source")).join(filled, KEYS)
+        .groupBy("locale", "product_group").agg(F.collect_list(F.struct(*rest)).alias("_list"))
     )
-    borrowed = chosen.join(filled, KEYS).drop("source").withColumnRenamed("item", "source")
+    borrowed = missing.join(lent, ["locale", "product_group"]).select("locale", F.col("item").alias("source"), F.explode("_list").alias("_row")).select(*KEYS, "_row.*")
     return filled.unionByName(borrowed.withColumn("origin", F.lit("donor")).select(*filled.columns))
 
 

@@ -170,9 +170,9 @@ def engagement(
 ) -> DataFrame:
     """Normalised interactions before the customer filter.
 
-    A configure-page view counts only at the first time of its search (compared as search and time,
-    so the mass of views without a search never meets in one window); gallery and studio views count
-    once per visit, item and section.
+    A configure-page view counts only at the first time of its search in its region (compared as search
+    and time, so the mass of views without a search never meets in one window); gallery and studio views
+    count once per visit, item and section.
     """
     rows = events if kinds is None else events.filter(F.col("kind").isin(kinds))
     in_time = (F.col("ts") > F.lit(since).cast("timestamp")) & (F.col("ts") < F.lit(until).cast("timestamp"))
@@ -181,8 +181,9 @@ def engagement(
     is_view, section = F.col("kind") == "view", F.col("page_section")
     is_configure = is_view & (section == _CONFIGURE)
     is_browse = is_view & section.isin(_VIEW_SECTIONS_CLICK)
-    firsts = rows.filter(is_view).groupBy(F.col("page_search").alias("_search")).agg(F.min("ts").alias("_first"))
-    rows = rows.join(firsts, F.col("page_search").eqNullSafe(F.col("_search")) & (F.col("ts") == F.col("_first")), "left")
+    firsts = rows.filter(is_view).groupBy(F.col("region").alias("_region"), F.col("page_search").alias("_search")).agg(F.min("ts").alias("_first"))
+    same = F.col("region").eqNullSafe(F.col("_region")) & F.col("page_search").eqNullSafe(F.col("_search"))
+    rows = rows.join(firsts, same & (F.col("ts") == F.col("_first")), "left")
     rows = rows.filter(~is_configure | F.col("_first").isNotNull())
 
     # One aggregate does both jobs: a browse view keeps its first row per visit, item and section,

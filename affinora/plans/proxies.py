@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from affinora import config
 from affinora.functions import stats
 from affinora.operators import ranking
+from affinora.plans.item_master import canonical_country
+
+
+def utc_time(column: str, zone: str | None) -> Column:
+    """A local time as UTC; ``zone`` is a column with the zone or offset of the row, none for times in UTC."""
+    return F.col(column) if zone is None else F.to_utc_timestamp(F.col(column), F.col(zone))
 
 
 def valid_mapping(rows: DataFrame, mapping: DataFrame, at: str | Column) -> DataFrame:
@@ -66,11 +72,17 @@ def _labelled(df: DataFrame, score: Column) -> DataFrame:
     return ranked.withColumn("label", stats.quartile_label(F.col("pct_rank"))).drop("pct_rank")
 
 
-def bulk_proxy(lines: DataFrame, mapping: DataFrame, base: DataFrame, since: str, excluded: list[str]) -> DataFrame:
-    """Order-quantity tag per (region, item); products below 50 orders are shrunk to their group."""
+def bulk_proxy(
+    lines: DataFrame, mapping: DataFrame, base: DataFrame, since: str, excluded: list[str], zone: str | None = None
+) -> DataFrame:
+    """Order-quantity tag per (region, item); products below 50 orders are shrunk to their group.
+
+    Order times are local: ``zone`` names the column with their zone. UK on the order side is GB.
+    """
     groups = ["region", "category", "subcategory", "product_group"]
     recent = lines.filter((F.col("created_at") >= F.lit(since).cast("timestamp")) & F.col("product_key").isNotNull())
-    mapped = valid_mapping(recent.select("product_key", "country", "order_number", "quantity", "created_at"), mapping, "created_at")
+    timed = recent.select("product_key", canonical_country("country").alias("country"), "order_number", "quantity", utc_time("created_at", zone).alias("_time"))
+    mapped = valid_mapping(timed, mapping, "_time").drop("_time")
     levels = base.select(F.col("item").alias("mapped_item"), "country", *groups)
     sold = mapped.join(levels, ["mapped_item", "country"]).withColumnRenamed("mapped_item", "item")
     product = (
@@ -86,14 +98,17 @@ def bulk_proxy(lines: DataFrame, mapping: DataFrame, base: DataFrame, since: str
 
 
 def ratings_proxy(
-    reviews: DataFrame, lines: DataFrame, mapping: DataFrame, base: DataFrame, excluded: list[str]
+    reviews: DataFrame, lines: DataFrame, mapping: DataFrame, base: DataFrame, excluded: list[str], zone: str | None = None
 ) -> DataFrame:
-    """Rating tag per (region, item), always shrunk to the subcategory; dated by the order, else by the review."""
+    """Rating tag per (region, item), always shrunk to the subcategory; dated by the order, else by the review.
+
+    A review counts once: repeated order lines of its key give the earliest time.
+    """
     groups = ["region", "category", "subcategory"]
-    ordered = lines.select("order_number", "line_no", F.col("created_at").alias("_ordered_at"))
+    ordered = lines.groupBy("order_number", "line_no").agg(F.min(utc_time("created_at", zone)).alias("_ordered_at"))
     dated = reviews.filter("published_flag = 1").join(ordered, ["order_number", "line_no"], "left")
     mapped = valid_mapping(
-        dated.select("review_id", "product_key", "country", "rating", "_ordered_at", "created_at"),
+        dated.select("review_id", "product_key", canonical_country("country").alias("country"), "rating", "_ordered_at", "created_at"),
         mapping, F.coalesce("_ordered_at", "created_at"),
     )
     levels = base.select(F.col("item").alias("mapped_item"), "country", *groups, "product_group")
@@ -108,7 +123,7 @@ def ratings_proxy(
         F.countDistinct("review_id").alias("system_rating_count"), F.avg("rating").alias("system_rating_avg")
     )
     rows = _shrunk(product, system, groups, "rating_count", "rating_avg", "system_rating_avg")
-    return _labelled(rows, F.round("shrunk", 3))
+    return _labelled(rows, F.round(F.round("shrunk", 9), 3))
 
 
 def visit_starts(site_sessions: DataFrame, since: str) -> DataFrame:
@@ -123,17 +138,20 @@ def design_durations(
     tracking: DataFrame, site_sessions: DataFrame, mapping: DataFrame, since: str,
     done_label: str = "Continue Button", timed_label: str = "Studio review page view",
 ) -> DataFrame:
-    """Minutes per design of completed sessions. A work touched by several sessions is summed per work."""
+    """Minutes per design of completed sessions. A work touched by several sessions is summed per work.
+
+    Completion follows the unique session; works are told apart and times summed by the user's session.
+    """
     completed = (
         tracking.filter(F.col("label") == done_label).join(visit_starts(site_sessions, since), "visit_id")
-        .groupBy("session_id").agg(F.min("session_start").alias("session_start"))
+        .groupBy("unique_session_id").agg(F.min("session_start").alias("session_start"))
     )
     shared = (
         tracking.filter("work_id is not null").select("work_id", "session_id").distinct()
         .groupBy("work_id").agg((F.count(F.lit(1)) > 1).alias("is_shared"))
     )
     timed = (
-        tracking.filter(F.col("label") == timed_label).join(completed, "session_id").join(shared, "work_id", "left")
+        tracking.filter(F.col("label") == timed_label).join(completed, "unique_session_id").join(shared, "work_id", "left")
         .select("product_key", "country", "session_id", "work_id", "duration_ms", "session_start",
                 F.coalesce("is_shared", F.lit(False)).alias("is_shared"))
     )

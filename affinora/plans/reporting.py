@@ -9,9 +9,10 @@ from affinora.operators import lists, merge, ranking
 
 
 def click_rank(engaged: DataFrame) -> DataFrame:
-    """Clicks per (locale, item) and the item's rank in its locale."""
+    """Clicks per (locale, item) and the item's rank in its locale, numbered per count and first character of the id."""
     counts = engaged.groupBy("locale", "item_id").agg(F.count(F.lit(1)).alias("clicks"))
-    return ranking.with_row_number(counts, ["locale"], [F.desc("clicks"), F.asc("item_id")], "click_rank")
+    order = [F.desc("clicks"), F.asc("item_id")]
+    return ranking.distributed_row_number(counts, ["locale"], [-F.col("clicks"), F.substring("item_id", 1, 1)], order, "click_rank", "_items").drop("_items")
 
 
 def current_versions(versions: DataFrame, as_of: str) -> DataFrame:

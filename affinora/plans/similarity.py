@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,13 +24,13 @@ def group_pairs(df: DataFrame, table: dict[str, list[str]]) -> DataFrame:
 
 def similar_pairs(
     configs: DataFrame, groups: dict[str, list[str]] | None = None, threshold: float = config.SIMILARITY_THRESHOLD,
-    targets: Column | None = None, tile: int = config.VECTOR_TILE, id_column: str = "config_id",
+    targets: Column | None = None, tile: int = config.VECTOR_TILE, id_column: str = "config_id", sources: Column | None = None,
 ) -> DataFrame:
     """(source, target, similarity) of one market, different products, comparable groups, cosine above the threshold.
 
     Exact, without materialising the pairs of a block:
 
-    1. ``targets`` filters the target side before anything is paired.
+    1. ``targets`` and ``sources`` filter their sides before anything is paired.
     2. Vectors are normalised; each falls into a band by its angle to a fixed direction. Two vectors
        whose cosine exceeds the threshold differ by at most ``acos(threshold)`` in that angle, so
        only neighbouring bands can match.
@@ -49,18 +49,18 @@ def similar_pairs(
     rows = (
         configs.filter(vector.norm(F.col("embedding")) > 0)
         .select(F.col(id_column).alias("id"), "market", "product_key", "product_group", unit.alias("_unit"),
-                (targets if targets is not None else F.lit(True)).alias("_is_target"))
+                (targets if targets is not None else F.lit(True)).alias("_is_target"), (sources if sources is not None else F.lit(True)).alias("_is_source"))
         .withColumn("_band", F.floor(angle / width).cast("int"))
     )
     block = ["market", "product_group", "_band"]
     # the split count comes from the block's row count: one small aggregate row per band
     sizes = rows.groupBy(*block).agg(
-        F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_n_source"),
+        F.ceil(F.count_if(F.coalesce("_is_source", F.lit(False))) / tile).cast("int").alias("_n_source"),
         F.ceil(F.count_if(F.coalesce("_is_target", F.lit(False))) / tile).cast("int").alias("_n_target"),
     )
     bands = math.ceil(reach / width)
     near = F.explode(F.sequence(F.col("_band") - bands, F.col("_band") + bands))
-    source_blocks = group_pairs(sizes.select(*block, "_n_source"), groups).withColumn("_tband", near)
+    source_blocks = group_pairs(sizes.filter("_n_source > 0").select(*block, "_n_source"), groups).withColumn("_tband", near)
     target_blocks = sizes.filter("_n_target > 0").select(
         "market", F.col("product_group").alias("_target_group"), F.col("_band").alias("_tband"), "_n_target"
     )
@@ -71,7 +71,7 @@ def similar_pairs(
 
     key = ["market", "product_group", "_band", "_target_group", "_tband", "_s", "_t"]
     left = (
-        rows.join(block_pairs, block).withColumn("_s", slot("_n_source"))
+        rows.filter("_is_source").join(block_pairs, block).withColumn("_s", slot("_n_source"))
         .withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_n_target") - 1)))
         .select(*key, "id", "product_key", "_unit")
     )
@@ -114,24 +114,30 @@ def with_sides(pairs: DataFrame, configs: DataFrame, columns: Sequence[str], id_
     return pairs.join(source, "source").join(target, "target")
 
 
+def with_color(configs: DataFrame) -> DataFrame:
+    """Configs with their Lab colour and the name of the nearest basic colour."""
+    labs = configs.withColumn("lab", color.hex_to_lab(F.col("color_hex")))
+    return labs.withColumn("basic_color", color.nearest_basic_color(F.col("lab")))
+
+
 def substitutable_pairs(
     sided: DataFrame, min_color: float = config.COLOR_THRESHOLD, relaxed_groups: Sequence[str] = ("Bottoms",),
     relaxed_color: float = config.COLOR_THRESHOLD_RELAXED, exact_names: Sequence[str] = ("pink",),
 ) -> DataFrame:
-    """Active, unconstrained targets with a smaller or equal minimum quantity and a close colour."""
+    """Active, unconstrained targets with a smaller or equal minimum quantity and a close colour.
+
+    Both sides carry ``lab`` and ``basic_color`` of ``with_color``, worked out per config and not per pair.
+    """
     usable = sided.filter(
         "target_is_inactive = 0 and target_is_constrained = 0 and source_moq >= target_moq"
     )
-    labs = usable.withColumn("_a", color.hex_to_lab(F.col("source_color_hex"))).withColumn("_b", color.hex_to_lab(F.col("target_color_hex")))
-    near = labs.withColumn("color_similarity", color.color_similarity(F.col("_a"), F.col("_b")))
+    near = usable.withColumn("color_similarity", color.color_similarity(F.col("source_lab"), F.col("target_lab")))
     relaxed = F.col("source_product_group").isin(list(relaxed_groups))
     near = near.filter(F.when(relaxed, F.col("color_similarity") >= relaxed_color).otherwise(F.col("color_similarity") >= min_color))
     if exact_names:
-        own = color.nearest_basic_color(F.col("_a"))
-        near = near.withColumn("_name", own).filter(
-            ~F.col("_name").isin(list(exact_names)) | (F.col("_name") == color.nearest_basic_color(F.col("_b")))
-        ).drop("_name")
-    return near.drop("_a", "_b")
+        own = F.col("source_basic_color")
+        near = near.filter(~own.isin(list(exact_names)) | (own == F.col("target_basic_color")))
+    return near.drop("source_lab", "target_lab", "source_basic_color", "target_basic_color")
 
 
 def rank_substitutes(pairs: DataFrame, top: int = config.SIMILARITY_TOP) -> DataFrame:
@@ -264,18 +270,3 @@ def vector_search_by_group(items: DataFrame, query: Column, group: str, vector_c
     """Best item of each group, best group first."""
     scored = items.withColumn("similarity", F.round(vector.cosine(F.col(vector_column), query), 9)).drop(vector_column)
     return ranking.latest(scored, [group], [F.desc("similarity"), F.asc(key)]).orderBy(F.desc("similarity"), F.asc(key))
-
-
-def encode_batches(model_loader, column: str, output: str, batch_rows: int = 64):
-    """Hook for a real text model: a ``mapInPandas`` function that loads the model once per task."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = model_loader()
-        for frame in batches:
-            vectors: list = []
-            texts = frame[column].fillna("").tolist()
-            for start in range(0, len(texts), batch_rows):
-                vectors.extend(np.asarray(encode(texts[start : start + batch_rows]), dtype=float).tolist())
-            yield frame.assign(**{output: vectors})
-
-    return run

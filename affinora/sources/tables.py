@@ -1,59 +1,31 @@
-"""Tables as versioned parquet folders: read, overwrite, append, create once, evolve."""
+"""Catalog tables through Spark's own writer: read, overwrite, append, create once, evolve."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-class TableStore:
-    """Named tables below one folder. A replace writes a new version folder and then moves the pointer,
-    so a table can be rewritten from itself and a lost job leaves the old version readable."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
-
-    def exists(self, name: str) -> bool:
-        fs, path = self._fs(self._pointer(name))
-        return fs.exists(path)
+def read_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+    return spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], schema)
 
-    def location(self, name: str) -> str:
-        return f"{self.root}/{name}/" + self.spark.read.text(self._pointer(name)).first()[0]
 
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.location(name))
+def write(df: DataFrame, name: str, mode: str = "append", partition_by: list[str] | None = None) -> None:
+    """Append to a table or overwrite it as a whole, schema included. A table isn't written from a plan that reads it."""
+    writer = df.write.mode(mode).format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
-    def read_or_empty(self, name: str, schema: T.StructType) -> DataFrame:
-        return self.read(name) if self.exists(name) else self.spark.createDataFrame([], schema)
 
-    def write(self, name: str, df: DataFrame, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-        if mode == "append" and self.exists(name):
-            writer = df.write.mode("append")
-            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.location(name))
-            return
-        self.replace(name, df, partition_by)
+def create_if_absent(df: DataFrame, name: str) -> bool:
+    if df.sparkSession.catalog.tableExists(name):
+        return False
+    df.write.format("parquet").saveAsTable(name)
+    return True
 
-    def replace(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """Overwrite with schema replacement."""
-        version = f"v-{uuid.uuid4().hex}"
-        writer = df.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/{name}/{version}")
-        pointer = self.spark.createDataFrame([(version,)], "value string").coalesce(1)
-        pointer.write.mode("overwrite").text(self._pointer(name))
 
-    def create_if_absent(self, name: str, df: DataFrame) -> bool:
-        if self.exists(name):
-            return False
-        self.replace(name, df)
-        return True
+def add_columns(spark: SparkSession, name: str, like: DataFrame) -> None:
+    """Additive schema evolution: columns of `like` that the table lacks."""
+    have = {c.lower() for c in spark.table(name).columns}
+    missing = [f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields if f.name.lower() not in have]
+    if missing:
+        spark.sql(f"alter table {name} add columns ({', '.join(missing)})")

@@ -19,8 +19,8 @@ def hourly_item_counts(events: DataFrame, keys: list[str] | None = None) -> Data
     return events.groupBy(F.date_trunc("hour", "ts").alias("hour"), *(keys or ["item_id"])).agg(F.count(F.lit(1)).alias("events"))
 
 
-def idle_windows(events: DataFrame, seconds: int, keys: list[str], start: str, end: str) -> DataFrame:
-    """Windows of the range without any event, per key seen in the range.
+def idle_windows(events: DataFrame, seconds: int, keys: list[str], start: str, end: str, watched: DataFrame) -> DataFrame:
+    """Windows of the range without any event, per key of ``watched``; a key without events is idle throughout.
 
     Gaps come from the neighbouring non-empty windows of a key, so no key x window grid is built and
     an always-busy key costs nothing. Merged back to single windows by a sequence over each gap.
@@ -30,7 +30,7 @@ def idle_windows(events: DataFrame, seconds: int, keys: list[str], start: str, e
     slot = F.call_function("div", F.unix_seconds(F.col("ts").cast("timestamp")) - first, F.lit(seconds).cast("bigint"))
     slots = F.call_function("div", last - first, F.lit(seconds).cast("bigint"))
     inside = (F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp"))
-    busy = events.filter(inside).select(*keys, slot.alias("_slot")).distinct()
+    busy = events.filter(inside).select(*keys, slot.alias("_slot")).distinct().join(watched.select(*keys).distinct(), keys, "left_semi")
     by_key = Window.partitionBy(*keys).orderBy("_slot")
     previous = F.coalesce(F.lag("_slot").over(by_key), F.lit(-1).cast("bigint"))
     following = F.lead("_slot").over(by_key)
@@ -39,7 +39,9 @@ def idle_windows(events: DataFrame, seconds: int, keys: list[str], start: str, e
     after = marked.filter(F.col("_is_last") & (F.col("_slot") < slots - 1)).select(
         *keys, (F.col("_slot") + 1).alias("_from"), (slots - 1).alias("_to")
     )
-    gaps = before.unionByName(after).select(*keys, F.explode(F.sequence("_from", "_to")).alias("_slot"))
+    silent = watched.select(*keys).distinct().join(busy.select(*keys), keys, "left_anti")
+    never = silent.select(*keys, F.lit(0).cast("bigint").alias("_from"), (slots - 1).alias("_to"))
+    gaps = before.unionByName(after).unionByName(never).select(*keys, F.explode(F.sequence("_from", "_to")).alias("_slot"))
     return gaps.select(*keys, F.timestamp_seconds(first + F.col("_slot") * seconds).alias("window_start"))
 
 

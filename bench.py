@@ -13,10 +13,10 @@ from affinora import catalog  # noqa: E402
 from affinora.session import local_session  # noqa: E402
 
 HEADLINE = [
-    "fbt_rules", "fbt_rules_item", "fbt_flagship", "fbt_co_view_rules", "fbt_final_lists",
-    "industry_over_index_view", "industry_top_items",
-    "key_mapping", "active_items", "base_items", "proxy_high_value", "proxy_bulk", "proxy_ratings", "proxy_design_complexity",
-    "users_dataset", "interactions_dataset", "popularity_count", "item_to_item", "stratified_user_sample",
+    "fbt_rules", "fbt_rules_item", "fbt_flagship", "fbt_co_view_rules", "fbt_fallback", "fbt_final_lists", "fbt_country_text", "fbt_subset_backfill",
+    "industry_over_index_view", "industry_over_index_order", "industry_top_items",
+    "key_mapping", "active_items", "base_items", "proxy_high_value", "proxy_bulk", "proxy_ratings", "proxy_design_complexity", "all_features",
+    "items_dataset", "users_dataset", "interactions_dataset", "popularity_count", "item_to_item", "stratified_user_sample",
     "product_configs", "clean_configs", "color_features", "text_embedding", "config_embeddings",
     "similar_pairs", "rank_substitutes", "precision_at_k", "vector_search",
     "merge_upsert", "merge_changed_rows", "check_duplicates", "events_per_window", "idle_windows",

@@ -138,14 +138,16 @@ def test_compact_time(spark):
 def test_tables_and_snapshots(spark):
     root = tempfile.mkdtemp(prefix="affinora-test-")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    store = tables.TableStore(spark, root)
-    store.write("t", df)
-    store.write("t", df.withColumn("k", F.col("k") + 2), mode="append")
-    assert store.read("t").count() == 4
-    store.replace("t", merge.merge_upsert(store.read("t"), df.withColumn("v", F.lit("z")).withColumn("extra", F.lit(1)), ["k"]))
-    assert {(r.k, r.v, r.extra) for r in store.read("t").collect()} == {(1, "z", 1), (2, "z", 1), (3, "a", None), (4, "b", None)}
-    assert store.read_or_empty("none", df.schema).count() == 0
-    assert not store.create_if_absent("t", df) and store.create_if_absent("u", df)
+    tables.write(df, "kept_a", "overwrite")
+    tables.write(df.withColumn("k", F.col("k") + 2), "kept_a")
+    assert spark.table("kept_a").count() == 4
+    wide = df.withColumn("v", F.lit("z")).withColumn("extra", F.lit(1))
+    tables.write(merge.merge_upsert(spark.table("kept_a"), wide, ["k"]), "kept_b", "overwrite")
+    assert {(r.k, r.v, r.extra) for r in spark.table("kept_b").collect()} == {(1, "z", 1), (2, "z", 1), (3, "a", None), (4, "b", None)}
+    tables.add_columns(spark, "kept_a", wide)
+    assert spark.table("kept_a").columns == ["k", "v", "extra"]
+    assert tables.read_or_empty(spark, "kept_none", df.schema).count() == 0
+    assert not tables.create_if_absent(df, "kept_a") and tables.create_if_absent(df, "kept_c")
     for stamp in ("20240101000000", "20240201000000", "20240301000000"):
         snapshots.write_snapshot(df.withColumn("stamp", F.lit(stamp)), root, "grp", "items", stamp, parts=3)
     assert snapshots.snapshot_stamps(spark, root, "grp", "items") == ["20240301000000", "20240201000000", "20240101000000"]
@@ -178,5 +180,6 @@ def test_stream_equals_batch_and_late_repeats_drop(spark):
 def test_idle_windows_fill_gaps(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [("a", t0 + dt.timedelta(hours=h)) for h in (1, 2, 5)]
-    got = monitor.idle_windows(spark.createDataFrame(rows, "k string, ts timestamp"), 3600, ["k"], "2024-01-01 00:00:00", "2024-01-01 07:00:00")
-    assert sorted(r.window_start.hour for r in got.collect()) == [0, 3, 4, 6]
+    watched = spark.createDataFrame([("a",), ("b",)], "k string")
+    got = monitor.idle_windows(spark.createDataFrame(rows, "k string, ts timestamp"), 3600, ["k"], "2024-01-01 00:00:00", "2024-01-01 07:00:00", watched)
+    assert sorted((r.k, r.window_start.hour) for r in got.collect()) == [("a", h) for h in (0, 3, 4, 6)] + [("b", h) for h in range(7)]
