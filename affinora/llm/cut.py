@@ -28,5 +28,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of an Arrow batch: with long texts a batch of Spark's default length takes hundreds of MB on both sides.
+ARROW_ROWS = 1000
+
+
+def bounded_batches(df: DataFrame) -> None:
+    """Lets the session send rows to Python in batches of at most `ARROW_ROWS`; a smaller setting stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

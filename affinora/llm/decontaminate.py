@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
+from affinora.llm.cut import bounded_batches
 
 FUNCTIONS = 32
 #: A block of items has about so many items or bytes of text at most.
@@ -135,6 +136,7 @@ def blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
 
 def found_items(docs: DataFrame, text: Column, items: DataFrame, percent: int = 80) -> Column:
     """Array of (item_id, percent contained) per document, over all blocks of items."""
+    bounded_batches(docs)
     context = docs.sparkSession.sparkContext
     columns = [_search(context.broadcast(Index(block, percent)))(text) for block in blocks(items)]
     return F.concat(*columns) if len(columns) > 1 else columns[0]

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
+from affinora.llm.cut import bounded_batches
 
 UNKNOWN = "und"
 ORDER = 3
@@ -163,6 +164,7 @@ class Trees:
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Trees:
     """Learn from text and lang of rows whose crc32(doc_id as text) mod 4 is not 2."""
+    bounded_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), F.col("lang").alias("lang"))
     rows = rows.filter("lang is not null and text is not null").filter(~held_out("doc_id"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}

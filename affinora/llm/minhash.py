@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
 from affinora.llm.components import Forest, components
-from affinora.llm.cut import cut
+from affinora.llm.cut import bounded_batches, cut
 
 SLOTS = 64
 #: Rows of a band: 16 bands of 4 miss a pair at similarity 0.85 once in 130,000 times, one at 0.9 once in ten million.
@@ -189,6 +189,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     compares its members with its smallest one: a linear number of pairs, in which almost all groups come together. Buckets that
     still hold more than one component have all remaining pairs compared by `crowded_links`.
     """
+    bounded_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     sketch = cut(rows.mapInArrow(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"))
     named = sketch.filter("digest is not null and doc_id is not null")

@@ -30,9 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
+from affinora.llm.cut import bounded_batches, cut
 
 #: Labelled documents that the classifier learns from, for either label.
-SAMPLE_PER_LABEL = 6000
+SAMPLE_PER_LABEL = 3000
 #: Terms that are learned at most; the strongest stay.
 TERMS = 2000
 STEMS = (4, 5, 6)
@@ -57,7 +58,7 @@ EDGES = ".,;:!?\"'()[]{}<>|/\\#%&*-_+=~^`…“”„«»‘’‚‹›¡¿"
 #: Words before and after a hit that its context holds.
 WINDOW = 6
 #: Distinct words whose matches a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def edits_allowed(term: str, stem: bool) -> int:
@@ -285,8 +286,7 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 25, ridge: float = 1.0) ->
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
     """Learn from labelled rows whose crc32(doc_id as text) mod 5 is not 0."""
-    from affinora.llm.cut import cut
-
+    bounded_batches(docs)
     rows = cut(sample(docs, labels, per_label).select("text", "toxic"))
     terms, stems = learn_terms(rows)
     fixed = {t: 0.95 for t in INSULTS if t not in terms and not any(t.startswith(s) for s in stems)}

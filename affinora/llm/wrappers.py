@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
+from affinora.llm.cut import bounded_batches
 
 #: Items of one level of a wrapper before its order is given up.
 LONGEST = 60
@@ -369,6 +370,7 @@ def main_text(source: str | None, slots: dict[str, int]) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of pages: page_id, url, text, n_chars."""
+    bounded_batches(pages)
     slots = host_wrappers(pages).withColumn("slots", F.pandas_udf(_slots, "string")("wrapper")).select("host", "slots")
     rows = _with_host(pages).join(slots, "host", "left")
     rows = rows.select("page_id", "url", F.pandas_udf(_extract, "string")("html", "slots").alias("text"))
