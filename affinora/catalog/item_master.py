@@ -131,6 +131,12 @@ _add("missing_descriptions", lambda fx: tidy(M.missing_descriptions(
  select 1 from product p where p.product_key = a.product_key and p.product_version = a.product_version and (p.item % 3 = 0 or p.item % 4 <> 0))""")
 
 
+_add("missing_page_copy", lambda fx: tidy(M.missing_descriptions(
+        _active(fx), fx.page_copy.filter("page_title is not null and page_description is not null"), ["item", "country"])),
+     f"""with {_ACTIVE} select distinct item, country from active a where not exists (
+ select 1 from page_copy p where p.item = a.item and p.country = a.country and p.page_title is not null and p.page_description is not null)""")
+
+
 def _categories(fx):
     return M.site_categories(fx.hierarchy_payload).withColumn("item", F.col("item").cast("bigint"))
 
@@ -171,13 +177,13 @@ def _priced_items(fx):
 
 
 def _high_value(fx):
-    return P.high_value_proxy(_priced_items(fx), fx.fx_rate.select("currency", "rate_to_usd"), EXCLUDED)
+    return P.high_value_proxy(_priced_items(fx), P.rates_of(fx.fx_rate, AS_OF), EXCLUDED)
 
 
 _LABEL = "case when pct_rank <= 0.25 then '4_least' when pct_rank <= 0.5 then '3_low' when pct_rank <= 0.75 then '2_medium' when pct_rank is not null then '1_high' end"
 HIGH_VALUE = """hv_avg as (select region, category, subcategory, product_group, item, min(moq) as default_moq, round(avg(usd), 6) as avg_price from (
    select distinct b.region, b.category, b.subcategory, b.product_group, b.item, b.product_key, b.moq, b.unit_price * f.rate_to_usd as usd
-   from base_item b left join fx_rate f on f.country = b.country where b.category <> 'PROMO') u group by 1, 2, 3, 4, 5),
+   from base_item b left join fx_rate f on f.country = b.country and f.to_currency = 'USD' and f.rate_date = date '2001-08-01' where b.category <> 'PROMO') u group by 1, 2, 3, 4, 5),
 hv1 as (select *, median(avg_price) over (partition by region, product_group) as group_median, median(avg_price) over (partition by region, subcategory) as subcategory_median,
    avg(avg_price) over (partition by region, category) as category_avg from hv_avg),
 hv2 as (select *, coalesce(avg_price, group_median, subcategory_median) as price from hv1),
@@ -274,7 +280,7 @@ def _features(fx):
     item_price = ranking.latest(price, ["product_key", "country"], ["moq", "total_moq_price", "unit_moq_price", "currency"])
     return M.all_features(
         M.all_items(_mapping(fx), _active(fx), fx.product), fx.country_region,
-        by_item=[_categories(fx), _dates(fx), M.logomaker_flags(fx.logo_payload)],
+        by_item=[_categories(fx), _dates(fx), M.logomaker_flags(fx.logo_payload), fx.page_copy],
         by_product=[M.accessory_flags(fx.accessory_payload)],
         by_version=[_copy(fx).drop("item")],
         by_product_country=[item_price, M.available_items(fx.availability_payload)],
@@ -295,7 +301,7 @@ select r.country, r.product_key, r.item, r.priority::bigint as priority, a.produ
  case when p2.item is null then null when p2.item % 3 = 0 then concat('US ', p2.product_name) when p2.item % 4 <> 0 then concat('H ', p2.product_name) end as headline,
  case when p2.item is null then null when p2.item % 3 = 0 then 'D us' when p2.item % 4 <> 0 then 'D gb' end as description,
  case when p2.item is null then null when p2.item % 3 = 0 then 'L2' when p2.item % 4 <> 0 then 'L1' end as highlights,
- c.site_category, c.parent_site_category, pr.currency, pr.moq::bigint as moq, round(pr.total_moq_price::double, 6) as total_moq_price, round(pr.unit_moq_price::double, 6) as unit_moq_price,
+ pc.page_title, pc.page_description, c.site_category, c.parent_site_category, pr.currency, pr.moq::bigint as moq, round(pr.total_moq_price::double, 6) as total_moq_price, round(pr.unit_moq_price::double, 6) as unit_moq_price,
  {_DATE_COLS}, case when l.item is null then 0 else 1 end::bigint as is_logomaker_enabled, k.product_key is not null as is_constrained, av.product_key is not null as is_available,
  hv.label as high_value, bulk.label as bulk, round(bulk.median_quantity, 6) as median_quantity, round(ratings.score, 6) as rating, ratings.label as rating_label,
  round(complexity.score, 6) as studio_minutes, complexity.label as complexity
@@ -303,6 +309,7 @@ from resolved r left join active a on a.country = r.country and a.product_key =
 left join product p on p.product_key = r.product_key
 left join product p2 on p2.product_key = r.product_key and p2.product_version = a.product_version
 left join categories c on c.item = r.item and c.country = r.country
+left join page_copy pc on pc.item = r.item and pc.country = r.country
 left join prices pr on pr.product_key = r.product_key and pr.country = r.country
 left join dates d on d.item = r.item and d.country = r.country
 left join logo l on l.item = r.item and l.country = r.country

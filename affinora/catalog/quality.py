@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from affinora.catalog.common import tidy
 from affinora.operators import merge, quality
+from affinora.session import ensure_checkpoint_dir
+from affinora.sources import snapshots
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -16,6 +20,26 @@ def _add(name, fn, sql):
     ORACLE[name] = sql
 
 
+_SCHEMA = "c_custkey bigint, c_nationkey bigint, c_mktsegment string, c_acctbal double"
+
+
+def _exported(fx):
+    """Two snapshots of the customers per region group: an older one with other balances, and the newest."""
+    root = f"{ensure_checkpoint_dir(fx.spark)}/snapshots-{uuid.uuid4().hex}"
+    rows = fx.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    for group, side in (("even", rows.filter("c_nationkey % 2 = 0")), ("odd", rows.filter("c_nationkey % 2 = 1"))):
+        snapshots.write_snapshot(side.withColumn("c_acctbal", F.lit(0.0)), root, group, "customers", "20240101000000", 4)
+        snapshots.write_snapshot(side, root, group, "customers", "20240201000000", 4)
+    return root
+
+
+_add("snapshot_latest", lambda fx: tidy(snapshots.read_latest(fx.spark, _exported(fx), "even", "customers", _SCHEMA, 2, "20240301000000")),
+     """select c_custkey, c_nationkey, c_mktsegment, case when s = '20240201000000' then round(c_acctbal, 6) else 0.0 end as c_acctbal, s as snapshot
+ from customer, unnest(['20240101000000', '20240201000000']) t(s) where c_nationkey % 2 = 0""")
+_add("snapshot_range", lambda fx: tidy(snapshots.read_range(fx.spark, _exported(fx), {"eu": "even", "us": "odd"}, "customers", _SCHEMA, "20240115000000", "20240401000000")),
+     """select c_custkey, c_nationkey, c_mktsegment, round(c_acctbal, 6) as c_acctbal, case when c_nationkey % 2 = 0 then 'eu' else 'us' end as region, '20240201000000' as snapshot from customer""")
+
+
 _CUR = "select item, country, product_version, unit_price, category, subcategory from base_item where item % 10 <> 3"
 _NEW = """select item, country, case when item % 11 = 0 then product_version + 1 else product_version end as product_version,
  case when item % 7 = 0 then unit_price * 1.1 else unit_price end as unit_price,

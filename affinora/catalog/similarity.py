@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from affinora.catalog.common import tidy
 from affinora.functions import color, text, vector, vocab
 from affinora.operators import quality, ranking
+from affinora.fixtures import ORDERS_AS_OF
 from affinora.plans import embeddings as E
 from affinora.plans import similarity as S
+from affinora.plans.proxies import rates_of
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -95,7 +97,7 @@ def _attributes(fx):
 
 def _configs(fx):
     prices = E.list_prices(fx.price_enumeration, "acme")
-    return E.product_configs(prices, _attributes(fx), fx.fx_rate.select("currency", "rate_to_usd"), fx.product,
+    return E.product_configs(prices, _attributes(fx), rates_of(fx.fx_rate, ORDERS_AS_OF), fx.product,
                              fx.base_item, ALTERNATIVES)
 
 
@@ -110,7 +112,7 @@ CONFIGS = f"""{_ATTRS}, configs as (select p.product_key, p.product_version, p.i
   concat('{{', case when p.item % 4 = 0 then '"Gender": "Men", ' else '' end, '"Size": "', case when rev = 2 then 'L' else 'M' end, '", "Substrate Color": "', p.color_hex, '"}}') as selections_text,
   case when b.item is null then 1 else 0 end as is_inactive, rev
  from (select *, unnest([2, 3]) as rev from product where item % 12 <> 0) p left join attrs a on a.item = p.item
- join fx_rate f on f.country = concat('C', cast(p.item % 25 as string)) left join base_item b on b.item = p.item and b.country = f.country)""".replace("{{", "{").replace("}}", "}")
+ join fx_rate f on f.country = concat('C', cast(p.item % 25 as string)) and f.to_currency = 'USD' and f.rate_date = date '2001-08-01' left join base_item b on b.item = p.item and b.country = f.country)""".replace("{{", "{").replace("}}", "}")
 _CFG_COLS = """product_key, product_version::bigint as product_version, market, product_name, category, subcategory, product_group, fit, pockets, decoration_location, sleeve_style, panels, gender,
  color, exact_color, size, currency, min_quantity::bigint as min_quantity, round(unit_price, 6) as unit_price, selections_text, is_inactive::bigint as is_inactive"""
 _add("product_configs", lambda fx: tidy(_configs(fx).drop("selections")), f"with {CONFIGS} select {_CFG_COLS} from configs")

@@ -144,8 +144,18 @@ from item_event where event_id % 2 = 0
 """
 
 VIEWS["fx_rate"] = """
-select country, concat('CUR', country) as currency, cast(50 + cast(substring(country, 2, 2) as int) as double) / 100 as rate_to_usd
-from country_region
+select country, concat('CUR', country) as currency, 'USD' as to_currency, date '2001-08-01' - cast(day_no as int) as rate_date,
+       cast(50 + cast(substring(country, 2, 2) as int) + day_no as double) / 100 as rate_to_usd
+from (select country, {series:0:3} as day_no from country_region) d
+union all
+select country, concat('CUR', country), 'EUR', date '2001-08-01', 0.25 from country_region
+"""
+
+# The second source of copy: page title and description per item and country, with gaps.
+VIEWS["page_copy"] = """
+select m.item, m.country, case when m.item % 9 <> 0 then concat(p.product_name, ' | ', m.country) end as page_title,
+       case when (m.item + length(m.country)) % 4 <> 0 then concat('About ', p.product_name) end as page_description
+from live_mapping m join product p on p.item = m.item
 """
 
 VIEWS["config"] = """

@@ -28,6 +28,12 @@ def valid_mapping(rows: DataFrame, mapping: DataFrame, at: str | Column) -> Data
     return joined.filter("_at >= valid_from and _at < valid_to").drop("_at", "valid_from", "valid_to")
 
 
+def rates_of(rates: DataFrame, as_of: str, to_currency: str = "USD") -> DataFrame:
+    """(currency, rate_to_usd): the rates into one currency of the day before ``as_of``."""
+    day = F.date_sub(F.lit(as_of).cast("date"), 1)
+    return rates.filter((F.col("rate_date") == day) & (F.col("to_currency") == to_currency)).select("currency", "rate_to_usd")
+
+
 def high_value_proxy(items: DataFrame, rates: DataFrame, excluded: list[str]) -> DataFrame:
     """Price tag per (region, item): USD price, imputed by group then subcategory median, ranked in its category."""
     keys = ["region", "category", "subcategory", "product_group", "item"]
