@@ -88,7 +88,10 @@ _add("nearest_css_color", lambda fx: tidy(fx.product.select("item", color.neares
 # --- configurations -------------------------------------------------------------------------
 
 ALTERNATIVES = {"fit": ["FIT", "FIT_FEATURES"], "pockets": ["POCKETS", "POCKET"], "decoration_location": ["DECORATION_LOCATION", "DECO_AREA_NAME"],
-                "sleeve_style": ["SLEEVES"], "panels": ["PANELS"]}
+                "sleeve_style": ["SLEEVES"], "panels": ["PANELS"], "gender": ["GENDER"], "material": ["MATERIAL"],
+                "decoration_technology": ["MSW_DECORATION_TECHNOLOGY", "DECORATION_TECHNOLOGY", "DECO_1_PROCESS_TYPE"], "special_features": ["SPECIAL_FEATURES"],
+                "quality": ["QUALITY_ATTRIBUTES"], "waist_type": ["WAIST_TYPE"], "back_pockets": ["BACK_POCKET_S"], "cuff_type": ["CUFF_TYPE"], "closure": ["CLOSURE"],
+                "fit_type": ["FIT_TYPE"], "brim": ["BRIM"], "crown": ["CROWN"], "eyelets": ["EYELETS"], "zipper_pulls": ["ZIPPER_PULLS"]}
 
 
 def _attributes(fx):
@@ -104,17 +107,22 @@ def _configs(fx):
 _ATTRS = """attrs as (select sku as item, min(case when property_name = 'FIT' then property_value end) as fit1, min(case when property_name = 'FIT_FEATURES' then property_value end) as fit2,
  min(case when property_name = 'POCKETS' then property_value end) as p1, min(case when property_name = 'POCKET' then property_value end) as p2,
  min(case when property_name = 'DECORATION_LOCATION' then property_value end) as d1, min(case when property_name = 'DECO_AREA_NAME' then property_value end) as d2,
- min(case when property_name = 'SLEEVES' then property_value end) as s1, min(case when property_name = 'PANELS' then property_value end) as n1 from sku_attribute group by 1)"""
+ min(case when property_name = 'SLEEVES' then property_value end) as s1, min(case when property_name = 'PANELS' then property_value end) as n1,
+ """ + ", ".join(f"min(case when property_name = '{n}' then property_value end) as {n.lower()}" for n in (
+    "GENDER", "MATERIAL", "MSW_DECORATION_TECHNOLOGY", "DECORATION_TECHNOLOGY", "DECO_1_PROCESS_TYPE", "SPECIAL_FEATURES", "FEATURES", "QUALITY_ATTRIBUTES", "WAIST_TYPE", "BACK_POCKET_S",
+    "CUFF_TYPE", "CLOSURE", "FIT_TYPE", "BRIM", "CROWN", "EYELETS", "ZIPPER_PULLS")) + """ from sku_attribute group by 1)"""
 CONFIGS = f"""{_ATTRS}, configs as (select p.product_key, p.product_version, p.item, concat('C', cast(p.item % 25 as string)) as market, p.product_name, p.category, p.subcategory, p.product_group,
-  coalesce(a.fit1, a.fit2) as fit, coalesce(a.p1, a.p2) as pockets, coalesce(a.d1, a.d2) as decoration_location, a.s1 as sleeve_style, a.n1 as panels,
-  case when p.item % 4 = 0 then 'Men' end as gender, upper(p.color_hex) as color, upper(p.color_hex) as exact_color, case when rev = 2 then 'L' else 'M' end as size,
+  coalesce(a.fit1, a.fit2) as fit, coalesce(a.p1, a.p2) as pockets, case when p.item % 5 = 0 then 'Sleeve' else coalesce(a.d1, a.d2) end as decoration_location, a.s1 as sleeve_style, a.n1 as panels,
+  case when p.item % 4 = 0 then 'Men' else a.gender end as gender, a.material, case when p.item % 7 = 0 then 'LASER' else coalesce(a.msw_decoration_technology, a.decoration_technology, a.deco_1_process_type) end as decoration_technology,
+  case when lower(a.features) <> 'none' then a.special_features || ', ' || a.features else a.special_features end as special_features, a.quality_attributes as quality, a.waist_type, a.back_pocket_s as back_pockets,
+  a.cuff_type, a.closure, a.fit_type, a.brim, a.crown, a.eyelets, a.zipper_pulls, case when p.item % 3 = 0 then 'printed' end as backside, upper(p.color_hex) as color, upper(p.color_hex) as exact_color, case when rev = 2 then 'L' else 'M' end as size,
   f.currency, greatest(1 + p.item % 9, p.moq) as min_quantity, (round(coalesce(p.unit_price, 10.0), 0) + rev) * f.rate_to_usd as unit_price,
-  concat('{{', case when p.item % 4 = 0 then '"Gender": "Men", ' else '' end, '"Size": "', case when rev = 2 then 'L' else 'M' end, '", "Substrate Color": "', p.color_hex, '"}}') as selections_text,
+  concat('{{', case when p.item % 3 = 0 then '"Backside": "printed", ' else '' end, case when p.item % 5 = 0 then '"Deco Area": "Sleeve", ' else '' end, case when p.item % 7 = 0 then '"Deco Tech": "LASER", ' else '' end, case when p.item % 4 = 0 then '"Gender": "Men", ' else '' end, '"Size": "', case when rev = 2 then 'L' else 'M' end, '", "Substrate Color": "', p.color_hex, '"}}') as selections_text,
   case when b.item is null then 1 else 0 end as is_inactive, rev
  from (select *, unnest([2, 3]) as rev from product where item % 12 <> 0) p left join attrs a on a.item = p.item
  join fx_rate f on f.country = concat('C', cast(p.item % 25 as string)) and f.to_currency = 'USD' and f.rate_date = date '2001-08-01' left join base_item b on b.item = p.item and b.country = f.country)""".replace("{{", "{").replace("}}", "}")
-_CFG_COLS = """product_key, product_version::bigint as product_version, market, product_name, category, subcategory, product_group, fit, pockets, decoration_location, sleeve_style, panels, gender,
- color, exact_color, size, currency, min_quantity::bigint as min_quantity, round(unit_price, 6) as unit_price, selections_text, is_inactive::bigint as is_inactive"""
+_CFG_COLS = """product_key, product_version::bigint as product_version, market, product_name, category, subcategory, product_group, fit, pockets, decoration_location, sleeve_style, panels, gender, material, decoration_technology, special_features,
+ quality, waist_type, back_pockets, cuff_type, closure, fit_type, brim, crown, eyelets, zipper_pulls, backside, color, exact_color, size, currency, min_quantity::bigint as min_quantity, round(unit_price, 6) as unit_price, selections_text, is_inactive::bigint as is_inactive"""
 _add("product_configs", lambda fx: tidy(_configs(fx).drop("selections")), f"with {CONFIGS} select {_CFG_COLS} from configs")
 _add("attribute_pivot", lambda fx: tidy(E.pivot_attributes(_attributes(fx), ["product_key", "product_version"], ["FIT", "POCKETS", "PANELS"])),
      """select product_key, sku_version::bigint as product_version, min(case when property_name = 'FIT' then property_value end) as "FIT",
@@ -125,7 +133,8 @@ def _identified(fx):
     return E.config_identity(_configs(fx))
 
 
-_OPT = """concat('{', case when item % 4 = 0 then '"Gender": "Men", ' else '' end, '"Substrate Color": "', upper(color), '"}')"""
+_OPT = """concat('{', case when item % 3 = 0 then '"Backside": "printed", ' else '' end, case when item % 5 = 0 then '"Deco Area": "Sleeve", ' else '' end,
+ case when item % 7 = 0 then '"Deco Tech": "LASER", ' else '' end, case when item % 4 = 0 then '"Gender": "Men", ' else '' end, '"Substrate Color": "', upper(color), '"}')"""
 IDENT = f"{CONFIGS}, ident as (select product_key, product_version, item, market, color, exact_color, {_OPT} as options_text, sha256(concat(product_key, market, {_OPT})) as config_id from configs where rev = 3)"
 _add("config_identity", lambda fx: tidy(_identified(fx).select("config_id", "product_key", "product_version", "market", "options_text")),
      f"with {IDENT} select config_id, product_key, product_version::bigint as product_version, market, options_text from ident")

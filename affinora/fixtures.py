@@ -275,16 +275,21 @@ where (item + nation_no) % 2 = 0
 VIEWS["sku_attribute"] = """
 select item as sku, product_version as sku_version, product_key,
        case attr_no when 0 then 'FIT' when 1 then 'FIT_FEATURES' when 2 then 'POCKETS' when 3 then 'POCKET'
-                    when 4 then 'DECORATION_LOCATION' when 5 then 'DECO_AREA_NAME' when 6 then 'SLEEVES' else 'PANELS' end as property_name,
+                    when 4 then 'DECORATION_LOCATION' when 5 then 'DECO_AREA_NAME' when 6 then 'SLEEVES' when 7 then 'PANELS'
+                    when 8 then 'MSW_DECORATION_TECHNOLOGY' when 9 then 'DECO_1_PROCESS_TYPE' when 10 then 'FEATURES' when 11 then 'SPECIAL_FEATURES'
+                    when 12 then 'QUALITY_ATTRIBUTES' when 13 then 'WAIST_TYPE' when 14 then 'BACK_POCKET_S' when 15 then 'CUFF_TYPE' when 16 then 'CLOSURE'
+                    when 17 then 'FIT_TYPE' when 18 then 'GENDER' else 'MATERIAL' end as property_name,
        case attr_no when 0 then 'slim' when 1 then 'regular,comfort' when 2 then 'two(2)' when 3 then 'one'
-                    when 4 then 'LEFT CHEST' when 5 then 'BACK' when 6 then 'LONG SLEEVE' else cast(1 + item % 4 as string) end as property_value
-from (select item, product_version, product_key, {series:0:7} as attr_no from product) p
+                    when 4 then 'LEFT CHEST' when 5 then 'BACK' when 6 then 'LONG SLEEVE' when 8 then 'EMBROIDERY' when 9 then 'PRINT'
+                    when 10 then case when item % 2 = 0 then 'None' else 'hood' end when 11 then 'reflective' else cast(1 + item % 4 as string) end as property_value
+from (select item, product_version, product_key, {series:0:19} as attr_no from product) p
 where (item + attr_no) % 3 <> 0
 """
 
 VIEWS["price_enumeration"] = """
 select item as sku, product_key, product_version, cast(rev as int) as rev,
-       concat('{"userSelections":{"Substrate Color":"', case when item % 12 = 0 then 'red' else color_hex end, '","Size":"', case rev when 2 then 'L' else 'M' end, '"', case when item % 4 = 0 then ',"Gender":"Men"' else '' end, '},"quantities":[', cast(moq as string), ',', cast(moq + 5 as string),
+       concat('{"userSelections":{"Substrate Color":"', case when item % 12 = 0 then 'red' else color_hex end, '","Size":"', case rev when 2 then 'L' else 'M' end, '"', case when item % 4 = 0 then ',"Gender":"Men"' else '' end,
+              case when item % 5 = 0 then ',"Deco Area":"Sleeve"' else '' end, case when item % 7 = 0 then ',"Deco Tech":"LASER"' else '' end, case when item % 3 = 0 then ',"Backside":"printed"' else '' end, '},"quantities":[', cast(moq as string), ',', cast(moq + 5 as string),
               '],"updatedAt":"2001-01-0', cast(rev as string), 'T00:00:00","listPrices":[',
               '{"market":"C', cast(item % 25 as string), '","currency":"CURC', cast(item % 25 as string), '","merchantId":"acme","prices":{"', cast(1 + item % 9 as string), '":{"unitListPrice":{"untaxed":', cast(round(coalesce(unit_price, 10.0), 0) + rev as string), '}},"', cast(10 + item % 9 as string), '":{"unitListPrice":{"untaxed":1.5}}}},',
               '{"market":"C', cast((item + 1) % 25 as string), '","currency":"CURC', cast((item + 1) % 25 as string), '","merchantId":"other","prices":{"1":{"unitListPrice":{"untaxed":9.0}}}}]}') as body

@@ -45,19 +45,33 @@ def list_prices(enumerations: DataFrame, merchant: str, body: str = "body") -> D
     )
 
 
+# fixed values: selection keys that give an attribute before the product's own value does
+SELECTED = {
+    "gender": ["Gender", "gender"],
+    "decoration_location": ["Deco Area", "Decoration Area", "deco area"],
+    "decoration_technology": ["Decoration", "Decoration Technology", "Deco Tech", "decoration technology", "deco tech"],
+    "backside": ["Backside", "backside"],
+}
+
+
 def product_configs(
     prices: DataFrame, attributes: DataFrame, rates: DataFrame, products: DataFrame, active: DataFrame,
-    alternatives: dict[str, list[str]],
+    alternatives: dict[str, list[str]], selected: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """Priced, coloured configurations with product attributes.
 
-    ``alternatives`` names, per output attribute, the source attributes in order of preference.
+    ``alternatives`` names, per output attribute, the source attributes in order of preference; ``selected`` the
+    selection keys that come before them. FEATURES other than none follow the special features.
     """
-    names = list(dict.fromkeys(n for values in alternatives.values() for n in values))
+    selected = SELECTED if selected is None else selected
+    names = list(dict.fromkeys([n for values in alternatives.values() for n in values] + ["FEATURES"]))
     wide = pivot_attributes(attributes, ["product_key", "product_version"], names)
     wide = wide.select(
-        "product_key", "product_version", *[F.coalesce(*[F.col(f"`{n}`") for n in v]).alias(k) for k, v in alternatives.items()]
+        "product_key", "product_version", "FEATURES", *[F.coalesce(*[F.col(f"`{n}`") for n in v]).alias(k) for k, v in alternatives.items()]
     )
+    if "special_features" in alternatives:
+        both = F.concat("special_features", F.lit(", "), "FEATURES")
+        wide = wide.withColumn("special_features", F.when(F.lower("FEATURES") != "none", both).otherwise(F.col("special_features")))
 
     def chosen(*keys: str) -> Column:
         return F.coalesce(*[F.btrim(F.try_element_at("selections", F.lit(k)), F.lit('"')) for k in keys])
@@ -68,9 +82,13 @@ def product_configs(
         .join(wide, ["product_key", "product_version"], "left")
         .join(active.select("product_key", F.col("country").alias("market"), F.lit(0).alias("_active")).distinct(), ["product_key", "market"], "left")
     )
+    def attribute(name: str) -> Column:
+        sources = ([chosen(*selected[name])] if name in selected else []) + ([F.col(name)] if name in alternatives else [])
+        return F.coalesce(*sources).alias(name)
+
     rows = joined.select(
-        "product_key", "product_version", "market", "product_name", "category", "subcategory", "product_group", *alternatives,
-        chosen("Gender", "gender").alias("gender"), F.upper(F.left(exact, F.lit(7))).alias("color"), F.upper(exact).alias("exact_color"),
+        "product_key", "product_version", "market", "product_name", "category", "subcategory", "product_group",
+        *[attribute(n) for n in dict.fromkeys([*alternatives, *selected])], F.upper(F.left(exact, F.lit(7))).alias("color"), F.upper(exact).alias("exact_color"),
         chosen("Size", "size").alias("size"), "currency", "min_quantity", (F.col("local_price") * F.col("rate_to_usd")).alias("unit_price"),
         "selections", "selections_text", F.when(F.col("_active").isNull(), 1).otherwise(0).alias("is_inactive"),
     )
