@@ -89,8 +89,7 @@ from item_event)"""
 
 
 def _raw(fx):
-    fx.item_event.createOrReplaceTempView("item_event")
-    return fx.spark.sql("with " + RAW + " select * from raw_event")
+    return fx.sql("with " + RAW + " select * from raw_event")
 
 
 def _consent(fx):
@@ -177,8 +176,7 @@ _CURRENT = """current_version as (select version_arn, created_at, string_split(v
 
 
 def _versions(fx):
-    fx.supplier.createOrReplaceTempView("supplier")
-    return fx.spark.sql("with " + VERSIONS + " select * from model_version")
+    return fx.sql("with " + VERSIONS + " select * from model_version")
 
 
 def _served(fx):

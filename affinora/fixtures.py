@@ -372,12 +372,17 @@ class Fixtures:
             if name in TABLES:
                 frame = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
-                words = set(re.findall(r"[a-z_]+", VIEWS[name]))
-                needed = [n for n in TABLES + list(VIEWS) if n in words and n != name]
-                # the label column of embeddings etc. may share a table name: only real sources count
-                needed = [n for n in needed if re.search(rf"(from|join)\s+{n}\b", VIEWS[name])]
-                for dep in needed:
-                    self.view(dep).createOrReplaceTempView(dep)
-                frame = self.spark.sql(expand(VIEWS[name], "spark"))
+                frame = self.sql(expand(VIEWS[name], "spark"))
             self._frames[name] = frame
         return self._frames[name]
+
+    def sql(self, text: str) -> DataFrame:
+        """Run a statement whose sources may be tables and views of this folder; no view is registered in the session."""
+        text = text.replace("{", "{{").replace("}", "}}")
+        used: dict[str, DataFrame] = {}
+        for name in TABLES + list(VIEWS):
+            # a column may share a table's name: only real sources count
+            text, n = re.subn(rf"\b(from|join)(\s+){name}\b", rf"\1\2{{{name}}}", text)
+            if n:
+                used[name] = self.view(name)
+        return self.spark.sql(text, **used)
