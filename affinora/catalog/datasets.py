@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from affinora.catalog import item_master as IM
 from affinora.catalog.common import stage, tidy
-from affinora.operators import quality
 from affinora.plans import datasets as D
 from affinora.plans import models as R
 from affinora.plans import reporting as Q
