@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinora.llm.minhash import only_members
+
 KEYS = ["source", "lang", "tokenizer"]
 _SCHEMA = T.StructType([T.StructField(k, T.StringType()) for k in KEYS] + [T.StructField("n_docs", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
@@ -118,7 +120,7 @@ def document_changes(docs: DataFrame, labels: DataFrame) -> list[tuple[str, Data
         return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("tokenizer"), pattern_count(F.col("text"), version).alias("n_tokens"), F.lit(None).cast("long").alias("old_tokens"))
 
     taken = labels.filter("toxic > 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    gone = rows.join(taken, "doc_id", "left_semi")
+    gone = only_members(rows, "doc_id", taken)  # whole texts of the other documents aren't shuffled
     return [
         ("1-insert", changes(rows, "insert", first)),
         ("2-recount", changes(rows, "insert", second)),
