@@ -4,7 +4,8 @@ The lexicon is a short fixed list of insults plus what labelled documents teach:
 which stand in many different contexts of toxic documents and in hardly any of clean ones. Contexts (the two neighbours) are counted
 instead of documents so that a hundred copies of a document teach no more than one. The trie of the terms is walked together with the
 Levenshtein automaton of the word read; the pairs (node, edits) reached so far form one state of an automaton that is built as words
-need it, so that most words end after two or three characters. A word that clean documents use is never a misspelling.
+need it, so that most words end after two or three characters. A word that clean documents use is never a misspelling. A stem adds
+whatever begins with it; the words and insults under it stay in the trie with their edits.
 
 Each hit weighs less where it is quoted or reported (quotation marks around it, or a word of saying just before it). A logistic
 regression on five features of a document's hits gives the score. It is fitted on a bounded sample of labelled rows
@@ -76,9 +77,10 @@ class Lexicon:
     """Terms in a trie, and the automaton of all (node, edits) pairs that a word's beginning can stand for."""
 
     def __init__(self, terms: dict[str, float], stems: dict[str, float], known: frozenset[str] = frozenset()) -> None:
-        self.weights, self.known = {**terms, **stems}, known
+        self.weights, self.known = {**stems, **terms}, known
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[tuple[str, int, bool] | None] = [None]
+        self.ends: list[tuple[str, int] | None] = [None]
+        self.stems: dict[int, str] = {}
         self.reach: list[int] = [0]
         for term, stem in [(t, False) for t in terms] + [(t, True) for t in stems]:
             node, k = 0, edits_allowed(term, stem)
@@ -91,8 +93,10 @@ class Lexicon:
                     self.reach.append(0)
                 node = self.children[node][ch]
                 self.reach[node] = max(self.reach[node], k)
-            if self.ends[node] is None or stem:
-                self.ends[node] = (term, k, stem)
+            if stem:
+                self.stems[node] = term
+            if self.ends[node] is None:
+                self.ends[node] = (term, k)
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
@@ -119,7 +123,7 @@ class Lexicon:
             self.states[key] = len(self.members)
             self.members.append(key)
             self.moves.append({})
-            stems = [self.ends[n][0] for n, e in key if e == 0 and self.ends[n] and self.ends[n][2]]
+            stems = [self.stems[n] for n, e in key if e == 0 and n in self.stems]
             self.stem_at.append(stems[0] if stems else None)
             ends = [(e, self.ends[n][0]) for n, e in key if self.ends[n] and e <= self.ends[n][1]]
             self.final.append((min(ends)[1], min(ends)[0]) if ends else None)
@@ -266,7 +270,7 @@ def learn_terms(rows: DataFrame, limit: int = TERMS) -> tuple[dict[str, float],
     # A stem that only one word has is that word.
     endings = Counter(s for w in words for s in stems if w.startswith(s))
     stems = {s: v for s, v in stems.items() if endings[s] != 1}
-    return {w: v for w, v in words.items() if len(w) >= 3 and not any(w.startswith(s) for s in stems)}, stems
+    return {w: v for w, v in words.items() if len(w) >= 3}, stems
 
 
 def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> np.ndarray:
@@ -289,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     bounded_batches(docs)
     rows = cut(sample(docs, labels, per_label).select("text", "toxic"))
     terms, stems = learn_terms(rows)
-    fixed = {t: 0.95 for t in INSULTS if t not in terms and not any(t.startswith(s) for s in stems)}
+    fixed = {t: 0.95 for t in INSULTS if t not in terms}
     first = Lexicon(terms | fixed, stems)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(first)

@@ -143,3 +143,13 @@ def test_pipeline_stages(spark, docs, none, labels, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r.doc_id or 0 for r in out.collect()) == [0, 5, 9]
+
+
+def test_misspelled_terms_under_a_stem(spark):
+    rows = [(k, f"a{k} idiot b{k} idiots c{k} moronic d{k} moronish e{k}" if k % 2 else f"a{k} fine b{k} day c{k}", k % 2) for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.fit(frame, frame).lexicon
+    assert lexicon.read("idioten") == ("idio", 0) and lexicon.read("moronhood") == ("moro", 0)
+    assert [lexicon.read(w) for w in ("idjot", "iidiot", "udiot", "idjots", "mohron")] == [("idiot", 1)] * 3 + [("idiots", 1), ("moron", 1)]
+    same = toxicity.Lexicon({"idiot": 1.0}, {"idiot": 1.0})
+    assert same.read("idiotic") == ("idiot", 0) and same.read("idjot") == ("idiot", 1)
