@@ -1,10 +1,13 @@
 """Benchmark items inside documents: size-partitioned MinHash containment search, verified by exact shingle containment.
 
-Items are partitioned by their number of shingles into classes (size up to `u`, each bound half as large again as the one before).
-For a class a document is seen as windows of 1.5 u shingles, one every u / 2, so that a passage of an item lies whole in some window
-however long the document is, and containment in the window means a resemblance of 0.32 at least. An item is a candidate where one of
-`FUNCTIONS` minima of the window equals the item's: a true passage is missed once in 300,000 times. Candidates are then counted
-exactly against the set of the whole document.
+Items are partitioned by the length of their run of shingles into classes (length up to `u`, each bound half as large again as the one
+before). For a class a document is seen as windows of 1.5 u shingles, one every u / 2, so that a passage of an item lies whole in some
+window however long the document is, and containment in the window means a resemblance of `RESEMBLANCE` at least. An item is a candidate
+where one of `FUNCTIONS` minima of the window equals the item's: a true passage is missed once in 200,000 times.
+
+Items for which that bound doesn't hold (up to `SMALL` different shingles, or few different ones for their length) are looked up by their
+shingles: of an item with n, of which a hit holds c, any n - c + 1 hold one of the hit, so no document is missed, scattered or not.
+Candidates are then counted exactly against the set of the whole document.
 
 The items are the query set: blocks of a bounded size are broadcast in turn, and each block is held against all documents. Documents
 are never shuffled. Defined results: null, empty or wordless texts contain nothing and are contained in nothing; an item
@@ -27,6 +30,8 @@ from affinora.llm import text as tx
 from affinora.llm.cut import bounded_batches
 
 FUNCTIONS = 32
+#: Least resemblance of an item and a window with a passage of it; items of so many different shingles are looked up in any case.
+RESEMBLANCE, SMALL = 0.32, 5
 #: A block of items has about so many items or bytes of text at most.
 BLOCK_ITEMS, BLOCK_BYTES = 10_000, 16 << 20
 #: Shingles that are hashed at a time: bounds the memory of a task whatever the length of a text.
@@ -40,36 +45,53 @@ HITS = "array<struct<item_id: bigint, percent: double>>"
 
 
 def size_class(size: int) -> int:
-    """Upper bound of the class: 8, 12, 16, 24, 32, 48 ..."""
+    """Upper bound of the class of a run: 8, 12, 16, 24, 32, 48 ..."""
     u = 8
     while u < size:
         u = u * 3 // 2 if u & (u - 1) == 0 else u // 3 * 4
     return u
 
 
+def _looked_up(entries: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted values, their items, and which of their first bits occur."""
+    entries.sort()
+    values = np.array([v for v, _ in entries], np.uint64)
+    maybe = np.zeros(1 << _TABLE_BITS, bool)
+    maybe[values >> np.uint64(64 - _TABLE_BITS)] = True
+    return values, np.array([i for _, i in entries]), maybe
+
+
 class Index:
     """The signatures and sets of one block of items."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], percent: int) -> None:
         self.percent, self.ids, self.sets = percent, [], []
         by_class: dict[int, list[tuple[int, int]]] = {}
+        by_shingle: list[tuple[int, int]] = []
         for item_id, body in items:
-            found = tx.shingles(body)
+            run = tx.window_hashes(tx.word_hashes(tx.words(body)))
+            found = np.unique(run)
             if len(found):
-                by_class.setdefault(size_class(len(found)), []).extend(
-                    (int(v), len(self.ids)) for v in (found[:, None] * _FACTORS).min(axis=0))
+                n, u = len(found), size_class(len(run))
+                held = max(1, -(-percent * n // 100))
+                if n <= SMALL or held < RESEMBLANCE * (1.5 * u + n - held):
+                    by_shingle.extend((int(v), len(self.ids)) for v in found[:max(1, n - held + 1)])
+                else:
+                    by_class.setdefault(u, []).extend((int(v), len(self.ids)) for v in (found[:, None] * _FACTORS).min(axis=0))
                 self.ids.append(item_id)
                 self.sets.append(found)
-        self.classes = {}
-        for u, entries in by_class.items():
-            entries.sort()
-            values = np.array([v for v, _ in entries], np.uint64)
-            maybe = np.zeros(1 << _TABLE_BITS, bool)
-            maybe[values >> np.uint64(64 - _TABLE_BITS)] = True
-            self.classes[u] = (values, np.array([i for _, i in entries]), maybe)
+        self.classes = {u: _looked_up(entries) for u, entries in by_class.items()}
+        self.shingles = _looked_up(by_shingle) if by_shingle else None
 
     def candidates(self, run: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(item, first, past the last shingle) of the windows in a run of shingles that share a minimum with an item."""
+        """(item, first, past the last shingle) of the windows in a run of shingles that share a minimum, or of a shingle, with an item."""
+        if self.shingles:
+            values, items, maybe = self.shingles
+            hit = np.flatnonzero(maybe[run >> np.uint64(64 - _TABLE_BITS)])
+            left, right = np.searchsorted(values, run[hit]), np.searchsorted(values, run[hit], "right")
+            for k in np.flatnonzero(right > left):
+                for i in items[left[k]:right[k]]:
+                    yield int(i), int(hit[k]), int(hit[k]) + 1
         if not self.classes:
             return
         reach = 2 * max(self.classes)

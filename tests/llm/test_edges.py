@@ -153,3 +153,15 @@ def test_misspelled_terms_under_a_stem(spark):
     assert [lexicon.read(w) for w in ("idjot", "iidiot", "udiot", "idjots", "mohron")] == [("idiot", 1)] * 3 + [("idiots", 1), ("moron", 1)]
     same = toxicity.Lexicon({"idiot": 1.0}, {"idiot": 1.0})
     assert same.read("idiotic") == ("idiot", 0) and same.read("idjot") == ("idiot", 1)
+
+
+def test_small_and_repetitive_items_are_always_found():
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(1 + k % 9))) for k in range(900)]
+    items += [(900 + k, " ".join([f"r{k}"] * 40 + [f"r{k}y{j}" for j in range(1 + k % 8)])) for k in range(300)]
+    index = decontaminate.Index(items, 80)
+    texts = [t for _, t in items] + [f"f{k} g h " + t + f" p q{k}" for k, t in items]
+    found = index.search(texts)
+    for (k, t), alone, inside in zip(items, found, found[len(items):]):
+        assert (k, 100.0) in alone
+        assert ((k, 100.0) in inside) == (len(t.split()) >= 5)
+    assert [index.search([t]) for t in texts[::7]] == [[f] for f in found[::7]]
