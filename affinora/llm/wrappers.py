@@ -9,8 +9,9 @@ written as optional repeated groups in order of appearance (`LONGEST`).
 
 For each slot the wrapper keeps the number of pages, characters, characters in links, and a sketch of how many different texts it
 held. Slots in navigation, headers, footers, side columns, forms, scripts, adverts, notices and comments (by tag, class or id) never
-hold main text. If pages of the host have an article (or main) part, its slots do. Otherwise it is the deepest element that
-holds four fifths of the text which differs from page to page, without slots of template text or links.
+hold main text. If pages of the host have an article (or main) part, its slots do. Otherwise all slots do but those of template text
+(which hardly differs between pages that differ) and of links. A page that would come out empty keeps its other text
+outside such parts.
 
 Pages are parsed where they lie; wrappers are merged per task, then per host and part, then per host, so that a large host is no large group.
 Defined results: null or empty html has no text; a null or odd url is the host ''; a page cut off anywhere is read as if its elements ended
@@ -242,7 +243,7 @@ def expression(wrapper: list) -> str:
 
 
 class Host:
-    """Wrapper of a host and what its slots held: path to [pages, characters, in links, smallest hashes]."""
+    """Wrapper of a host and what its slots held: path to [pages, characters, in links, smallest hashes of texts, and of pages]."""
 
     def __init__(self, wrapper: list | None = None, pages: int = 0, slots: dict[str, list] | None = None) -> None:
         self.wrapper, self.pages, self.slots = wrapper, pages, slots or {}
@@ -252,22 +253,26 @@ class Host:
         self.wrapper = tree if self.wrapper is None else merge(self.wrapper, tree)
         self.pages += 1
         seen = set()
+        whole = xxhash.xxh32_intdigest("\n".join(f"{path} {body}" for path, body, _ in page.texts if "/!" not in path))
         for path, body, links in page.texts:
-            slot = self.slots.setdefault(path, [0, 0, 0, []])
+            slot = self.slots.setdefault(path, [0, 0, 0, [], []])
             slot[0] += path not in seen
             slot[1] += len(body)
             slot[2] += min(links, len(body))
             seen.add(path)
             _remember(slot[3], xxhash.xxh32_intdigest(body))
+            _remember(slot[4], whole)
 
     def add(self, other: Host) -> None:
         self.wrapper = other.wrapper if self.wrapper is None else merge(self.wrapper, other.wrapper) if other.wrapper else self.wrapper
         self.pages += other.pages
-        for path, (pages, chars, links, hashes) in other.slots.items():
-            slot = self.slots.setdefault(path, [0, 0, 0, []])
+        for path, (pages, chars, links, hashes, wholes) in other.slots.items():
+            slot = self.slots.setdefault(path, [0, 0, 0, [], []])
             slot[0], slot[1], slot[2] = slot[0] + pages, slot[1] + chars, slot[2] + links
             for h in hashes:
                 _remember(slot[3], h)
+            for h in wholes:
+                _remember(slot[4], h)
 
     def dumps(self) -> str:
         return json.dumps([self.wrapper, self.pages, self.slots], separators=(",", ":"))
@@ -295,24 +300,13 @@ class Host:
         """Slots of main text: 2 within an article or main part, 1 elsewhere."""
         open_paths = [p for p in self.paths() if "/!" not in p and p in self.slots]
         out = {p: 2 for p in open_paths if "/*" in p}
-        text = {}
         for p in open_paths:
-            pages, chars, links, hashes = self.slots[p]
-            constant = pages >= 4 and _different(hashes) <= max(1, pages // 10) and p not in out
+            _, chars, links, hashes, wholes = self.slots[p]
+            different = _different(wholes)  # copies of a page are one page
+            constant = different >= 4 and _different(hashes) <= max(1, different // 10)
             if p not in out and not constant and links * 2 <= chars:
-                text[p] = chars
-        place, total = "", sum(text.values())
-        while total:
-            inside: dict[str, int] = {}
-            for p, chars in text.items():
-                if p.startswith(place + "/"):
-                    step = place + "/" + p[len(place) + 1:].split("/", 1)[0]
-                    inside[step] = inside.get(step, 0) + chars
-            step = max(inside, key=lambda k: (inside[k], k), default=None)
-            if step is None or inside[step] * 5 < total * 4 or not any(p.startswith(step + "/") for p in text):
-                break
-            place = step
-        return out | {p: 1 for p in text if p == place or p.startswith(place + "/")}
+                out[p] = 1
+        return out
 
 
 def _remember(hashes: list[int], h: int) -> None:
@@ -362,10 +356,10 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
 
 
 def main_text(source: str | None, slots: dict[str, int]) -> str:
-    """Blocks of a page in its host's main slots, those in an article alone if it has one."""
-    blocks = [(slots.get(path, 0), body) for path, body, _ in Page(source).texts]
+    """Blocks of a page in its host's main slots, those in an article alone if it has one; else all outside noise."""
+    blocks = [(slots.get(path, 0), body) for path, body, _ in Page(source).texts if "/!" not in path]
     most = max((k for k, _ in blocks), default=0)
-    return "\n".join(body for k, body in blocks if k == most) if most else ""
+    return "\n".join(body for k, body in blocks if k == most)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -165,3 +165,24 @@ def test_small_and_repetitive_items_are_always_found():
         assert (k, 100.0) in alone
         assert ((k, 100.0) in inside) == (len(t.split()) >= 5)
     assert [index.search([t]) for t in texts[::7]] == [[f] for f in found[::7]]
+
+
+def test_pages_keep_their_text():
+    def texts(sources):
+        host = wrappers.Host()
+        for half in (sources[::2], sources[1::2]):
+            part = wrappers.Host()
+            for source in half:
+                part.read(wrappers.Page(source))
+            host.add(wrappers.Host.loads(part.dumps()))
+        slots = host.main_slots()
+        return [wrappers.main_text(source, slots) for source in sources]
+
+    post = "<div class=top>Welcome</div><div class={}><p>{}</div>"
+    assert texts([post.format("post", "same text")] * 4) == ["Welcome\nsame text"] * 4
+    assert texts([post.format("post", f"text {k % 10}") for k in range(200)]) == [f"text {k % 10}" for k in range(200)]
+    two = [("story" if k % 7 == 0 else "post", f"text number {k}") for k in range(100)]
+    assert texts([post.format(*t) for t in two]) == [t for _, t in two]
+    split = "<div class=a><p>{0}</div><div class=b><p>end {1}</div>"
+    assert texts([split.format(f"{k} " * 40, k) for k in range(20)]) == [(f"{k} " * 40).strip() + f"\nend {k}" for k in range(20)]
+    assert texts([post.format("post", f"text {k}") for k in range(20)] + ["<div class=top>Welcome</div><nav>x</nav>", "<nav>x</nav>"])[20:] == ["Welcome", ""]
