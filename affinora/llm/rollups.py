@@ -4,7 +4,8 @@ A change says what happened to the count of one document under one tokenizer: `i
 back) or `revise` (old_tokens to n_tokens; the document stays). A batch of changes is summed to one signed row per key and written under
 the batch's own name; the writer's commit mark makes it visible. A batch that is already committed is not added again, and one that
 was cut off is written anew from the start, so that a driver may repeat it at will. Totals are the sum of all committed batches, and
-`compact` folds old batches into one the same way. Sums are associative, so neither order nor partitioning changes a total.
+`compact` folds old batches into one the same way and
+lists them by name, so that a batch which comes late under a smaller name is still read. Sums are associative, so neither order nor partitioning changes a total.
 
 Defined results: null source or lang is a key of its own; a null or unknown operation, or a null count, changes nothing; an empty batch
 commits with no rows; a key whose documents are all gone stays with zeros; rows that repeat count as often as they stand. Columns
@@ -81,18 +82,28 @@ class Store:
 
     def add(self, batch: str, changes: DataFrame) -> bool:
         """Commit a batch; False if it was committed before, when nothing is computed or written."""
+        if batch.startswith("upto-"):
+            raise ValueError("names that begin with upto- are kept for compactions")
         if self.committed(batch):
             return False
         deltas(changes).write.mode("overwrite").parquet(f"{self.folder}/batch={batch}")
         return True
 
+    def _folded(self, compaction: str) -> set[str] | None:
+        """The batches that a compaction holds; None for one without a list, whose batches are read themselves."""
+        path = f"{self.folder}/folded={compaction}"
+        if not self._files().exists(self._path(f"{path}/_SUCCESS")):
+            return None
+        return {r["batch"] for r in self.spark.read.schema("batch string").parquet(path).collect()}
+
     def rows(self) -> DataFrame:
         """All committed signed rows; what a compaction holds is not read twice."""
         names = self.batches()
-        folded = [n for n in names if n.startswith("upto-")]
-        if folded:
-            last = max(folded, key=lambda n: n[len("upto-"):])
-            names = [last] + [n for n in names if not n.startswith("upto-") and n > last[len("upto-"):]]
+        compactions = [(len(f), n, f) for n in names if n.startswith("upto-") and (f := self._folded(n)) is not None]
+        names = [n for n in names if not n.startswith("upto-")]
+        if compactions:
+            _, most, folded = max(compactions, key=lambda c: c[:2])
+            names = [most] + [n for n in names if n not in folded]
         if not names:
             return self.spark.createDataFrame([], _SCHEMA)
         return self.spark.read.schema(_SCHEMA).parquet(*[f"{self.folder}/batch={n}" for n in names])
@@ -103,26 +114,30 @@ class Store:
     def compact(self, last: str) -> None:
         """Fold the batches up to and including `last`, by name, into one; they stay on disk and are no longer read."""
         name = f"upto-{last}"
-        if self.committed(name):
+        if self.committed(name) and self._folded(name) is not None:
             return
         names = [n for n in self.batches() if not n.startswith("upto-") and n <= last]
         if names:
+            self._files().delete(self._path(f"{self.folder}/batch={name}"), True)
+            self.spark.createDataFrame([(n,) for n in names], "batch string").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/folded={name}")
             rows = self.spark.read.schema(_SCHEMA).parquet(*[f"{self.folder}/batch={n}" for n in names])
             rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{self.folder}/batch={name}")
 
 
 def document_changes(docs: DataFrame, labels: DataFrame) -> list[tuple[str, DataFrame]]:
-    """The life of a corpus in three batches: all documents come in, a new tokenizer version counts them again, toxic ones are taken down."""
+    """The life of a corpus in four batches: all documents come in, a new tokenizer version takes over their counts, is revised to its own
+    counts, and toxic documents are taken down."""
     first, second = PATTERNS
     rows = docs.select("source", "lang", F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def changes(rows: DataFrame, op: str, version: str) -> DataFrame:
-        return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("tokenizer"), pattern_count(F.col("text"), version).alias("n_tokens"), F.lit(None).cast("long").alias("old_tokens"))
+    def changes(rows: DataFrame, op: str, version: str, old: Column | None = None) -> DataFrame:
+        return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("tokenizer"), pattern_count(F.col("text"), version).alias("n_tokens"), (F.lit(None).cast("long") if old is None else old).alias("old_tokens"))
 
     taken = labels.filter("toxic > 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     gone = only_members(rows, "doc_id", taken)  # whole texts of the other documents aren't shuffled
     return [
         ("1-insert", changes(rows, "insert", first)),
-        ("2-recount", changes(rows, "insert", second)),
-        ("3-takedown", changes(gone, "delete", first).unionByName(changes(gone, "delete", second))),
+        ("2-recount", changes(rows, "insert", first).withColumn("tokenizer", F.lit(second))),
+        ("3-revise", changes(rows, "revise", second, pattern_count(F.col("text"), first))),
+        ("4-takedown", changes(gone, "delete", first).unionByName(changes(gone, "delete", second))),
     ]

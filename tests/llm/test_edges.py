@@ -186,3 +186,19 @@ def test_pages_keep_their_text():
     split = "<div class=a><p>{0}</div><div class=b><p>end {1}</div>"
     assert texts([split.format(f"{k} " * 40, k) for k in range(20)]) == [(f"{k} " * 40).strip() + f"\nend {k}" for k in range(20)]
     assert texts([post.format("post", f"text {k}") for k in range(20)] + ["<div class=top>Welcome</div><nav>x</nav>", "<nav>x</nav>"])[20:] == ["Welcome", ""]
+
+
+def test_late_batches_after_a_compaction(spark, tmp_path):
+    store = rollups.Store(spark, str(tmp_path / "s"))
+    one = spark.createDataFrame([("insert", "a", "en", "v1", 10, None)], "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
+    for batch in ("2-x", "9-y", None, "1-late", "10-x", None):
+        if batch:
+            assert store.add(batch, one) and not store.add(batch, one)
+        else:
+            store.compact("9-y")
+    assert [tuple(r) for r in store.totals().collect()] == [("a", "en", "v1", 4, 40)]
+    store.compact("91")
+    store._files().delete(store._path(f"{store.folder}/folded=upto-9-y"), True)
+    assert [tuple(r) for r in store.totals().collect()] == [("a", "en", "v1", 4, 40)]
+    with pytest.raises(ValueError):
+        store.add("upto-1", one)
