@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, language, licenses, minhash, mixing, oracle, pseudolikelihood, rollups, subspace, toxicity, wrappers
+from affinora.llm import decontaminate, infill, language, licenses, minhash, mixing, oracle, pseudolikelihood, rollups, subspace, toxicity, wrappers
 from affinora.llm.cut import checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,10 @@ def op10_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.totals()
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_token_rollups": op10_token_rollups,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
@@ -79,4 +84,5 @@ ORACLE: dict[str, str] = {
     "op4_decontaminate": oracle.CONTAMINATION,
     "op7_near_vectors": oracle.NEAR_VECTORS,
     "op10_token_rollups": oracle.ROLLUPS,
+    "op11_fill_in_middle": oracle.INFILL,
 }

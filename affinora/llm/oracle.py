@@ -121,3 +121,23 @@ reach(vec_id, seen) as (
 roots as (select vec_id, min(seen) as component_id from reach group by 1)
 select r.vec_id, (select count(*) from links l where l.a = r.vec_id)::bigint as n_links, r.component_id, r.vec_id = r.component_id as kept from roots r
 """
+
+INFILL = r"""
+with keyed as (
+    select doc_id, coalesce(text, '') as text, sha256('7:' || coalesce(doc_id::varchar, '')) as k, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as u
+    from documents),
+drawn as (
+    select *, len(u)::bigint as n, ('0x' || k[1:8])::bigint as h1, ('0x' || k[9:16])::bigint as h2, ('0x' || k[17:24])::bigint as h3, ('0x' || k[25:32])::bigint as h4
+    from keyed),
+formed as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100 then 'plain'
+            when h4 % 100 < 50 then 'spm' else 'psm' end as form
+    from drawn),
+parts as (
+    select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m, array_to_string(u[b + 1:], '') as s from formed)
+select doc_id, n, form, case when form <> 'plain' then len(p)::bigint end as prefix_chars, case when form <> 'plain' then len(m)::bigint end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(text) as restored_sha256
+from parts
+"""
