@@ -141,3 +141,79 @@ select doc_id, n, form, case when form <> 'plain' then len(p)::bigint end as pre
     sha256(text) as restored_sha256
 from parts
 """
+
+#: Levels of a tree that the statement spells out: sources of up to 16 ** MERKLE_LEVELS rows.
+MERKLE_LEVELS = 5
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}))::varchar || ':' || {value}, '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_framed, ("doc_id::varchar", "source", "lang", "n_chars::varchar", text))) + ")"
+
+
+def _merkle_tree(name: str, leaves: str) -> str:
+    """CTEs {name}0 to {name}{MERKLE_LEVELS}: tree, rank, node; a finished tree's root stays as it is. `leaves` selects tree, rank, node."""
+    out = [f"{name}0 as ({leaves})"]
+    for k in range(1, MERKLE_LEVELS + 1):
+        below = f"(select *, count(*) over (partition by tree) as n from {name}{k - 1})"
+        out.append(f"""{name}{k} as (
+    select tree, rank // 16 as rank, sha256(string_agg(node, '' order by rank)) as node from {below} where n > 1 group by 1, 2
+    union all select tree, rank, node from {below} where n = 1)""")
+    return ",\n".join(out)
+
+
+def _merkle_siblings(name: str) -> str:
+    """CTEs {name}_path0 and up: per node of an unfinished tree the texts of its siblings left and right of it, as p."""
+    run = "over (partition by tree, rank // 16 order by rank rows between"
+    return ",\n".join(f"""{name}_path{k} as (
+    select tree, rank, {{'l': coalesce(string_agg(node, '') {run} unbounded preceding and 1 preceding), ''),
+        'r': coalesce(string_agg(node, '') {run} 1 following and unbounded following), '')}} as p
+    from (select *, count(*) over (partition by tree) as n from {name}{k}) where n > 1)""" for k in range(MERKLE_LEVELS))
+
+
+def _merkle_join(name: str, tree: str, rank: str) -> str:
+    return "\n".join(f"    left join {name}_path{k} on {name}_path{k}.tree = {tree} and {name}_path{k}.rank = {rank} // {16 ** k}" for k in range(MERKLE_LEVELS))
+
+
+def _merkle_fold(start: str) -> str:
+    steps = [f"{name}p{k}" for name in ("t", "s") for k in range(MERKLE_LEVELS)]
+    out, last = [], start
+    for k, step in enumerate(steps):
+        out.append(f"fold{k} as (select *, case when {step} is null then {last} else sha256({step}.l || {last} || {step}.r) end as f{k} from {'paths' if k == 0 else f'fold{k - 1}'})")
+        last = f"f{k}"
+    return ",\n".join(out)
+
+
+_CRC_BITS = "if(c & 1 = 1, xor(c >> 1, 3988292384::bigint), c >> 1)"
+
+MERKLE = rf"""
+with crc_table as (
+    select list(v order by i) as t from (
+        select i, list_reduce([i::bigint] || range(8), lambda c, _: {_CRC_BITS}) as v from range(256) r(i))),
+leaves as (
+    select row_number() over () as row_no, doc_id, source, {_merkle_leaf('text')} as leaf,
+        coalesce(xor(list_reduce([4294967295::bigint] || list_transform(range(1, len(doc_id::varchar) + 1), lambda k: ascii(substr(doc_id::varchar, k, 1))::bigint),
+            lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::bigint) % 5 = 0, false) as hit,
+        {_merkle_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} as lowered
+    from documents, crc_table),
+ranked as (
+    select *, dense_rank() over (order by source nulls first) - 1 as tree, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as rank from leaves),
+{_merkle_tree('t', 'select tree, rank, leaf as node from ranked')},
+{_merkle_tree('s', f'select 0 as tree, tree as rank, node from t{MERKLE_LEVELS}')},
+{_merkle_siblings('t')},
+{_merkle_siblings('s')},
+paths as (
+    select r.*, case when hit then lowered else leaf end as claimed, u.node as subroot, (select node from s{MERKLE_LEVELS}) as root,
+        {", ".join(f"{name}_path{k}.p as {name}p{k}" for name in ("t", "s") for k in range(MERKLE_LEVELS))}
+    from ranked r join t{MERKLE_LEVELS} u on u.tree = r.tree
+{_merkle_join('t', 'r.tree', 'r.rank')}
+{_merkle_join('s', '0', 'r.tree')}),
+{_merkle_fold('claimed')}
+select doc_id, leaf, subroot, root,
+    sha256({" || ".join(f"coalesce({name}p{k}.l || {name}p{k}.r, '')" for name in ("t", "s") for k in range(MERKLE_LEVELS))}) as proof_sha256,
+    f{2 * MERKLE_LEVELS - 1} as folded_root, f{2 * MERKLE_LEVELS - 1} = root as verified
+from fold{2 * MERKLE_LEVELS - 1}
+"""
