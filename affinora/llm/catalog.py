@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinora.llm import decontaminate, infill, language, licenses, merkle, minhash, mixing, oracle, pseudolikelihood, rollups, subspace, toxicity, wrappers
+from affinora.llm import decontaminate, infill, language, licenses, merkle, minhash, mixing, oracle, passages, pseudolikelihood, rollups, subspace, toxicity, wrappers
 from affinora.llm.cut import checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.removed(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op9_license_scan": op9_license_scan,
     "op10_token_rollups": op10_token_rollups,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -90,5 +95,6 @@ ORACLE: dict[str, str] = {
     "op7_near_vectors": oracle.NEAR_VECTORS,
     "op10_token_rollups": oracle.ROLLUPS,
     "op11_fill_in_middle": oracle.INFILL,
+    "op12_substring_dedup": oracle.PASSAGES,
     "op13_merkle_manifest": oracle.MERKLE,
 }

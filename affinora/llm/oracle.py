@@ -217,3 +217,18 @@ select doc_id, leaf, subroot, root,
     f{2 * MERKLE_LEVELS - 1} as folded_root, f{2 * MERKLE_LEVELS - 1} = root as verified
 from fold{2 * MERKLE_LEVELS - 1}
 """
+
+PASSAGES = r"""
+with worded as (
+    select row_number() over () as row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select row_no, doc_id, w, unnest(range(1, len(w) - 48)) as i from worded where doc_id is not null),
+windows as (select row_no, doc_id, i, array_to_string(w[i:i + 49], ' ') as body from starts),
+judged as (select row_no, i, doc_id > min(doc_id) over (partition by body) as again from windows),
+gone as (select distinct row_no, unnest(range(i, i + 50)) as k from judged where again),
+lists as (select row_no, list(k) as gone from gone group by 1),
+left_over as (
+    select d.doc_id, d.w, coalesce(len(l.gone), 0)::bigint as n_removed,
+        case when l.gone is null then d.w else list_transform(list_sort(list_filter(range(1, len(d.w) + 1), lambda k: not list_contains(l.gone, k))), lambda k: d.w[k]) end as kept
+    from worded d left join lists l on l.row_no = d.row_no)
+select doc_id, len(w)::bigint as n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from left_over
+"""
