@@ -163,30 +163,27 @@ class FMIndex:
     def repeats(self, width: int) -> list[np.ndarray]:
         """(text, from, to) of windows of `width` words, by start within their text, that stand in a text of a lower owner too.
 
-        Each text is searched from its end to the left. Where a match breaks off before the word at f, all windows inside the match are
-        known. Windows further left end before `hi`, the shortest end for which [f, hi) has no match, found by bisection: they
-        cannot hold that whole piece. The search goes on from there.
+        A range of windows is searched to the left from both its ends. From the end of the last window, all windows that start
+        inside the match are known. From the end of the first one, a match that breaks off before the word at f rules out all windows up
+        to f, since each holds the piece from f to that end. What is left between is halved; all ranges step together.
         """
         found = []
-        end, todo = self.end.copy(), np.flatnonzero(self.end - self.start >= width)
-        while len(todo):
-            e, s, own = end[todo], self.start[todo], self.owner[todo]
-            left = self.reach(self.text, e, s, own)
-            hit = e - left >= width
-            found.append(np.stack([todo[hit], left[hit] - s[hit], e[hit] - width - s[hit]], axis=1))
-            on = (left > s) & (e - 1 >= s + width)
-            todo, e, s, own, f = todo[on], e[on], s[on], own[on], left[on] - 1
-            low, high = f.copy(), e.copy()
-            # The first end asked for is that of the leftmost window: mostly nothing is left of it.
-            middle = np.where((s + width > f) & (s + width < e), s + width, (low + high) // 2)
-            while True:
-                wide = np.flatnonzero((high - low > 1) & (high > s + width))
-                if not len(wide):
-                    break
-                fits = self.reach(self.text, middle[wide], f[wide], own[wide]) <= f[wide]
-                low[wide[fits]] = middle[wide[fits]]
-                high[wide[~fits]] = middle[wide[~fits]]
-                middle = (low + high) // 2
-            end[todo] = high - 1
-            todo = todo[high - 1 >= s + width]
+        size = self.end - self.start - width
+        text = np.flatnonzero(size >= 0)
+        low, high = np.zeros(len(text), np.int64), size[text]
+        while len(text):
+            start, own = self.start[text], self.owner[text]
+            left = self.reach(self.text, np.concatenate([start + low, start + high]) + width, np.tile(start + low, 2), np.tile(own, 2)) - np.tile(start, 2)
+            of_first, of_last = left[:len(text)], left[len(text):]
+            hit = of_last <= high
+            found.append(np.stack([text[hit], of_last[hit], high[hit]], axis=1))
+            only = (of_first == low) & (of_last > low)
+            found.append(np.stack([text[only], low[only], low[only]], axis=1))
+            low = np.maximum(of_first, low + 1)
+            high = np.minimum(of_last, high) - 1
+            on = low <= high
+            text, low, high = text[on], low[on], high[on]
+            middle = (low + high) // 2
+            second = middle < high
+            text, low, high = np.concatenate([text, text[second]]), np.concatenate([low, middle[second] + 1]), np.concatenate([middle, high[second]])
         return found

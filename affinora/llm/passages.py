@@ -86,6 +86,8 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pieces(words: list[bytes], shared: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, int, bytes, int | None, bytes | None]]:
     """(start, windows, piece, anchor, words) of all windows whose anchor is shared (sorted); hot ones without anchor and words."""
     anchor = window_anchors(words)
+    if not len(anchor) or not len(shared):
+        return
     place = np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)
     inside = shared[place] == anchor
     # Runs of one anchor, cut at RUN windows where a text repeats itself.
@@ -212,7 +214,7 @@ def kept_texts(docs: DataFrame) -> DataFrame:
     sketch, changed = _state(docs)
     copy = F.col("first") < F.col("doc_id")
     lost = sketch.join(changed.select("doc_id", "digest", "kept"), ["doc_id", "digest"], "left").filter(copy | F.col("kept").isNotNull())
-    lost = lost.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.when(copy, F.lit("")).otherwise(F.decode("kept", F.lit("UTF-8"))).alias("_kept")).dropDuplicates(["_id", "_mark"])
+    lost = lost.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.when(copy, F.lit("")).otherwise(F.decode("kept", "UTF-8")).alias("_kept")).dropDuplicates(["_id", "_mark"])
     rows = docs.withColumn("_at", F.xxhash64("text"))
     rows = rows.join(lost, (rows["doc_id"].cast("long") == lost["_id"]) & (rows["_at"] == lost["_mark"]), "left")
     return rows.withColumn("text", F.coalesce("_kept", "text")).select(docs.columns)
