@@ -81,7 +81,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").distinct()
+        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         state = cut(_downward(small.unionByName(low.select("a", F.col("low").alias("b")))))

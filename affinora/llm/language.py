@@ -86,11 +86,11 @@ def _shares(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
 class Trees:
     """Code lengths of all languages side by side: a row for each context, a column for each symbol."""
 
-    def __init__(self, counted: list[tuple[str, int, int]]) -> None:
-        self.langs = sorted({lang for lang, _, _ in counted})
-        code = np.array([c for _, c, _ in counted], np.int64)
-        n = np.array([k for _, _, k in counted], np.int64)
-        owner = np.array([self.langs.index(lang) for lang, _, _ in counted])
+    def __init__(self, lang: list[str] | pa.Array, code: np.ndarray, n: np.ndarray) -> None:
+        coded = pa.array(lang, pa.string()).dictionary_encode() if isinstance(lang, list) else lang.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        self.langs = sorted(names)
+        owner = np.array([self.langs.index(x) for x in names], np.int64)[coded.indices.to_numpy()]
         often = np.bincount(code & 255, weights=n, minlength=256)
         alphabet = [b for b in np.argsort(-often, kind="stable")[:SYMBOLS - 1] if often[b] > 0]
         self.symbol = np.full(256, len(alphabet), np.int32)
@@ -174,7 +174,9 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Trees:
         picked = picked | ((F.col("lang") == lang) & (place < int((1 << 20) * min(1.0, per_lang / n))))
     counted = rows.filter(picked).mapInArrow(_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # Different grams of the sample: bounded by its size.
-    return Trees([tuple(r) for r in counted.collect()])
+    table = counted.toArrow().combine_chunks()
+    lang = table.column("lang").combine_chunks()
+    return Trees(lang, table.column("gram").to_numpy(), table.column("n").to_numpy())
 
 
 def predicted(trees: Trees, docs: DataFrame, text: Column) -> Column:

@@ -28,8 +28,9 @@ SLOTS = 64
 #: Rows of a band: 16 bands of 4 miss a pair at similarity 0.85 once in 130,000 times, one at 0.9 once in ten million.
 ROWS = 4
 BANDS = SLOTS // ROWS
-#: Documents of a tile of a crowded bucket; two tiles at a time are compared in a task.
+#: Documents, and shingles of all of them, of a tile of a crowded bucket (on average); two tiles at a time are compared in a task.
 TILE = 256
+TILE_SHINGLES = 1 << 20
 #: Bits of the membership filter that spares the shuffle of texts without candidates; fixed, so its broadcast has a bound.
 FILTER_BITS = 1 << 23
 
@@ -117,19 +118,23 @@ def membership(ids: DataFrame, key: str) -> DataFrame:
     return ids.select((h / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (h % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
 
 
-def only_members(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows whose key is in `ids` (distinct, same column name): first by the broadcast filter, then exactly."""
+def likely_members(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose key is in `ids` (same column name), and few others, by the broadcast filter."""
     h = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
     word, bit = (h / 64).cast("int"), (h % 64).cast("int")
     bits = F.broadcast(membership(ids, key))
-    near = rows.join(bits, (word == bits["word"]) & (F.call_function("shiftright", bits["bits"], bit).bitwiseAND(F.lit(1)) == 1), "left_semi")
-    return near.join(ids, key, "left_semi")
+    return rows.join(bits, (word == bits["word"]) & (F.call_function("shiftright", bits["bits"], bit).bitwiseAND(F.lit(1)) == 1), "left_semi")
+
+
+def only_members(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows whose key is in `ids` (distinct, same column name): first by the broadcast filter, then exactly."""
+    return likely_members(rows, key, ids).join(ids, key, "left_semi")
 
 
 def _tile_links(percent: int):
     def compare(key: tuple[pa.Scalar, ...], batch: pa.Table) -> pa.Table:
         tile, elements = batch.column("tile").to_numpy(), batch.column("elements").combine_chunks()
-        node, comp = batch.column("node").to_pylist(), batch.column("comp").to_pylist()
+        comp = batch.column("comp").to_pylist()
         offsets, flat = elements.offsets.to_numpy(), elements.values.to_numpy()
         flat, offsets = flat[offsets[0]:offsets[-1]], offsets - offsets[0]
         sizes = np.diff(offsets)
@@ -152,36 +157,28 @@ def _tile_links(percent: int):
         forest = Forest()
         at[:] = np.unique(comp, return_inverse=True)[1]
         for x, y in zip(*np.nonzero(fits & (at[left][:, None] != at[right][None, :]))):
-            forest.union(node[left[x]], node[right[y]])
+            forest.union(comp[left[x]], comp[right[y]])
         return pa.Table.from_batches(list(tx.in_batches(forest.edges(), _LINK)), _LINK)
 
     return compare
 
 
-def crowded_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links left in buckets (key, node, comp) that still hold several components, compared exactly tile by tile.
+def crowded_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components left in buckets (key, node, comp, n_shingles) that still hold several, compared exactly tile by tile.
 
     Every pair of a bucket that isn't yet in one component is compared, by a matrix product over the shared shingles of two
-    tiles. A task gives back a spanning forest of its links, so the output grows with the members and not with their pairs.
+    tiles. A task gives back a spanning forest of the components it links, so the output grows with the members and not with their pairs.
     """
-    tiles = buckets.groupBy("key").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / TILE).cast("int")).alias("tiles"))
-    dealt = buckets.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    tiles = F.greatest(F.lit(1), F.ceil(F.count("*") / TILE), F.ceil(F.sum("n_shingles") / TILE_SHINGLES)).cast("int")
+    several = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), tiles.alias("tiles")).filter("low <> high")
+    dealt = members.join(several.select("key", "tiles"), "key").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(
         F.least(t, F.col("tile")).alias("i"), F.greatest(t, F.col("tile")).alias("j"))))
     sent = dealt.select("key", "node", "comp", "tile", pair.alias("p")).join(sets, "node")
-    sent = sent.select("key", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "node", "comp", "tile", "elements")
+    sent = sent.select("key", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "comp", "tile", "elements")
     return sent.groupBy("key", "i", "j").applyInArrow(_tile_links(percent), "a long, b long")
 
 
-def _one_set_each(classes: DataFrame) -> DataFrame:
-    """Without the further sets of a node that names several."""
-    several = cut(classes.groupBy("node").agg(F.min("digest").alias("least"), F.count("*").alias("n")).filter("n > 1"))
-    if several.isEmpty():
-        return classes
-    further = classes.join(several, "node").filter("digest <> least").select("digest")
-    return cut(classes.join(further, "digest", "left_anti"))
-
-
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
@@ -193,34 +190,49 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     sketch = cut(rows.mapInArrow(_sketches, "doc_id long, n_shingles long, digest binary, bands array<long>"))
     named = sketch.filter("digest is not null and doc_id is not null")
-    classes = cut(named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
-    single = _one_set_each(classes)
-    keys = single.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).filter("n > 1")
-    buckets = cut(keys.join(shared, "key").select("key", "node", "center"))
+    classes = cut(named.groupBy("digest").agg(
+        F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
+    repeated = named.groupBy("doc_id").agg(F.min("digest").alias("least"), F.max("digest").alias("most")).filter("least <> most").select("doc_id", "least")
+    single, ties = (classes, None) if repeated.isEmpty() else _several_sets(named, classes, cut(repeated))
+    keys = single.select("node", "n_shingles", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center")).filter("n > 1").select("key", "center")
+    buckets = cut(keys.join(shared, "key"))
     pairs = cut(buckets.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct())
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = cut(only_members(rows, "doc_id", nodes).mapInArrow(_sets, "node long, digest binary, elements array<long>")
-               .join(single.select("node", "digest"), ["node", "digest"]).select("node", "elements").dropDuplicates(["node"]))
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = cut(single.select("node", "digest").join(nodes, "node"))
+    # Texts are not shuffled: the filter lets few more than the wanted ones be cut into shingles where they lie.
+    sets = likely_members(rows.withColumnRenamed("doc_id", "node"), "node", wanted).withColumnRenamed("node", "doc_id")
+    sets = cut(sets.mapInArrow(_sets, "node long, digest binary, elements array<long>").join(wanted, ["node", "digest"]).select("node", "elements").dropDuplicates(["node"]))
     of_a = sets.select(F.col("node").alias("a"), F.col("elements").alias("in_a"))
     of_b = sets.select(F.col("node").alias("b"), F.col("elements").alias("in_b"))
     common = F.size(F.array_intersect("in_a", "in_b"))
-    first = cut(pairs.join(of_b, "b").join(of_a, "a").filter(_alike(common, F.size("in_a"), F.size("in_b"), percent)).select("a", "b"))
-    # A doc_id that names several sets ties their classes together.
-    ties = named.join(classes.select("digest", "node"), "digest").filter("doc_id <> node").groupBy("doc_id").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"))
-    ties = ties.filter("low <> high").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    known = components(first)
-    left = buckets.filter("node <> center").join(known, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = left.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
-    second = crowded_links(left.join(mixed, "key", "left_semi"), sets, percent)
-    reached = components(first.unionByName(second))
+    first = pairs.join(of_b, "b").join(of_a, "a").filter(_alike(common, F.size("in_a"), F.size("in_b"), percent)).select("a", "b")
+    known = components(first if ties is None else first.unionByName(ties))
+    members = buckets.join(known, "node", "left").select("key", "node", "n_shingles", F.coalesce("component", "node").alias("comp"))
+    second = cut(crowded_links(members, sets, percent))
+    reached = known if second.isEmpty() else _joined(known, components(second))
     named_class = classes.filter("copies > 1").select("digest", F.col("node").alias("class_id"))
     out = sketch.join(named_class, "digest", "left").withColumn("node", F.coalesce("class_id", "doc_id")).join(reached, "node", "left")
     component = F.coalesce("component", "node")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _several_sets(named: DataFrame, classes: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where doc_ids name several sets: the classes without further sets of a node, and links between the classes that such a doc_id ties."""
+    further = classes.join(repeated.withColumnRenamed("doc_id", "node"), "node").filter("digest <> least").select("digest")
+    single = cut(classes.join(further, "digest", "left_anti"))
+    of_doc = named.join(repeated.select("doc_id"), "doc_id").select("doc_id", "digest").join(classes.select("digest", "node"), "digest")
+    ties = of_doc.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"), F.min("node").alias("a"))
+    return single, ties.select("a", F.explode("nodes").alias("b")).filter("a <> b")
+
+
+def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after those of links between components."""
+    onward = more.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    moved = known.join(onward, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
+    return moved.unionByName(more.join(known, "node", "left_anti"))
+
+
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of docs without those whose component has a smaller doc_id; rows that repeat a kept doc_id stay once."""
     found = near_duplicates(docs, percent)

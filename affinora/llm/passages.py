@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from affinora.llm import text as tx
 from affinora.llm.cut import bounded_batches, cut
 from affinora.llm.fmindex import FMIndex
-from affinora.llm.minhash import FILTER_BITS, membership
+from affinora.llm.minhash import likely_members
 
 WIDTH = 50
 GRAM = 8
@@ -155,11 +155,7 @@ def _cuts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (doc_id, mark, text) joined with `wanted` (doc_id, mark, ...): a broadcast filter of fixed size spares most texts the shuffle."""
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    word, bit = (h / 64).cast("int"), (h % 64).cast("int")
-    bits = F.broadcast(membership(wanted.select("doc_id"), "doc_id"))
-    near = rows.join(bits, (word == bits["word"]) & (F.call_function("shiftright", bits["bits"], bit).bitwiseAND(F.lit(1)) == 1), "left_semi")
-    return near.join(wanted, ["doc_id", "mark"])
+    return likely_members(rows, "doc_id", wanted).join(wanted, ["doc_id", "mark"])
 
 
 def _spans(reps: DataFrame, rows: DataFrame) -> DataFrame:
