@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from affinora.catalog import item_master as IM
@@ -9,7 +11,8 @@ from affinora.catalog.common import stage, tidy
 from affinora.plans import datasets as D
 from affinora.plans import models as R
 from affinora.plans import reporting as Q
-from affinora.session import cut_lineage
+from affinora.session import cut_lineage, ensure_checkpoint_dir
+from affinora.streaming import idle
 from affinora.streaming import monitor as S
 
 QUERIES: dict = {}
@@ -332,3 +335,56 @@ _add("stream_interactions", lambda fx: tidy(S.stream_interactions(fx.item_event)
      """select distinct user_id, cast(item as string) as item_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, page_section, country as locale,
  case when event_type = 'productView' and page_section = 'Configure - Recommendation' then 'addToCart' when event_type = 'productView' and page_section in ('Gallery', 'Studio') then 'click' else event_type end as event_type
  from item_event where user_id is not null""")
+
+
+# --- the same as streams: slices of the events arrive one after the other, the query restarts with each -------------------------
+
+EDGES = ["2024-01-06 12:30:00", "2024-01-09 00:00:00", "2024-01-20 07:00:00"]
+DELAY = "2 hours"
+
+
+def _slices(rows, again=None, close="2024-02-15 00:00:00"):
+    """The rows cut at the edges, then `again` (rows that come a second time or late), then a row of no key, far ahead, that closes all windows."""
+    bounds = [None, *EDGES, None]
+    for low, high in zip(bounds, bounds[1:]):
+        inside = F.lit(True)
+        if low:
+            inside = inside & (F.col("ts") >= F.lit(low).cast("timestamp"))
+        if high:
+            inside = inside & (F.col("ts") < F.lit(high).cast("timestamp"))
+        yield rows.filter(inside)
+    if again is not None:
+        yield again
+    empty = [F.lit(close).cast("timestamp").alias("ts") if c == "ts" else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in rows.columns]
+    yield rows.sparkSession.range(1).select(*empty)
+
+
+def _replayed(fx, rows, build, again=None):
+    S.with_state_store(fx.spark)
+    rows = cut_lineage(rows.withColumn("ts", F.col("ts").cast("timestamp")))
+    return S.replay(_slices(rows, again(rows) if again else None), build, f"{ensure_checkpoint_dir(fx.spark)}/stream-{uuid.uuid4().hex}")
+
+
+def _window_stream(fx):
+    rows = fx.item_event.select("ts", "event_type")
+    # Events of the first slice once more: all windows of it are closed, so each is dropped and counted.
+    late = lambda rows: rows.filter(F.col("ts") < F.lit(EDGES[0]).cast("timestamp"))
+    out, dropped = _replayed(fx, rows, lambda s: S.events_per_window(s, "300 seconds", ["event_type"], DELAY), late)
+    return out.withColumn("late_windows", F.lit(dropped > 0))
+
+
+def _interaction_stream(fx):
+    rows = fx.item_event.select("user_id", "item", "ts", "page_section", "country", "event_type")
+    again = lambda rows: rows.filter(F.col("ts") >= F.lit(EDGES[1]).cast("timestamp"))
+    return _replayed(fx, rows, S.stream_interactions, again)[0]
+
+
+def _idle_stream(fx):
+    rows = fx.item_event.select("ts", "country", "event_type")
+    return _replayed(fx, rows, lambda s: idle.idle_stream(s, 3600, ["country", "event_type"], "2024-01-05 00:00:00", "2024-01-12 00:00:00", _watched(fx), DELAY))[0]
+
+
+_add("events_per_window_stream", lambda fx: tidy(_window_stream(fx)),
+     ORACLE["events_per_window"].replace("count(*) as events", "count(*) as events, true as late_windows"))
+_add("stream_interactions_stream", lambda fx: tidy(_interaction_stream(fx)), ORACLE["stream_interactions"])
+_add("idle_windows_stream", lambda fx: tidy(_idle_stream(fx)), ORACLE["idle_windows"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,3 +76,30 @@ def write_available(df: DataFrame, out: str, checkpoint: str, mode: str = "appen
     """Process all available input once into a parquet folder; restart-safe through its checkpoint."""
     query = df.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", checkpoint)
     return query.trigger(availableNow=True).start()
+
+
+def with_state_store(spark: SparkSession) -> None:
+    """The state store that holds timers and map states on disk, with its change log in the checkpoint."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> int:
+    """Process what is there and stop; the number of input rows that came behind the watermark and were dropped."""
+    query = write_available(stream, out, checkpoint)
+    query.awaitTermination()
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def replay(slices: Iterable[DataFrame], build: Callable[[DataFrame], DataFrame], folder: str) -> tuple[DataFrame, int]:
+    """What a stream query writes when event slices arrive one by one, and how many rows it dropped as late.
+
+    Each slice is appended to the source folder, then the query starts anew from its checkpoint, takes what is new and stops: offsets,
+    watermark and state outlive every restart.
+    """
+    late = 0
+    for part in slices:
+        part.write.mode("append").parquet(f"{folder}/events")
+        spark = part.sparkSession
+        late += run_available(build(read_event_stream(spark, f"{folder}/events", part.schema, 1_000_000)), f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/out"), late
