@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from affinora.catalog.common import tidy
 from affinora.operators import merge, quality
 from affinora.session import ensure_checkpoint_dir
-from affinora.sources import snapshots
+from affinora.sources import partitioned, snapshots
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -90,6 +90,67 @@ _add("merge_retention", lambda fx: tidy(merge.retain_since(
      """select strftime(cast(o_orderdate as date), '%Y-%m-%d') as created_on, count(*) as n from orders
  where cast(o_orderdate as date) >= date '2000-07-02' group by 1""")
 
+
+# --- the same on a partitioned folder: only touched partitions are read and rewritten ----------------
+
+def _folder(fx, rows, by):
+    path = f"{ensure_checkpoint_dir(fx.spark)}/partitions-{uuid.uuid4().hex}"
+    partitioned.create(rows, path, by)
+    return path
+
+
+def _read(fx, path, columns):
+    return fx.spark.read.parquet(path).select(*columns)
+
+
+_SIDE = "country in ('US', 'GB', 'C3', 'C4', 'C5')"
+
+
+def _partition_upsert(fx):
+    current = _current(fx)
+    path = _folder(fx, current, ["country"])
+    partitioned.upsert(path, _incoming(fx).filter(_SIDE), _KEYS, ["country"])
+    return _read(fx, path, current.columns)
+
+
+def _partition_delete(fx):
+    current = _current(fx)
+    path = _folder(fx, current, ["country"])
+    # Countries of the scope that the source lacks altogether are emptied.
+    partitioned.delete_not_matched_by_source(path, _incoming(fx).filter("country <> 'US'"), _KEYS, ["country"], F.expr(_SIDE))
+    return _read(fx, path, current.columns)
+
+
+def _partition_retention(fx):
+    daily = fx.orders.groupBy(F.col("o_orderdate").cast("date").alias("created_on")).agg(F.count(F.lit(1)).alias("n"))
+    path = _folder(fx, daily.withColumn("month", F.date_format("created_on", "yyyy-MM")), ["month"])
+    partitioned.retain(fx.spark, path, ["month"], F.col("created_on") >= F.add_months(F.lit("2001-08-02").cast("date"), -13))
+    return _read(fx, path, ["created_on", "n"])
+
+
+_add("merge_upsert_partitions", lambda fx: tidy(_partition_upsert(fx)),
+     f"""select {_COLS} from ({_NEW}) n where {_SIDE} union all select {_COLS} from ({_CUR}) c
+ where not exists (select 1 from ({_NEW}) n where n.item = c.item and n.country = c.country and {_SIDE})""")
+_add("merge_delete_partitions", lambda fx: tidy(_partition_delete(fx)),
+     f"""select {_COLS} from ({_CUR}) c where not ({_SIDE}) or exists (
+ select 1 from ({_NEW}) n where n.item = c.item and n.country = c.country and n.country <> 'US')""")
+_add("merge_retention_partitions", lambda fx: tidy(_partition_retention(fx)), ORACLE["merge_retention"])
+
+
+def _observed(fx):
+    checks = quality.observed_checks(["unit_price", "site_category", "category"], {"category": ["ECONOMY", "PROMO", "SMALL"]}, ["unit_price", "moq"])
+    return quality.write_observed(fx.base_item, f"{ensure_checkpoint_dir(fx.spark)}/observed-{uuid.uuid4().hex}", checks, fx.part.count())
+
+
+_add("checks_while_written", lambda fx: tidy(_observed(fx)),
+     """with counted as (select count(*) as n, count(*) filter (where unit_price is null) as a, count(*) filter (where site_category is null or length(site_category) < 1) as b,
+  count(*) filter (where category is null or length(category) < 1) as c, count(*) filter (where category not in ('ECONOMY', 'PROMO', 'SMALL')) as d,
+  count(*) filter (where unit_price < 0) as e, count(*) filter (where moq < 0) as f from base_item)
+ select 'rows' as "check", '' as column_name, n, abs(n - p) / p > 0.05 as failed from counted, (select count(*) as p from part)
+ union all select 'null', 'unit_price', a, a > 0 from counted union all select 'null', 'site_category', b, b > 0 from counted
+ union all select 'null', 'category', c, c > 0 from counted union all select 'domain', 'category', d, d > 0 from counted
+ union all select 'negative', 'unit_price', e, e > 0 from counted union all select 'negative', 'moq', f, f > 0 from counted""")
+
 _add("check_duplicates", lambda fx: tidy(quality.duplicates(fx.lineitem, ["l_orderkey", "l_linenumber"])),
      "select l_orderkey, l_linenumber::bigint as l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
 _add("check_nulls", lambda fx: tidy(quality.null_columns(fx.product, ["item", "category", "unit_price", "site_category"])),

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,35 +35,31 @@ def normalised(v: Column) -> Column:
     return let(norm(v), lambda n: F.transform(as_double(v), lambda x: F.try_divide(x, n)))
 
 
-def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
-
-
 def text_embedding(text: Column, dim: int) -> Column:
     """Hashed bag of words: each token adds +1 or -1 to the bucket its md5 names; unit length.
 
-    Empty text gives zeros. Tokens are hashed once; a bucket is a count over the hashed codes.
+    Empty text gives zeros. One pass over a batch of texts in numpy; a token met before is not hashed again.
     """
+    return _bags(dim)(F.lower(F.coalesce(text, F.lit(""))))
 
-    def code(token: Column) -> Column:
-        """Bucket number from 1, negative for a negative count."""
-        digest = F.md5(token)
-        bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim + 1
-        odd = F.substring(digest, 9, 1).isin("1", "3", "5", "7", "9", "b", "d", "f")
-        return F.when(odd, -bucket).otherwise(bucket).cast("int")
-
-    codes = F.transform(tokens(F.coalesce(text, F.lit(""))), code)
 
-    def count(v: Column, k: Column) -> Column:
-        return (F.size(F.filter(v, lambda c: c == k)) - F.size(F.filter(v, lambda c: c == -k))).cast("double")
+@functools.lru_cache(maxsize=1 << 16)
+def _token_code(token: str) -> tuple[int, int]:
+    """Number of a token before it is reduced to a bucket, and its sign."""
+    digest = hashlib.md5(token.encode()).hexdigest()
+    return int(digest[:8], 16), -1 if int(digest[8], 16) % 2 else 1
 
-    counts = let(codes, lambda v: F.transform(F.sequence(F.lit(1), F.lit(dim)), lambda k: count(v, k)))
 
-    def scaled(v: Column) -> Column:
-        length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
-        return let(length, lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(0.0)))
+def _bags(dim: int):
+    def bags(texts: pd.Series) -> pd.Series:
+        found = [[_token_code(t) for t in re.findall("[a-z0-9]+", x)] for x in texts]
+        owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        codes = np.array([c for f in found for c in f], np.int64).reshape(-1, 2)
+        counts = np.bincount(owner * dim + codes[:, 0] % dim, weights=codes[:, 1], minlength=len(found) * dim).reshape(len(found), dim)
+        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return pd.Series(list(np.divide(counts, length, out=np.zeros_like(counts), where=length > 0)), dtype=object)
 
-    return let(counts, scaled)
+    return F.pandas_udf(bags, "array<double>")
 
 
 def seeded_weight(seed: str, row: int, column: int, scale: float = 1.0) -> float:

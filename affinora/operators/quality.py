@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -128,3 +128,28 @@ def null_profile(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame
 
 def rows_with_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(functools.reduce(lambda a, b: a | b, [is_missing(c) for c in columns]))
+
+
+def observed_checks(nulls: Sequence[str] = (), domains: dict[str, Sequence] | None = None, non_negative: Sequence[str] = ()) -> dict[str, Column]:
+    """Aggregates that count violations by name (``kind:column``), and all rows; fit for an Observation: no shuffle, one pass."""
+    out = {"rows:": F.count(F.lit(1))}
+    out |= {f"null:{c}": F.count_if(is_missing(c)) for c in nulls}
+    out |= {f"domain:{c}": F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(v))) for c, v in (domains or {}).items()}
+    return out | {f"negative:{c}": F.count_if(F.col(c) < 0) for c in non_negative}
+
+
+def write_observed(df: DataFrame, path: str, checks: dict[str, Column], previous_rows: int | None = None, drift: float = 0.05) -> DataFrame:
+    """Write the frame as Parquet and return what its checks found, as (check, column_name, n, failed), without reading anything twice.
+
+    The counts ride on the write as Observation metrics. The row count fails where it left ``previous_rows`` by more than
+    ``drift``; a written file whose checks fail is the caller's to discard.
+    """
+    seen = Observation()
+    df.observe(seen, *[v.alias(k) for k, v in checks.items()]).write.mode("overwrite").parquet(path)
+    found = seen.get
+    rows = []
+    for name, n in found.items():
+        kind, column = name.split(":", 1)
+        failed = n > 0 if kind != "rows" else bool(previous_rows) and abs(n - previous_rows) / previous_rows > drift
+        rows.append((kind, column, int(n), failed))
+    return df.sparkSession.createDataFrame(rows, "check string, column_name string, n long, failed boolean")

@@ -1,7 +1,6 @@
 """Marketing proxies: price, bulk, rating and design-complexity tags with Bayesian shrinkage.
 
-Group medians and prior weights are grouped aggregates joined back (partial aggregation) rather than
-windows over the rows. Percent ranks run on one row per region and item.
+Group medians and prior weights are exact selections by value bucket, joined back; no group is gathered in one task. Percent ranks run on one row per region and item.
 """
 
 from __future__ import annotations
@@ -12,7 +11,9 @@ from pyspark.sql import functions as F
 from affinora import config
 from affinora.functions import stats
 from affinora.operators import ranking
+from affinora.operators.quantiles import exact_quantiles, with_quantiles
 from affinora.plans.item_master import canonical_country
+from affinora.session import cut_lineage
 
 
 def utc_time(column: str, zone: str | None) -> Column:
@@ -46,14 +47,14 @@ def high_value_proxy(items: DataFrame, rates: DataFrame, excluded: list[str]) ->
         # a float sum depends on row order: six places keep equal prices equal in the rank
         F.round(F.avg("usd"), 6).alias("avg_price"),
     )
-    by_group = avg.groupBy("region", "product_group").agg(F.median("avg_price").alias("group_median"))
-    by_sub = avg.groupBy("region", "subcategory").agg(F.median("avg_price").alias("subcategory_median"))
+    avg = cut_lineage(avg)
+    imputing = with_quantiles(avg, avg, ["region", "product_group"], "avg_price", {"group_median": 0.5})
+    imputing = cut_lineage(with_quantiles(imputing, avg, ["region", "subcategory"], "avg_price", {"subcategory_median": 0.5}))
     by_cat = avg.groupBy("region", "category").agg(
         F.avg("avg_price").alias("category_avg"), F.countDistinct("item").alias("category_items")
     )
     joined = (
-        avg.join(by_group, ["region", "product_group"]).join(by_sub, ["region", "subcategory"])
-        .join(by_cat, ["region", "category"])
+        imputing.join(by_cat, ["region", "category"])
         .withColumn("price", F.coalesce("avg_price", "group_median", "subcategory_median"))
         .withColumn("price_imputed", F.col("avg_price").isNull().cast("int"))
         .withColumn("category_ratio", F.try_divide("price", "category_avg"))
@@ -64,16 +65,14 @@ def high_value_proxy(items: DataFrame, rates: DataFrame, excluded: list[str]) ->
 
 def _shrunk(product: DataFrame, system: DataFrame, groups: list[str], n: str, value: str, prior: str) -> DataFrame:
     """Product rows with prior weight (20 % quantile of counts), prior value and the shrunk value."""
-    weight = product.groupBy(*groups).agg(
-        F.percentile(n, F.lit(config.PRIOR_WEIGHT_QUANTILE)).alias("system_weight")
-    )
+    weight = exact_quantiles(product, groups, n, {"system_weight": config.PRIOR_WEIGHT_QUANTILE})
     joined = product.join(weight, groups).join(system, groups)
     shrunk = stats.shrunk_mean(F.col(n), F.col(value), F.col("system_weight"), F.col(prior))
     return joined.withColumn("shrunk", shrunk)
 
 
 def _labelled(df: DataFrame, score: Column) -> DataFrame:
-    scored = df.withColumn("score", score).drop("shrunk")
+    scored = cut_lineage(df.withColumn("score", score).drop("shrunk"))
     ranked = ranking.percent_rank_of_known(scored, ["region"], "score", "pct_rank")
     return ranked.withColumn("label", stats.quartile_label(F.col("pct_rank"))).drop("pct_rank")
 
@@ -91,13 +90,12 @@ def bulk_proxy(
     mapped = valid_mapping(timed, mapping, "_time").drop("_time")
     levels = base.select(F.col("item").alias("mapped_item"), "country", *groups)
     sold = mapped.join(levels, ["mapped_item", "country"]).withColumnRenamed("mapped_item", "item")
-    product = (
-        sold.filter(~F.col("category").isin(excluded)).groupBy(*groups, "item")
-        .agg(F.countDistinct("order_number").alias("order_count"), F.median("quantity").alias("median_quantity"))
-    )
-    system = sold.groupBy(*groups).agg(
-        F.countDistinct("order_number").alias("system_order_count"), F.median("quantity").alias("system_median")
-    )
+    sold = cut_lineage(sold)
+    kept = sold.filter(~F.col("category").isin(excluded))
+    product = kept.groupBy(*groups, "item").agg(F.countDistinct("order_number").alias("order_count"))
+    product = cut_lineage(with_quantiles(product, kept, [*groups, "item"], "quantity", {"median_quantity": 0.5}))
+    system = sold.groupBy(*groups).agg(F.countDistinct("order_number").alias("system_order_count"))
+    system = with_quantiles(system, sold, groups, "quantity", {"system_median": 0.5})
     rows = _shrunk(product, system, groups, "order_count", "median_quantity", "system_median")
     score = F.when(F.col("order_count") < config.BULK_SHRINK_BELOW, F.round("shrunk")).otherwise(F.col("median_quantity"))
     return _labelled(rows, score)
@@ -174,11 +172,10 @@ def design_complexity_proxy(durations: DataFrame, base: DataFrame, excluded: lis
     timed = durations.join(base.select("item", "country", *groups, "product_group"), ["item", "country"]).filter(
         ~F.col("category").isin(excluded)
     )
-    product = timed.groupBy(*groups, "product_group", "item").agg(
-        F.count("design_id").alias("design_count"), F.median("minutes").alias("median_minutes")
-    )
-    system = timed.groupBy(*groups).agg(
-        F.count("design_id").alias("system_design_count"), F.median("minutes").alias("system_median_minutes")
-    )
+    timed = cut_lineage(timed)
+    product = timed.groupBy(*groups, "product_group", "item").agg(F.count("design_id").alias("design_count"))
+    product = cut_lineage(with_quantiles(product, timed, [*groups, "product_group", "item"], "minutes", {"median_minutes": 0.5}))
+    system = timed.groupBy(*groups).agg(F.count("design_id").alias("system_design_count"))
+    system = with_quantiles(system, timed, groups, "minutes", {"system_median_minutes": 0.5})
     rows = _shrunk(product, system, groups, "design_count", "median_minutes", "system_median_minutes")
     return _labelled(rows, F.round("shrunk", 9))
