@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from affinora import fixtures
 
-FAMILIES = ["bundles", "item_master", "datasets", "similarity", "industry", "quality"]
+FAMILIES = ["bundles", "item_master", "datasets", "similarity", "industry", "quality", "storage"]
 
 
 def _modules():

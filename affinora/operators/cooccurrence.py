@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinora import config
@@ -29,16 +29,37 @@ def item_totals(baskets: DataFrame) -> DataFrame:
     )
 
 
+def _pair_bucket(bits: int) -> Column:
+    return F.pmod(F.xxhash64("segment", "item", "other"), F.lit(1 << bits))
+
+
+def likely_frequent(pairs: DataFrame, min_count: int, bits: int) -> DataFrame:
+    """Pairs without most of those that occur less than ``min_count`` times: a pair whose hash bucket counts too few cannot occur often enough.
+
+    Bucket counts combine map-side to 2^bits rows at most, and the filter that goes to all tasks holds one bit for each: both have a fixed size.
+    Pairs of a full enough bucket stay, whatever their own count, so the exact count that follows decides alone.
+    """
+    h = _pair_bucket(bits)
+    full = pairs.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count)
+    word = lambda c: F.call_function("div", c, F.lit(64).cast("bigint"))
+    bits_of = full.select(word(F.col("_h")).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("_h") % 64).cast("int")).alias("_bit"))
+    bits_of = bits_of.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = pairs.withColumn("_h", h)
+    set_bit = F.call_function("shiftright", F.col("_bits"), (F.col("_h") % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return marked.join(F.broadcast(bits_of), (word(F.col("_h")) == F.col("_word")) & set_bit, "left_semi").drop("_h")
+
+
 def pair_counts(
-    baskets: DataFrame, min_count: int = config.MIN_PAIR_COUNT, tile: int = config.BASKET_TILE
+    baskets: DataFrame, min_count: int = config.MIN_PAIR_COUNT, tile: int = config.BASKET_TILE, sketch_bits: int = 0
 ) -> DataFrame:
     """Unordered article pairs (item < other) with basket count and summed basket size.
 
     * An item in fewer than ``min_count`` baskets cannot be in a qualifying pair: it is dropped first.
-    * Baskets up to ``tile`` articles join on the basket key, which the window above already hashed.
+    * Baskets up to ``tile`` articles join on the basket key, which their size count already hashed.
     * Larger baskets are cut into blocks of about ``tile`` articles; each pair of blocks is a join key of
       its own, so a basket holding a large share of all rows spreads over many tasks and no key
       produces more than about tile^2 pairs. Counting combines map-side.
+    * With ``sketch_bits``, pairs are formed twice: bucket counts of the first time keep rare pairs out of the exact count's shuffle.
     """
     frequent = (
         baskets.groupBy("segment", "item").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count)
@@ -67,6 +88,8 @@ def pair_counts(
         "segment", F.least("item", "other").alias("item"), F.greatest("item", "other").alias("other"), "basket_size"
     )
     pairs = small_pairs.select("segment", "item", "other", "basket_size").unionByName(big_pairs)
+    if sketch_bits and min_count > 1:
+        pairs = likely_frequent(pairs, min_count, sketch_bits)
     return (
         pairs.groupBy("segment", "item", "other")
         .agg(F.count(F.lit(1)).alias("pair_count"), F.sum("basket_size").alias("_size_sum"))
@@ -82,6 +105,7 @@ def association_rules(
     min_count: int = config.MIN_PAIR_COUNT,
     min_targets: int = config.MIN_LIST_LENGTH,
     tile: int = config.BASKET_TILE,
+    sketch_bits: int = 0,
 ) -> DataFrame:
     """Directed rules source -> target with support of the target, confidence and conviction.
 
@@ -90,7 +114,7 @@ def association_rules(
     """
     baskets = distinct_baskets(df, segment, basket, item)
     totals = item_totals(baskets)
-    pairs = pair_counts(baskets, min_count, tile)
+    pairs = pair_counts(baskets, min_count, tile, sketch_bits)
     sides = F.explode(
         F.array(
             F.struct(F.col("item").alias("source"), F.col("other").alias("target")),

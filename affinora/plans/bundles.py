@@ -39,11 +39,11 @@ def map_items(lines: DataFrame, mapping: DataFrame, as_of: str) -> DataFrame:
 def co_purchase_rules(
     lines: DataFrame, since: str, locale: str = "locale", basket: str = "basket", item: str = "item",
     created_at: str = "created_at", min_count: int = config.MIN_PAIR_COUNT, min_targets: int = config.MIN_LIST_LENGTH,
-    tile: int = config.BASKET_TILE,
+    tile: int = config.BASKET_TILE, sketch_bits: int = 0,
 ) -> DataFrame:
     """Rules over the orders created at or after ``since``."""
     recent = lines.filter(F.col(created_at) >= F.lit(since).cast("timestamp"))
-    rules = cooccurrence.association_rules(recent, locale, basket, item, min_count, min_targets, tile)
+    rules = cooccurrence.association_rules(recent, locale, basket, item, min_count, min_targets, tile, sketch_bits)
     return rules.withColumnRenamed("segment", "locale")
 
 
