@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinora.operators import ranking
@@ -15,9 +15,11 @@ def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str | Co
     """The first source row of each key in ``order``; without an order, a job that meets a repeated key fails."""
     if order is not None:
         return ranking.latest(source, keys, order)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    refused = F.when(n > 1, F.raise_error(F.lit("several source rows share one merge key")).cast("boolean")).otherwise(F.lit(True))
-    return source.withColumn("_single", refused).filter("_single").drop("_single")
+    refused = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("several source rows share one merge key")).cast("boolean")).otherwise(F.lit(True))
+    # An aggregate combines before the shuffle; every group comes back as its one row, or the job fails.
+    rest = [c for c in source.columns if c not in keys]
+    single = source.groupBy(*keys).agg(refused.alias("_single"), F.first(F.struct(*rest) if rest else F.lit(1)).alias("_row")).filter("_single")
+    return single.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in source.columns])
 
 
 def merge_upsert(

@@ -30,7 +30,8 @@ def current_versions(versions: DataFrame, as_of: str) -> DataFrame:
 
 def cold_start_report(served: DataFrame, clicks: DataFrame, versions: DataFrame) -> DataFrame:
     """Model rank of served items beside their click rank and the age of the serving version."""
-    ranked = ranking.with_row_number(served, ["locale"], [F.desc("score"), F.asc("item_id")], "model_rank")
+    bucket = F.coalesce(F.floor(F.col("score") * -1024), F.lit(1 << 60))  # a locale is numbered bucket by bucket of its scores
+    ranked = ranking.distributed_row_number(served, ["locale"], [bucket], [F.desc("score"), F.asc("item_id")], "model_rank", "_total")
     age = versions.select("solution", "days_since_retrain")
     return ranked.join(clicks, ["locale", "item_id"], "left").join(age, "solution", "left").select(
         "locale", "item_id", "solution", "score", "model_rank", "clicks", "click_rank", "days_since_retrain"
