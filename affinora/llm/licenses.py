@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_OPEN, _SHUT = "\x01", "\x02"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Base phrases and labels.
@@ -58,6 +59,8 @@ NAMES = (
     ("mit", "expat", r"expat licen[sc]e"),
     ("x11", "x11", r"x11 licen[sc]e"),
     ("isc", "isc", r"isc licen[sc]e"),
+    ("mpl-2", "mpl", r"mpl(?: v| version)? ?2(?: 0)?"),
+    ("mpl-1.1", "mpl", r"mpl(?: v| version)? ?1 1"),
     ("mpl-2", "mozilla", r"mozilla public licen[sc]e(?: version| v)? ?2(?: 0)?"),
     ("mpl-1.1", "mozilla", r"mozilla public licen[sc]e(?: version| v)? ?1 1"),
     ("mpl", "mozilla", r"mozilla public licen[sc]e"),
@@ -105,6 +108,18 @@ FRAMES = (
     (r"under (?:the )?{}", 0.8),
     (r"{}", 0.6),
 )
+# Short identifiers in normal form, too short or too common to stand for a license without a frame.
+SHORT = (
+    ("mit", "mit"), ("mit-0", "mit 0"), ("isc", "isc"), ("x11", "x11"), ("zlib", "zlib"), ("0bsd", "0bsd"), ("bsd-2-clause", "bsd 2 clause"), ("bsd-3-clause", "bsd 3 clause"),
+    ("apache-2", "apache 2 0"), ("mpl-2", "mpl 2 0"), ("mpl-1.1", "mpl 1 1"), ("epl-2", "epl 2 0"), ("epl-1", "epl 1 0"), ("eupl", "eupl 1 [12]"), ("cddl", "cddl 1 [01]"),
+    ("bsl-1", "bsl 1 0"), ("artistic-2", "artistic 2 0"), ("psf-2", "psf 2 0"), ("ofl-1.1", "ofl 1 1"), ("ms-pl", "ms pl"), ("ms-rl", "ms rl"), ("odbl", "odbl 1 0"),
+)
+# Frames of short identifiers, with the relevance of a match.
+SHORT_FRAMES = (
+    (r"spdx licen[sc]e identifier {}", 1.0),
+    (r"(?:licen[sc]e(?: type| name| id)?|licensed under(?: the)?(?: terms of)?(?: the)?) {}(?! licen[sc]e)", 0.9),
+    (r"{} licensed", 0.9),
+)
 # Texts and mentions without one name: label, keyword, regex, relevance. They stand after all names.
 TEXTS = (
     ("mit", "permission is hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 1.0),
@@ -125,11 +140,14 @@ GATE = ("licen", "gpl", "apache", "cc", "bsd", "commons", "domain", "rights", "w
 
 
 def rules() -> list[tuple[int, str, str, str, float]]:
-    """(priority, label, keyword, regex, relevance), in order: frames from the fullest to the bare name, names in their order."""
+    """(priority, label, keyword, regex, relevance), in order: frames from the fullest to the bare name, names in their order, then short identifiers and texts."""
     out = []
     for frame, relevance in FRAMES:
         for label, keyword, name in NAMES:
             out.append((len(out), label, keyword, frame.replace("{}", f"(?:{name})"), relevance))
+    for frame, relevance in SHORT_FRAMES:
+        for label, name in SHORT:
+            out.append((len(out), label, "licen", frame.replace("{}", f"(?:{name})"), relevance))
     for label, keyword, text, relevance in TEXTS:
         out.append((len(out), label, keyword, text, relevance))
     return out
@@ -143,24 +161,18 @@ def _lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _spaces(s: Column) -> Column:
-    return F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
-
-
 def _places(norm: Column, regex: Column) -> Column:
-    """Word intervals (start, past) of all matches in a normal form that begins and ends with a space."""
-    whole = F.concat(F.lit("(?<= )(?:"), regex, F.lit(")(?= )"))
-    gaps = F.transform(F.split(norm, whole, -1), lambda s: _spaces(s) - 1)
-    sizes = F.transform(F.regexp_extract_all(norm, whole, F.lit(0)), lambda s: _spaces(s) + 1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,past:int>>").alias("found"))
-
-    def add(acc, pair):
-        begin = acc["at"] + pair["gaps"]
-        past = begin + F.coalesce(pair["sizes"], F.lit(0))
-        more = F.when(pair["sizes"].isNotNull(), F.array(F.struct(begin.alias("start"), past.alias("past")))).otherwise(F.array().cast("array<struct<start:int,past:int>>"))
-        return F.struct(past.alias("at"), F.concat(acc["found"], more).alias("found"))
+    """Word intervals (start, past) of all matches in a normal form that begins and ends with a space.
 
-    return F.aggregate(F.arrays_zip(gaps.alias("gaps"), sizes.alias("sizes")), start, add, lambda acc: acc["found"])
+    Matches are set in marks, which no word holds, and the marked words are looked up by their place: linear in the text.
+    """
+    whole = F.concat(F.lit("(?<= )(?:"), regex, F.lit(")(?= )"))
+    words = F.split(F.regexp_replace(norm, whole, F.lit(f"{_OPEN}$0{_SHUT}")), " ", -1)
+    at = lambda test: F.filter(F.transform(words, lambda w, i: F.when(test(w), i)), lambda i: i.isNotNull())
+    # The split has an empty word before the first.
+    starts, ends = at(lambda w: F.startswith(w, F.lit(_OPEN))), at(lambda w: F.endswith(w, F.lit(_SHUT)))
+    found = F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda p: F.struct((p["a"] - 1).alias("start"), p["b"].alias("past")))
+    return F.when(F.rlike(norm, whole), found).otherwise(F.array().cast("array<struct<start:int,past:int>>"))
 
 
 def _labelled(places: Column, label: str) -> Column:
@@ -191,6 +203,8 @@ def scan(docs: DataFrame) -> DataFrame:
     gate = F.lit(False)
     for k in GATE:
         gate = gate | F.contains(F.col("lower"), F.lit(k))
+    # "mpl" stands inside many words, so it counts at the start of one only.
+    gate = gate | (F.contains(F.col("lower"), F.lit("mpl")) & F.rlike(F.col("lower"), F.lit(f"(?:^|{SEPARATORS})mpl")))
     norm = F.when(gate, F.concat(F.lit(" "), F.trim(F.regexp_replace("lower", SEPARATORS, " ")), F.lit(" ")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lower.alias("lower"))
     rows = rows.select("doc_id", F.regexp_count("lower", F.lit(WORD)).cast("long").alias("n_words"), norm.alias("norm"))
@@ -208,7 +222,7 @@ def scan(docs: DataFrame) -> DataFrame:
     labels = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     base_labels = F.coalesce(F.col("base.label"), F.array().cast("array<string>"))
     return rows.select(
-        "doc_id", "n_words", F.coalesce(F.size("base"), F.lit(0)).cast("long").alias("n_base"),
+        "doc_id", "n_words", F.when(F.col("base").isNotNull(), F.size("base")).otherwise(0).cast("long").alias("n_base"),
         F.array_min("base.start").cast("long").alias("first_word"), F.array_max("base.start").cast("long").alias("last_word"),
         labels(base_labels).alias("base_labels"), labels(F.concat(base_labels, F.col("kept.labels"))).alias("labels"),
         F.greatest(F.col("kept.score"), F.when(F.size(base_labels) > 0, 1.0).otherwise(0.0)).alias("score"))

@@ -314,7 +314,7 @@ def test_licenses_against_all_rules(spark, small):
     rng = random.Random(8)
     parts = ["under the MIT License", "licensed under the Apache License, Version 2.0", "CC-BY-NC 4.0", "cc by nc sa", "GNU Lesser General Public License v2.1", "GPL v3", "released under the",
              "BSD 3-Clause License", "new BSD license", "see the", "Mozilla Public License 2.0", "all rights reserved.", "is in the public\ndomain", "été", "word", "SPDX-License-Identifier: MIT License",
-             "Permission is hereby granted, free of charge, to any person obtaining a copy", "Creative Commons Attribution-NonCommercial 4.0", "apache license version 20", "under  the mit licenses"]
+             "Permission is hereby granted, free of charge, to any person obtaining a copy", "Creative Commons Attribution-NonCommercial 4.0", "apache license version 20", "under  the mit licenses", "License: ISC", "MIT-licensed", "MPL-2.0", "simple example", "SPDX-License-Identifier: Zlib", "licensed under MPL 2.0"]
     rows = [(k, rng.choice((" ", ", ", "\n")).join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))) for k in range(250)]
     rows += [(1000 + r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     out = {r.doc_id: tuple(r)[1:] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -323,6 +323,21 @@ def test_licenses_against_all_rules(spark, small):
     assert len(licenses.rules()) > 300
 
 
+def test_short_license_identifiers_and_long_texts(spark):
+    bodies = {1: "SPDX-License-Identifier: MIT", 2: "License: MIT", 3: "an MIT-licensed tool", 4: "MPL-2.0", 5: "SPDX-License-Identifier: ISC", 6: "a simple mit example", 7: "x " * 200_000 + "cc by nc, under the MIT license " * 20_000}
+    df = spark.createDataFrame(list(bodies.items()), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            rows = {r.doc_id: r for r in licenses.scan(df if ansi == "true" else df.filter("doc_id < 7")).collect()}
+            assert [(rows[k].labels, rows[k].n_base) for k in range(1, 7)] == [("mit", 0), ("mit", 0), ("mit", 0), ("mpl-2", 0), ("isc", 0), ("", 0)]
+            if ansi == "true":
+                assert (rows[7].n_base, rows[7].first_word, rows[7].last_word) == (40_000, 200_000, 200_000 + 7 * 20_000 - 4)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_rollups_are_idempotent_and_additive(spark, tmp_path):
     store = rollups.Store(spark, str(tmp_path / "store"))
     schema = "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long"
