@@ -55,7 +55,7 @@ def _bags(dim: int):
         found = [[_token_code(t) for t in re.findall("[a-z0-9]+", x)] for x in texts]
         owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
         codes = np.array([c for f in found for c in f], np.int64).reshape(-1, 2)
-        counts = np.bincount(owner * dim + codes[:, 0] % dim, weights=codes[:, 1], minlength=len(found) * dim).reshape(len(found), dim)
+        counts = np.bincount(owner * dim + codes[:, 0] % dim, weights=codes[:, 1], minlength=len(found) * dim).astype(np.float64).reshape(len(found), dim)
         length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return pd.Series(list(np.divide(counts, length, out=np.zeros_like(counts), where=length > 0)), dtype=object)
 
