@@ -54,6 +54,13 @@ def test_one_id_with_several_texts(spark):
     assert {(r.doc_id, r.component_id) for r in out.collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
 
 
+def test_one_id_ties_two_classes(spark):
+    a, b, c = "a b c d e f g", "h i j k l m n", "o p q r s t u"
+    rows = [(1, a), (2, b), (5, a), (5, b), (6, c), (7, c + " " + a + " " + b)]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85)
+    assert sorted({(r.doc_id, r.component_id) for r in out.collect()}) == [(1, 1), (2, 1), (5, 1), (6, 6), (7, 7)]
+
+
 def test_mixing(docs, none):
     rows = by_id(mixing.mixed(docs))
     assert len(rows) == len(ROWS)
