@@ -1,13 +1,18 @@
 """Documents scored by masked pseudo-likelihood: every token predicted from both sides by a small window network.
 
-The vocabulary is counted over all documents: the most frequent words have a class each, the others share a class per length, within
-which each of the different words of that length is equally likely. For each token the network sees the classes of the `SIDE` tokens before
-and after it, never the token: embeddings by distance, one hidden layer of tanh units, and a softmax over the classes.
-The score of a document is the sum of the log-probabilities of all its tokens given all the others, and the mean per token.
+Words are counted over all documents. The `WORDS` most frequent have a class each; the others share a class by their last two bytes where
+these are among the `ENDINGS` commonest, else by length. A token's probability is that of its class, given the classes of the `SIDE`
+tokens before and after it, times the share of its word in all tokens of its class. The network sees the neighbours, never the token:
+embeddings by distance, one hidden layer of tanh units, and a softmax over the classes. The score of a document is the sum of the
+log-probabilities of all its tokens given all the others, and the mean per token.
 
-Training masks about one token in `MASK`, picked by a hash of the text, in every document of the corpus. Each round sends the parameters
-out; every task goes over its documents with Adam in numpy; the parameters are then averaged in Spark, each weighted by its tokens.
-What is counted and averaged grows with the corpus, what the driver holds (vocabulary and parameters) is fixed in size.
+Every word has its own count, however rare. Words that are at least one in `FREQUENT` of all tokens, hence `FREQUENT` words at most, go to
+the tasks as a table; the occurrences of all others join the counts by word, where no word can be a hot key as each is rare. Words are
+told apart by 64-bit hashes. Texts are read as words twice, to count and to write classes; training and scoring read the classes.
+
+Training masks every token once: one in `ROUNDS` in each round. Each round sends the parameters out; every task goes over its documents
+with Adam in numpy; the parameters are then averaged in Spark, each weighted by its tokens. What is counted and averaged grows with the
+corpus, what the driver holds (table and parameters) is bounded.
 
 Defined results: a null, empty or wordless text has 0 tokens, log_prob 0 and a null mean; places past the ends of a text are a class
 of their own; rows that repeat count as they stand; an empty table has no scores. The same input in the same splits
@@ -31,59 +36,166 @@ from pyspark.sql import functions as F
 from affinora.llm import text as tx
 from affinora.llm.cut import bounded_batches, cut
 
-WORDS, LENGTHS = 112, 15
+WORDS, ENDINGS, LENGTHS = 64, 48, 15
+#: Words that are one in this many tokens, or more, are looked up in a table.
+FREQUENT = 1 << 20
 SIDE, WIDTH, HIDDEN = 3, 8, 24
-ROUNDS, MASK, BATCH, RATE = 2, 8, 128, 0.01
-#: Distinct words that a task counts before it hands them on, and tokens that are scored at a time.
+ROUNDS, BATCH, RATE = 2, 512, 0.01
+#: Distinct words that a task remembers, and tokens that are read, trained or scored at a time.
 COUNTED, CHUNK = 150_000, 1 << 15
+#: Steps of a sum of logarithms.
+UNIT = 1e9
 
-_COUNT = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+_COUNT = pa.schema([("word", pa.int64()), ("ending", pa.int32()), ("length", pa.int32()), ("n", pa.int64())])
 _PART = pa.schema([("cell", pa.int32()), ("value", pa.float64()), ("weight", pa.float64())])
-_SCORE = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+_READ = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("classes", pa.binary()), ("within", pa.float64()),
+                   ("rare", pa.list_(pa.int64()))])
+_SCORE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+
+
+def word_id(word: bytes) -> int:
+    """A signed 64-bit hash."""
+    h = xxhash.xxh64_intdigest(word)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def ending(word: bytes) -> int:
+    return int.from_bytes(word[-2:], "big")
 
 
 @dataclass
 class Vocabulary:
-    """Class of each frequent word, and the log-probability of a word within its class."""
+    """Classes by word and ending, tokens of each class, and the counts of frequent words, sorted by word."""
 
-    classes: dict[bytes, int]
-    within: np.ndarray
+    top: dict[int, int]
+    endings: dict[int, int]
+    tokens: np.ndarray
+    frequent: np.ndarray
+    counts: np.ndarray
 
     @property
     def size(self) -> int:
-        return WORDS + LENGTHS
-
-    def read(self, text: str | None) -> np.ndarray:
-        tokens = tx.words(text)
-        ids = np.fromiter(map(self.classes.get, tokens, repeat(-1)), np.int32, len(tokens))
-        rare = np.flatnonzero(ids < 0)
-        if len(rare):
-            sizes = np.fromiter(map(len, tokens), np.int32, len(tokens))
-            ids[rare] = WORDS + np.minimum(sizes[rare], LENGTHS) - 1
-        return ids
+        return WORDS + ENDINGS + LENGTHS
+
+    def class_of(self, word: bytes) -> int:
+        found = self.top.get(word_id(word))
+        if found is None:
+            found = self.endings.get(ending(word))
+        return WORDS + ENDINGS + min(len(word), LENGTHS) - 1 if found is None else found
+
+    def reader(self) -> Reader:
+        return Reader(self)
+
+
+class Reader:
+    """Reads runs of tokens; remembers up to `COUNTED` words and those of the run."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self.codes: dict[bytes, int] = {}
+        self.word = np.zeros(COUNTED + CHUNK, np.int64)
+        self.cls = np.zeros(COUNTED + CHUNK, np.uint8)
+        self.log_n = np.zeros(COUNTED + CHUNK)
+        self.rare = np.zeros(COUNTED + CHUNK, bool)
+        self.log_tokens = np.log(np.maximum(vocabulary.tokens, 1.0))
+
+    def _learn(self, new: list[bytes]) -> None:
+        v, at = self.vocabulary, len(self.codes)
+        here = slice(at, at + len(new))
+        ids = np.fromiter(map(word_id, new), np.int64, len(new))
+        self.word[here] = ids
+        self.cls[here] = [v.class_of(w) for w in new]
+        place = np.minimum(np.searchsorted(v.frequent, ids), max(0, len(v.frequent) - 1))
+        known = v.frequent[place] == ids if len(v.frequent) else np.zeros(len(new), bool)
+        self.rare[here] = ~known
+        self.log_n[here] = np.log(np.where(known, v.counts[place], 1.0)) if len(v.frequent) else 0.0
+        self.codes.update(zip(new, range(at, at + len(new))))
+
+    def read(self, tokens: list[bytes]) -> tuple[np.ndarray, float, np.ndarray]:
+        """Classes, log-probabilities within the classes (rare words counted as 1), and the rare words as they occur."""
+        classes, rare, within = [], [], 0.0
+        for start in range(0, len(tokens), CHUNK):
+            run = tokens[start:start + CHUNK]
+            if len(self.codes) > COUNTED:
+                self.codes.clear()
+            codes = np.fromiter(map(self.codes.get, run, repeat(-1)), np.int32, len(run))
+            missing = np.flatnonzero(codes < 0)
+            if len(missing):
+                self._learn(list(dict.fromkeys(run[k] for k in missing)))
+                codes[missing] = [self.codes[run[k]] for k in missing]
+            cls = self.cls[codes]
+            classes.append(cls)
+            within += float((self.log_n[codes] - self.log_tokens[cls]).sum())
+            rare.append(self.word[codes[self.rare[codes]]])
+        if not classes:
+            return np.zeros(0, np.uint8), 0.0, np.zeros(0, np.int64)
+        return np.concatenate(classes), within, np.concatenate(rare)
 
 
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(counter: Counter) -> Iterator[pa.RecordBatch]:
+        return tx.in_batches(((word_id(w), ending(w), min(len(w), LENGTHS), n) for w, n in counter.items()), _COUNT, 65536)
+
     counter: Counter = Counter()
     for batch in batches:
         for (body,) in tx.rows(batch, "text"):
             counter.update(tx.words(body))
             if len(counter) > COUNTED:
-                yield from tx.in_batches(counter.items(), _COUNT, 65536)
+                yield from counted(counter)
                 counter = Counter()
-    yield from tx.in_batches(counter.items(), _COUNT, 65536)
+    yield from counted(counter)
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, ending, length, n) of all different words."""
+    found = docs.select("text").mapInArrow(_word_counts, "word long, ending int, length int, n long")
+    return cut(found.groupBy("word", "ending", "length").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(counts: DataFrame, frequent_share: int = FREQUENT) -> Vocabulary:
+    """What tasks need of the counts: at most `WORDS` + `ENDINGS` + `LENGTHS` + `frequent_share` rows."""
+    first = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()}
+    top = list(first)
+    others = counts.filter(~F.col("word").isin(top)) if top else counts
+    ends = [r["ending"] for r in others.groupBy("ending").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "ending").limit(ENDINGS).collect()]
+    tokens = np.zeros(WORDS + ENDINGS + LENGTHS)
+    tokens[:len(top)] = list(first.values())
+    top_class, end_class = {w: k for k, w in enumerate(top)}, {e: WORDS + k for k, e in enumerate(ends)}
+    group = F.when(F.col("ending").isin(ends), F.col("ending")).otherwise(-F.col("length")) if ends else -F.col("length")
+    for r in others.groupBy(group.alias("g")).agg(F.sum("n").alias("n")).collect():
+        tokens[end_class[r["g"]] if r["g"] in end_class else WORDS + ENDINGS - r["g"] - 1] += r["n"]
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = counts.filter(F.col("n") * F.lit(frequent_share) >= F.lit(total)).select("word", "n").toArrow()
+    ids, n = (np.asarray(frequent.column(c).to_numpy(), np.int64) for c in ("word", "n"))
+    order = np.argsort(ids)
+    ids, n = ids[order], n[order]
+    return Vocabulary(top_class, end_class, tokens, ids, n.astype(np.float64))
+
+
+def _read(words: Broadcast):
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = words.value.reader()
+        for batch in batches:
+            found, held = [], 0
+            for row, doc_id, body in tx.rows(batch, "row", "doc_id", "text"):
+                cls, within, rare = reader.read(tx.words(body))
+                found.append((row, doc_id, len(cls), cls.tobytes(), within, rare))
+                held += len(cls)
+                if held >= 1 << 20:
+                    yield tx.to_batch(found, _READ)
+                    found, held = [], 0
+            yield tx.to_batch(found, _READ)
+
+    return read
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """Words counted over all documents."""
-    counts = cut(docs.select("text").mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    top = [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
-    different = {r["bin"]: r["count"] for r in counts.groupBy(F.least(F.octet_length("word"), F.lit(LENGTHS)).alias("bin")).count().collect()}
-    for word in top:
-        different[min(len(word), LENGTHS)] -= 1
-    within = np.zeros(WORDS + LENGTHS)
-    within[WORDS:] = [-np.log(max(1, different.get(k + 1, 1))) for k in range(LENGTHS)]
-    return Vocabulary({w: k for k, w in enumerate(top)}, within)
+def read(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """(row, doc_id, n_tokens, classes, within, rare) per row of docs, written."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    out = cut(rows.mapInArrow(_read(shared), "row long, doc_id long, n_tokens long, classes binary, within double, rare array<long>"))
+    shared.destroy()
+    return out
 
 
 class Network:
@@ -152,13 +264,13 @@ class Network:
         back = p @ w2.T * (1 - h * h)
         g_w1 += x.T @ back
         g_b1 += back.sum(axis=0)
-        cells = around.ravel()[:, None] * WIDTH + np.arange(WIDTH)
-        np.add.at(g_embed.reshape(-1), cells.ravel(), (back @ w1.T).ravel())
+        cells = around.ravel()[:, None].astype(np.int32) * WIDTH + np.arange(WIDTH, dtype=np.int32)
+        g_embed += np.bincount(cells.ravel(), (back @ w1.T).ravel(), minlength=g_embed.size).reshape(g_embed.shape)
         return out
 
 
 def _padded(ids: np.ndarray, edge: int) -> np.ndarray:
-    return np.concatenate([np.full(SIDE, edge, np.int32), ids, np.full(SIDE, edge, np.int32)])
+    return np.concatenate([np.full(SIDE, edge, ids.dtype), ids, np.full(SIDE, edge, ids.dtype)])
 
 
 def windows(ids: np.ndarray, edge: int, at: np.ndarray) -> np.ndarray:
@@ -168,38 +280,49 @@ def windows(ids: np.ndarray, edge: int, at: np.ndarray) -> np.ndarray:
     return padded[at[:, None] + steps]
 
 
-def _train(words: Broadcast, flat: Broadcast, rate: float):
-    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = words.value
-        net = Network(vocabulary.size, flat.value.copy())
-        m, v = np.zeros_like(net.flat), np.zeros_like(net.flat)
-        step = seen = held = 0
-        around, target = [], []
+def _lines(batches: Iterable[pa.RecordBatch], edge: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Documents in padded lines of about `limit` tokens, and the places of the tokens; longer documents go in pieces that see across
+    their joints."""
+    kept, held = [], 0
+    for batch in batches:
+        for (body,) in tx.rows(batch, "classes"):
+            padded = _padded(np.frombuffer(body, np.uint8), edge)
+            for start in range(0, len(padded) - 2 * SIDE, limit):
+                piece = padded[start:start + limit + 2 * SIDE]
+                kept.append(piece)
+                held += len(piece) - 2 * SIDE
+                if held >= limit:
+                    yield _line(kept)
+                    kept, held = [], 0
+    if kept:
+        yield _line(kept)
 
-        def update() -> None:
-            nonlocal step
-            step += 1
-            g = net.gradient(np.concatenate(around), np.concatenate(target))
-            m[:] = 0.9 * m + 0.1 * g
-            v[:] = 0.999 * v + 0.001 * g * g
-            net.flat -= np.float32(rate / (1 + step / 400)) * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + np.float32(1e-8))
 
-        for batch in batches:
-            for (body,) in tx.rows(batch, "text"):
-                ids = vocabulary.read(body)
-                places = np.arange(xxhash.xxh32_intdigest(body or "") % MASK, len(ids), MASK)
-                for start in range(0, len(places), BATCH):
-                    at = places[start:start + BATCH]
-                    around.append(windows(ids, vocabulary.size, at))
-                    target.append(ids[at])
-                    held += len(at)
-                    if held >= BATCH:
-                        update()
-                        seen, held = seen + held, 0
-                        around, target = [], []
-        if held:
-            update()
-            seen += held
+def _line(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    inner = np.concatenate([np.r_[np.zeros(SIDE, bool), np.ones(len(p) - 2 * SIDE, bool), np.zeros(SIDE, bool)] for p in pieces])
+    return np.concatenate(pieces), np.flatnonzero(inner)
+
+
+def _train(edge: int, k: int, flat: Broadcast, rate: float):
+    steps = np.array([j - SIDE for j in range(2 * SIDE + 1) if j != SIDE])
+
+    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Network(edge, flat.value.copy())
+        m, v = np.zeros_like(net.flat), np.zeros_like(net.flat)
+        order = np.random.default_rng(k)
+        step = seen = 0
+        for line, places in _lines(batches, edge, 8 * CHUNK):
+            at = places[k::ROUNDS]
+            at = at[order.permutation(len(at))]
+            for start in range(0, len(at), BATCH):
+                some = at[start:start + BATCH]
+                step += 1
+                g = net.gradient(line[some[:, None] + steps], line[some])
+                m = np.float32(0.9) * m + np.float32(0.1) * g
+                v = np.float32(0.999) * v + np.float32(0.001) * g * g
+                scale = np.float32(rate / (1 + step / 400) / (1 - 0.9 ** step))
+                net.flat -= scale * m / (np.sqrt(v / np.float32(1 - 0.999 ** step)) + np.float32(1e-8))
+            seen += len(at)
         if seen:
             n = len(net.flat)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(net.flat.astype(np.float64) * seen), pa.array(np.full(n, float(seen)))], schema=_PART)
@@ -207,36 +330,32 @@ def _train(words: Broadcast, flat: Broadcast, rate: float):
     return train
 
 
-def fit(docs: DataFrame, words: Vocabulary) -> Network:
-    """Rounds of local training over all documents and averaging."""
-    context = docs.sparkSession.sparkContext
-    net = Network(words.size)
-    shared = context.broadcast(words)
+def fit(encoded: DataFrame, edge: int) -> Network:
+    """Rounds of local training over the classes of all documents, and averaging."""
+    context = encoded.sparkSession.sparkContext
+    net = Network(edge)
     for k in range(ROUNDS):
-        train = _train(shared, context.broadcast(net.flat), RATE / (1 + 2 * k))
-        parts = docs.select("text").mapInArrow(train, "cell int, value double, weight double")
+        shared = context.broadcast(net.flat)
+        parts = encoded.select("classes").mapInArrow(_train(edge, k, shared, RATE / (1 + 2 * k)), "cell int, value double, weight double")
         mean = parts.groupBy("cell").agg((F.sum("value") / F.sum("weight")).alias("value")).collect()  # one row per parameter
+        shared.destroy()
         if mean:
             flat = np.zeros(len(net.flat))
             for r in mean:
                 flat[r["cell"]] = r["value"]
-            net = Network(words.size, flat)
+            net = Network(edge, flat)
     return net
 
 
-def document_score(net: Network, words: Vocabulary, ids: np.ndarray) -> float:
-    """Sum over a document's tokens, in pieces of bounded size that see across their joints."""
-    padded = _padded(ids, words.size)
-    total = float(words.within[ids].sum())
-    for start in range(0, len(ids), CHUNK):
-        total += float(net.sequence_log_probs(padded[start:start + CHUNK + 2 * SIDE]).sum(dtype=np.float64))
-    return total
+def document_score(net: Network, ids: np.ndarray) -> float:
+    """Sum over a document's tokens of the log-probabilities of their classes, in pieces of bounded size that see across their joints."""
+    padded = _padded(ids, net.classes)
+    return sum(float(net.sequence_log_probs(padded[start:start + CHUNK + 2 * SIDE]).sum(dtype=np.float64)) for start in range(0, len(ids), CHUNK))
 
 
-def _score(words: Broadcast, net: Broadcast):
+def _score(net: Broadcast):
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, network = words.value, net.value
-        within = np.append(vocabulary.within, 0.0)
+        network = net.value
         for batch in batches:
             found, held, runs = [], 0, []
 
@@ -244,22 +363,22 @@ def _score(words: Broadcast, net: Broadcast):
                 """Short documents go through the network together."""
                 if not runs:
                     return
-                line = np.concatenate([_padded(ids, vocabulary.size) for _, ids in runs])
-                costs = network.sequence_log_probs(line) + within[line[SIDE:-SIDE]]
-                starts = np.cumsum([0] + [len(ids) + 2 * SIDE for _, ids in runs[:-1]])
-                bounds = np.stack([starts, starts + [len(ids) for _, ids in runs]], axis=1).ravel()
+                line = np.concatenate([_padded(r[3], network.classes) for r in runs])
+                costs = network.sequence_log_probs(line)
+                starts = np.cumsum([0] + [len(r[3]) + 2 * SIDE for r in runs[:-1]])
+                bounds = np.stack([starts, starts + [len(r[3]) for r in runs]], axis=1).ravel()
                 sums = np.add.reduceat(np.append(costs, 0.0), bounds, dtype=np.float64)[::2]
-                found.extend((d, len(ids), float(x)) for (d, ids), x in zip(runs, sums))
+                found.extend((row, d, len(ids), float(x) + within) for (row, d, within, ids), x in zip(runs, sums))
                 runs.clear()
 
-            for doc_id, body in tx.rows(batch, "doc_id", "text"):
-                ids = vocabulary.read(body)
+            for row, doc_id, within, body in tx.rows(batch, "row", "doc_id", "within", "classes"):
+                ids = np.frombuffer(body, np.uint8)
                 if not len(ids):
-                    found.append((doc_id, 0, 0.0))
+                    found.append((row, doc_id, 0, 0.0))
                 elif len(ids) >= CHUNK:
-                    found.append((doc_id, len(ids), document_score(network, vocabulary, ids)))
+                    found.append((row, doc_id, len(ids), document_score(network, ids) + within))
                 else:
-                    runs.append((doc_id, ids))
+                    runs.append((row, doc_id, within, ids))
                     held += len(ids)
                     if held >= 4096:
                         flush()
@@ -270,12 +389,17 @@ def _score(words: Broadcast, net: Broadcast):
     return score
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, frequent_share: int = FREQUENT) -> DataFrame:
     """Per row of docs: doc_id, n_tokens, log_prob (sum over tokens), mean_log_prob (null without tokens)."""
     bounded_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    words = vocabulary(rows)
-    net = fit(rows, words)
-    context = docs.sparkSession.sparkContext
-    out = rows.mapInArrow(_score(context.broadcast(words), context.broadcast(net)), "doc_id long, n_tokens long, log_prob double")
+    counts = word_counts(rows)
+    words = vocabulary(counts, frequent_share)
+    encoded = read(rows, words)
+    net = docs.sparkSession.sparkContext.broadcast(fit(encoded, words.size))
+    known = encoded.select("row", "doc_id", "within", "classes").mapInArrow(_score(net), "row long, doc_id long, n_tokens long, log_prob double")
+    # A word that occurs once adds log 1. Whole numbers add up the same in any order.
+    logs = counts.filter("n > 1").select("word", F.round(F.log("n") * UNIT).cast("long").alias("log_n"))
+    rare = encoded.select("row", F.explode("rare").alias("word")).join(logs, "word").groupBy("row").agg((F.sum("log_n") / UNIT).alias("rare"))
+    out = known.join(rare, "row", "left").withColumn("log_prob", F.col("log_prob") + F.coalesce("rare", F.lit(0.0)))
     return out.select("doc_id", "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))

@@ -4,8 +4,10 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle_check import compare, duck
 
@@ -161,12 +163,12 @@ def test_item_blocks_agree(spark, small, monkeypatch):
 
 def test_network_gradient_and_score():
     rng = np.random.default_rng(2)
-    words = pseudolikelihood.Vocabulary({}, -rng.random(pseudolikelihood.WORDS + pseudolikelihood.LENGTHS))
-    net = pseudolikelihood.Network(words.size)
+    size = pseudolikelihood.WORDS + pseudolikelihood.ENDINGS + pseudolikelihood.LENGTHS
+    net = pseudolikelihood.Network(size)
     net.flat = net.flat.astype(np.float64)
-    ids = rng.integers(0, words.size, 50)
-    around = pseudolikelihood.windows(ids, words.size, np.arange(50))
-    assert around[10].tolist() == [*ids[7:10], *ids[11:14]] and around[0].tolist() == [words.size] * 3 + [*ids[1:4]]
+    ids = rng.integers(0, size, 50)
+    around = pseudolikelihood.windows(ids, size, np.arange(50))
+    assert around[10].tolist() == [*ids[7:10], *ids[11:14]] and around[0].tolist() == [size] * 3 + [*ids[1:4]]
     g = net.gradient(around, ids)
     for k in rng.choice(len(net.flat), 40, replace=False):
         old = net.flat[k]
@@ -180,8 +182,8 @@ def test_network_gradient_and_score():
     total = 0.0
     for t in range(50):
         z = np.tanh(np.concatenate([embed[c] for c in around[t]]) @ w1 + b1) @ w2 + b2
-        total += z[ids[t]] - np.log(np.exp(z).sum()) + words.within[ids[t]]
-    assert math.isclose(pseudolikelihood.document_score(net, words, ids), total, rel_tol=1e-9)
+        total += z[ids[t]] - np.log(np.exp(z).sum())
+    assert math.isclose(pseudolikelihood.document_score(net, ids), total, rel_tol=1e-9)
 
 
 def test_training_beats_word_frequencies(spark):
@@ -189,13 +191,92 @@ def test_training_beats_word_frequencies(spark):
     lines = [(k, " ".join(rng.choice(("red fox runs", "blue cow eats")) for _ in range(40))) for k in range(2000)]
     docs = spark.createDataFrame(lines, "doc_id long, text string").coalesce(1)
     mixed_up = [(k, " ".join(rng.sample(t.split(), len(t.split())))) for k, t in lines[:100]]
-    words = pseudolikelihood.vocabulary(docs)
-    net = pseudolikelihood.fit(docs, words)
-    good = np.mean([pseudolikelihood.document_score(net, words, words.read(t)) for _, t in lines[:100]])
-    bad = np.mean([pseudolikelihood.document_score(net, words, words.read(t)) for _, t in mixed_up])
+    words = pseudolikelihood.vocabulary(pseudolikelihood.word_counts(docs))
+    net = pseudolikelihood.fit(pseudolikelihood.read(docs, words), words.size)
+    read = words.reader().read
+    good = np.mean([pseudolikelihood.document_score(net, read(text.words(t))[0]) for _, t in lines[:100]])
+    bad = np.mean([pseudolikelihood.document_score(net, read(text.words(t))[0]) for _, t in mixed_up])
     assert good / 120 > -0.7 and good > bad + 50
 
 
+def _pseudo_likelihood_by_hand(net, words, counts: Counter, body: str) -> float:
+    """Class by class from the neighbours, word by word from the counts, one token at a time."""
+    tokens = body.lower().encode().split()
+    cls = [words.class_of(t) for t in tokens]
+    in_class = Counter()
+    for w, n in counts.items():
+        in_class[words.class_of(w)] += n
+    embed, w1, b1, w2, b2 = net.parts(net.flat.astype(np.float64))
+    padded = [words.size] * 3 + cls + [words.size] * 3
+    total = 0.0
+    for k, t in enumerate(tokens):
+        around = padded[k:k + 3] + padded[k + 4:k + 7]
+        z = np.tanh(np.concatenate([embed[c] for c in around]) @ w1 + b1) @ w2 + b2
+        total += z[cls[k]] - np.log(np.exp(z).sum()) + math.log(counts[t] / in_class[cls[k]])
+    return total
+
+
+def test_pseudo_likelihood_by_definition(spark):
+    """Whole result, with words looked up in the table and words joined by their counts."""
+    rng = random.Random(5)
+    stems = [f"{a}{b}{c}" for a in "bdfglm" for b in "aeiou" for c in ("n", "ter", "sing", "ly", "ción", "st")]
+    lines = [(k, " ".join(rng.choice(stems[:40] if rng.random() < 0.6 else stems) for _ in range(rng.randrange(1, 60)))) for k in range(300)]
+    lines += [(300, "the senator of florida"), (301, "the senator of florida"), (302, "the xqzzwvk of bbbqqqz"), (303, None), (304, " ")]
+    docs = spark.createDataFrame(lines, "doc_id long, text string").coalesce(2)
+    counts = Counter(w for _, t in lines for w in text.words(t))
+    tables = pseudolikelihood.word_counts(docs)
+    for share in (1 << 20, 200):
+        words = pseudolikelihood.vocabulary(tables, share)
+        assert len(words.frequent) == sum(n * share >= sum(counts.values()) for n in counts.values())
+        net = pseudolikelihood.fit(pseudolikelihood.read(docs, words), words.size)
+        got = {r["doc_id"]: r for r in pseudolikelihood.scores(docs, share).collect()}
+        assert len(got) == len(lines) and got[303]["log_prob"] == 0.0 and got[304]["mean_log_prob"] is None
+        for k, body in lines[:40] + lines[-5:-2]:
+            assert math.isclose(got[k]["log_prob"], _pseudo_likelihood_by_hand(net, words, counts, body), rel_tol=1e-4), k
+        assert got[300]["log_prob"] == got[301]["log_prob"] != got[302]["log_prob"]
+
+
+def test_garbled_words_score_lower(spark):
+    """Documents with words of like lengths that nobody else uses, in each of four languages."""
+    rng = random.Random(11)
+    said = {
+        "en": "the old captain walked slowly along the harbour wall and watched small boats return with fish".split(),
+        "de": "der alte kapitän ging langsam am hafen entlang und sah den kleinen booten bei der heimkehr zu".split(),
+        "fr": "le vieux capitaine marchait lentement sur le quai et regardait les petits bateaux revenir du large".split(),
+        "es": "el viejo capitán caminaba despacio por el puerto y miraba los pequeños barcos volver con pescado".split(),
+    }
+    lines, garbled, k = [], {}, 0
+    for lang, some in said.items():
+        for _ in range(150):
+            body = [w for _ in range(3) for w in some]
+            at = rng.randrange(len(body))
+            lines.append((k, lang, " ".join(body[at:] + body[:at])))
+            if k % 15 == 0:
+                odd = [w if len(w) < 6 else "".join(rng.choice("qxzwvkj") for _ in w) for w in body]
+                garbled[k + 100_000] = k
+                lines.append((k + 100_000, lang, " ".join(odd)))
+            k += 1
+    docs = spark.createDataFrame(lines, "doc_id long, lang string, text string").coalesce(2)
+    got = {r["doc_id"]: r["mean_log_prob"] for r in pseudolikelihood.scores(docs).collect()}
+    assert all(got[odd] < got[plain] - 0.5 for odd, plain in garbled.items())
+
+
+def test_every_token_is_masked_once():
+    """Over the rounds, each token of each document is a target once; long documents see across their pieces."""
+    rng = np.random.default_rng(0)
+    bodies = [rng.integers(0, 100, n).astype(np.uint8) for n in (0, 1, 5, 700, 64, 2)]
+    batch = pa.RecordBatch.from_arrays([pa.array([b.tobytes() for b in bodies], pa.binary())], names=["classes"])
+    seen = []
+    for line, places in pseudolikelihood._lines([batch], 127, 100):
+        at = np.concatenate([places[k::pseudolikelihood.ROUNDS] for k in range(pseudolikelihood.ROUNDS)])
+        seen += [tuple(line[p - 3:p + 4]) for p in sorted(at)]
+    wanted = []
+    for b in bodies:
+        padded = [127] * 3 + b.tolist() + [127] * 3
+        wanted += [tuple(padded[k:k + 7]) for k in range(len(b))]
+    assert seen == wanted
+
+
 def _ppm_bits(tails: dict, data: list, size: int) -> float:
     """Code length by the definition, one symbol at a time."""
     def share(context: tuple, symbol: int) -> float:
