@@ -35,8 +35,6 @@ from affinora.llm.cut import bounded_batches, cut
 
 #: Labelled documents that the classifier learns from, for either label.
 SAMPLE_PER_LABEL = 3000
-#: Terms that are learned at most; the strongest stay.
-TERMS = 2000
 STEMS = (4, 5, 6)
 #: A term's contexts would all be toxic by chance with a probability under exp(-CHANCE); and the share of toxic ones that it needs.
 CHANCE, LEAST_SHARE = 16.0, 0.93
@@ -58,8 +56,8 @@ OPENING, CLOSING = "\"'“„«‘‚‹", "\"'”“»’‘›"
 EDGES = ".,;:!?\"'()[]{}<>|/\\#%&*-_+=~^`…“”„«»‘’‚‹›¡¿"
 #: Words before and after a hit that its context holds.
 WINDOW = 6
-#: Distinct words whose matches a task remembers.
-REMEMBERED = 100_000
+#: Distinct words whose matches a task remembers, and pairs and moves of the automaton it keeps: beyond, it starts afresh.
+REMEMBERED, KEPT = 100_000, 1_000_000
 
 
 def edits_allowed(term: str, stem: bool) -> int:
@@ -97,13 +95,18 @@ class Lexicon:
                 self.stems[node] = term
             if self.ends[node] is None:
                 self.ends[node] = (term, k)
+        self.found: dict[str, tuple[str, int] | None] = {}
+        self._afresh()
+
+    def _afresh(self) -> None:
+        """The automaton with its first state only; it never holds more than `KEPT` and what one word adds."""
         self.states: dict[frozenset, int] = {}
         self.members: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
         self.stem_at: list[str | None] = []
         self.final: list[tuple[str, int] | None] = []
+        self.held = 0
         self.start = self._state(self._closure({0: 0}))
-        self.found: dict[str, tuple[str, int] | None] = {}
 
     def _closure(self, least: dict[int, int]) -> dict[int, int]:
         """Adds the nodes reached by leaving out letters of the term."""
@@ -122,6 +125,7 @@ class Lexicon:
         if key not in self.states:
             self.states[key] = len(self.members)
             self.members.append(key)
+            self.held += len(key)
             self.moves.append({})
             stems = [self.stems[n] for n, e in key if e == 0 and n in self.stems]
             self.stem_at.append(stems[0] if stems else None)
@@ -144,6 +148,8 @@ class Lexicon:
 
     def read(self, word: str) -> tuple[str, int] | None:
         """The term that the word is or begins with, or else the nearest one, with its edits."""
+        if self.held > KEPT:
+            self._afresh()
         state = self.start
         stem = None
         for ch in word:
@@ -151,6 +157,7 @@ class Lexicon:
             nxt = moves.get(ch)
             if nxt is None:
                 nxt = moves[ch] = self._move(state, ch)
+                self.held += 1
             if nxt < 0:
                 return (stem, 0) if stem else None
             state = nxt
@@ -224,8 +231,6 @@ def _terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tokens = [w for t in (body or "").lower().split() if (w := plain(t))]
                 padded = ["", *tokens, ""]
                 for k, w in enumerate(tokens):
-                    if len(w) > 40:
-                        continue
                     context = hash_context(padded[k], padded[k + 2])
                     yield w, False, toxic, context
                     for n in STEMS:
@@ -252,8 +257,8 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
 
 
-def learn_terms(rows: DataFrame, limit: int = TERMS) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems with weights up to 1, from (text, toxic)."""
+def learn_terms(rows: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and stems with weights up to 1, from (text, toxic): all that pass, so the sample bounds them."""
     counted = rows.select("text", "toxic").mapInArrow(_terms, "term string, stem boolean, toxic int, context long")
     counted = counted.groupBy("term", "stem", "context").agg(F.max("toxic").alias("toxic"), F.min("toxic").alias("clean"))
     counted = counted.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("clean")).alias("clean"))
@@ -261,7 +266,7 @@ def learn_terms(rows: DataFrame, limit: int = TERMS) -> tuple[dict[str, float],
     base = rows.agg(F.avg("toxic")).first()[0] or 0.0
     least = CHANCE / -math.log(min(max(base, 1e-3), 0.8))
     kept = counted.filter(F.col("toxic") >= least).filter(share >= LEAST_SHARE)
-    top = kept.select("term", "stem", share.alias("share"), "toxic").orderBy(F.desc("toxic"), "term", "stem").limit(limit).collect()
+    top = kept.select("term", "stem", share.alias("share"), "toxic").orderBy(F.desc("toxic"), "term", "stem").collect()
     stems: dict[str, float] = {}
     for r in sorted((r for r in top if r["stem"]), key=lambda r: len(r["term"])):
         if not any(r["term"].startswith(s) for s in stems):
