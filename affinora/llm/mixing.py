@@ -124,6 +124,9 @@ def curriculum(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, size, source_size, target, taken, position of its first reading (null if none), in that order."""
-    first = F.array_min("passes.position")
-    return readings(docs).select("doc_id", "size", "source_size", "target", "taken", F.round(first, 6).alias("position")).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+    """Per row of docs: doc_id, size, source_size, target, taken, position and last_position of its readings (null if none, equal
+    if one; there are `LIMIT` = 2 at most), n_readings, in the order of the first."""
+    at = lambda f: F.round(f("passes.position"), 6)
+    out = readings(docs).select("doc_id", "size", "source_size", "target", "taken", at(F.array_min).alias("position"),
+                                at(F.array_max).alias("last_position"), F.size("passes").cast("long").alias("n_readings"))
+    return out.orderBy(F.col("position").asc_nulls_last(), "doc_id")

@@ -94,10 +94,15 @@ filled as (
     select *, greatest(0, least(size, floor(target)::bigint - whole * source_size - start))::bigint as more from counted),
 shared as (
     select *, case when whole > 0 and size > 0 then (start + size / 2.0::double) / target
-        when more > 0 then (start + more / 2.0::double) / target end as share from filled)
+        when more > 0 then (start + more / 2.0::double) / target end as share from filled),
+ended as (
+    select *, case when more > 0 then (whole * source_size + start + more / 2.0::double) / target
+        when whole > 0 and size > 0 then ((whole - 1) * source_size + start + size / 2.0::double) / target end as last_share from shared)
 select doc_id, size, source_size, target, whole * size + more as taken,
-    case when share is not null then round({_position("share")}, 6) end as position
-from shared
+    case when share is not null then round({_position("share")}, 6) end as position,
+    case when last_share is not null then round({_position("last_share")}, 6) end as last_position,
+    (case when size > 0 then whole else 0 end + case when more > 0 then 1 else 0 end)::bigint as n_readings
+from ended
 """
 
 ROLLUPS = r"""
