@@ -10,7 +10,7 @@ shingles: of an item with n, of which a hit holds c, any n - c + 1 hold one of t
 Candidates are then counted exactly against the set of the whole document.
 
 The items are the query set: blocks of a bounded size are broadcast in turn, and each block is held against all documents. Documents
-are never shuffled. Defined results: null, empty or wordless texts contain nothing and are contained in nothing; an item
+are not shuffled for it; only with several blocks their hits are joined to them in the end. Shingles are compared by 64-bit hashes. Defined results: null, empty or wordless texts contain nothing and are contained in nothing; an item
 under five words has its whole sequence as its one shingle, which only a document of just these words has. A repeated row gets the same
 result each time; items that repeat an id are separate items. Other columns are not read.
 """
@@ -18,7 +18,8 @@ result each time; items that repeat an id are separate items. Other columns are
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
-from affinora.llm.cut import bounded_batches
+from affinora.llm.cut import bounded_batches, cut
 
 FUNCTIONS = 32
 #: Least resemblance of an item and a window with a passage of it; items of so many different shingles are looked up in any case.
@@ -146,22 +147,39 @@ class Index:
                 out[owners[k]].append((self.ids[item], 100.0 * common / len(wanted)))
 
 
-def blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The items in blocks of bounded size, dealt by a hash of id and text."""
+def blocks(items: DataFrame) -> tuple[int, Callable[[int], list[tuple[int | None, str | None]]]]:
+    """Number of blocks of bounded size, dealt by a hash of id and text; and the items of one."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
     count, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     n = max(1, math.ceil(count / BLOCK_ITEMS), math.ceil((size or 0) / BLOCK_BYTES))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    for k in range(n):
-        yield [(r["item_id"], r["text"]) for r in dealt.filter(F.col("block") == k).select("item_id", "text").collect()]
+    return n, lambda k: [(r["item_id"], r["text"]) for r in dealt.filter(F.col("block") == k).select("item_id", "text").collect()]
+
 
+def with_hits(docs: DataFrame, items: DataFrame, percent: int = 80) -> tuple[DataFrame, Column]:
+    """The rows of docs, and as a column of them the array of (item_id, percent contained).
 
-def found_items(docs: DataFrame, text: Column, items: DataFrame, percent: int = 80) -> Column:
-    """Array of (item_id, percent contained) per document, over all blocks of items."""
+    One block of items is one map-side pass. Further blocks are searched in turn, each with its own pass and only its own index in
+    the tasks' memory; the documents with hits, by doc_id and digest of the text, are written per block and joined to docs in the end.
+    """
     bounded_batches(docs)
     context = docs.sparkSession.sparkContext
-    columns = [_search(context.broadcast(Index(block, percent)))(text) for block in blocks(items)]
-    return F.concat(*columns) if len(columns) > 1 else columns[0]
+    n, block = blocks(items)
+    if n == 1:
+        return docs, _search(context.broadcast(Index(block(0), percent)))(docs["text"])
+    taken = {c.lower() for c in docs.columns}
+    doc, digest, hits = (next(c for k in range(len(taken) + 1) if (c := f"{name}_{k}") not in taken) for name in ("doc", "digest", "hits"))
+    key = [F.coalesce(docs["doc_id"].cast("long"), F.lit(-1)).alias(doc), F.md5(docs["text"].cast("binary")).alias(digest)]
+    parts = []
+    for k in range(n):
+        index = context.broadcast(Index(block(k), percent))
+        found = docs.select(*key, _search(index)(docs["text"]).alias(hits)).filter(F.size(hits) > 0)
+        parts.append(cut(found.groupBy(doc, digest).agg(F.first(hits).alias(hits))))
+        index.destroy()
+    # At most one array per block for a text.
+    every = reduce(DataFrame.unionAll, parts).groupBy(doc, digest).agg(F.flatten(F.collect_list(hits)).alias(hits))
+    joined = docs.join(every, (key[0] == every[doc]) & (key[1] == every[digest]), "left")
+    return joined, F.coalesce(every[hits], F.array().cast(HITS))
 
 
 def _search(index: Broadcast):
@@ -174,7 +192,8 @@ def _search(index: Broadcast):
 def contamination(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """Per row of docs: doc_id, n_items, item_ids (sorted, comma-joined), best_percent (0 if none), contaminated."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    hits = rows.select("doc_id", found_items(rows, F.col("text"), items, percent).alias("hits"))
+    rows, hits = with_hits(rows, items, percent)
+    hits = rows.select("doc_id", hits.alias("hits"))
     return hits.select(
         "doc_id", F.size("hits").cast("long").alias("n_items"),
         F.array_join(F.array_sort(F.col("hits.item_id")).cast("array<string>"), ",").alias("item_ids"),
@@ -183,4 +202,5 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataF
 
 def clean_documents(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of docs that hold no benchmark item, with all their columns."""
-    return docs.filter(F.size(found_items(docs, docs["text"], items, percent)) == 0)
+    rows, hits = with_hits(docs, items, percent)
+    return rows.filter(F.size(hits) == 0).select(*(docs[c] for c in docs.columns))

@@ -443,3 +443,49 @@ def test_vocabulary_file_counts(spark):
     path = "/opt/tokenizers/byte_bpe_50k.tiktoken"
     docs = spark.createDataFrame([(1, "Hello world, hello"), (2, None), (3, "")], "doc_id long, text string")
     assert [r[0] for r in docs.orderBy("doc_id").select(rollups.vocabulary_count(path, docs["text"])).collect()] == [4, 0, 0]
+
+
+def test_item_blocks_in_turn(spark, monkeypatch):
+    """Many blocks give what one block gives, with copies, nulls and clashing names; one index is alive at a time."""
+    rng = random.Random(8)
+    bodies = [" ".join(rng.choices(["ab", "cd", "ef", "gh", "ij", "kl", "mn"], k=rng.randrange(3, 60))) for _ in range(60)]
+    items = spark.createDataFrame([(k, b) for k, b in enumerate(bodies)] + [(7, bodies[9])], "item_id long, text string")
+    rows = [(k % 90, " ".join([bodies[k % 60], "between"] * (k % 3) + ["zz"] * 9 + [bodies[(k * 7) % 60]])) for k in range(100)]
+    rows += [(None, bodies[3]), (None, bodies[4]), (None, bodies[3]), (5, None), (6, "clean words only in this one")]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, hits_0 string, DOC_0 string")
+    answer = lambda: sorted(map(tuple, decontaminate.contamination(docs, items).collect()), key=str)
+    clean = lambda: sorted(map(tuple, decontaminate.clean_documents(docs, items).collect()), key=str)
+    whole, kept = answer(), clean()
+    assert len(whole) == len(rows) and 0 < len(kept) < len(rows)
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 9)
+    alive, made = [], decontaminate._search
+    monkeypatch.setattr(decontaminate, "_search", lambda index: alive.append(index) or made(index))
+    assert answer() == whole and clean() == kept
+    assert len(alive) == 14
+    for index in alive:
+        with pytest.raises(Exception, match="destroyed"):
+            index.destroy()
+            made(index)
+
+
+def test_automaton_is_bounded(monkeypatch):
+    """On random words the automaton starts afresh at its bound, and answers stay the same."""
+    rng = random.Random(2)
+    word = lambda a, b: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(a, b)))
+    terms = {word(5, 11): 1.0 for _ in range(120)}
+    some = [word(3, 12) for _ in range(3000)] + ["x" * 5000, next(iter(terms)) * 200]
+    free = toxicity.Lexicon(terms, {})
+    expected = [free.match(w) for w in some]
+    monkeypatch.setattr(toxicity, "KEPT", 2000)
+    bounded, most = toxicity.Lexicon(terms, {}), 0
+    for w, e in zip(some, expected):
+        assert bounded.match(w) == e
+        most = max(most, bounded.held)
+    assert free.held > 20_000 > most and any(expected)
+
+
+def test_second_readings_have_positions(spark, small):
+    rows = catalog.op2_mix_sources(spark, small).collect()
+    assert any(r.n_readings == 2 for r in rows)
+    assert all((r.n_readings == 2) == (r.position != r.last_position) for r in rows if r.n_readings)
+    assert all(r.n_readings == 2 for r in rows if r.taken > r["size"])
