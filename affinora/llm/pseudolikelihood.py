@@ -24,11 +24,10 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,22 +52,22 @@ _READ = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.
 _SCORE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
 
 
-def word_id(word: bytes) -> int:
-    """A signed 64-bit hash."""
-    h = xxhash.xxh64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+def word_ids(words: list[bytes]) -> np.ndarray:
+    """Signed 64-bit hashes."""
+    return tx.word_hashes(words).view(np.int64)
 
 
-def ending(word: bytes) -> int:
-    return int.from_bytes(word[-2:], "big")
+def endings(words: list[bytes]) -> np.ndarray:
+    """The last two bytes as a number."""
+    return np.frombuffer(b"".join([w[-2:] if len(w) > 1 else b"\0" + w for w in words]), ">u2").astype(np.int32)
 
 
 @dataclass
 class Vocabulary:
-    """Classes by word and ending, tokens of each class, and the counts of frequent words, sorted by word."""
+    """Classes by word and by ending (-1: none), tokens of each class, and the counts of frequent words, sorted by word."""
 
     top: dict[int, int]
-    endings: dict[int, int]
+    endings: np.ndarray
     tokens: np.ndarray
     frequent: np.ndarray
     counts: np.ndarray
@@ -77,11 +76,13 @@ class Vocabulary:
     def size(self) -> int:
         return WORDS + ENDINGS + LENGTHS
 
-    def class_of(self, word: bytes) -> int:
-        found = self.top.get(word_id(word))
-        if found is None:
-            found = self.endings.get(ending(word))
-        return WORDS + ENDINGS + min(len(word), LENGTHS) - 1 if found is None else found
+    def classes(self, words: list[bytes], ids: np.ndarray) -> np.ndarray:
+        found = self.endings[endings(words)]
+        lengths = np.minimum(np.fromiter(map(len, words), np.int32, len(words)), LENGTHS)
+        found = np.where(found < 0, WORDS + ENDINGS + lengths - 1, found)
+        for k in np.flatnonzero(np.isin(ids, list(self.top))):
+            found[k] = self.top[int(ids[k])]
+        return found
 
     def reader(self) -> Reader:
         return Reader(self)
@@ -102,39 +103,51 @@ class Reader:
     def _learn(self, new: list[bytes]) -> None:
         v, at = self.vocabulary, len(self.codes)
         here = slice(at, at + len(new))
-        ids = np.fromiter(map(word_id, new), np.int64, len(new))
+        ids = word_ids(new)
         self.word[here] = ids
-        self.cls[here] = [v.class_of(w) for w in new]
+        self.cls[here] = v.classes(new, ids)
         place = np.minimum(np.searchsorted(v.frequent, ids), max(0, len(v.frequent) - 1))
         known = v.frequent[place] == ids if len(v.frequent) else np.zeros(len(new), bool)
         self.rare[here] = ~known
         self.log_n[here] = np.log(np.where(known, v.counts[place], 1.0)) if len(v.frequent) else 0.0
         self.codes.update(zip(new, range(at, at + len(new))))
 
-    def read(self, tokens: list[bytes]) -> tuple[np.ndarray, float, np.ndarray]:
-        """Classes, log-probabilities within the classes (rare words counted as 1), and the rare words as they occur."""
-        classes, rare, within = [], [], 0.0
+    def codes_of(self, run: list[bytes]) -> np.ndarray:
+        if len(self.codes) > COUNTED:
+            self.codes.clear()
+        codes = np.fromiter(map(self.codes.get, run, repeat(-1)), np.int32, len(run))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing:
+            new = [run[k] for k in missing]
+            self._learn(list(dict.fromkeys(new)))
+            codes[missing] = np.fromiter(map(self.codes.__getitem__, new), np.int32, len(new))
+        return codes
+
+    def read(self, texts: list[list[bytes]]) -> list[tuple[bytes, float, np.ndarray]]:
+        """Per text its classes, the log-probabilities within the classes (rare words counted as 1), and the rare words as they occur."""
+        tokens = list(chain.from_iterable(texts))
+        ends = np.cumsum([len(t) for t in texts])
+        classes, rare, word = np.zeros(len(tokens), np.uint8), np.zeros(len(tokens), bool), np.zeros(len(tokens), np.int64)
+        within = np.zeros(len(tokens) + 1)
         for start in range(0, len(tokens), CHUNK):
-            run = tokens[start:start + CHUNK]
-            if len(self.codes) > COUNTED:
-                self.codes.clear()
-            codes = np.fromiter(map(self.codes.get, run, repeat(-1)), np.int32, len(run))
-            missing = np.flatnonzero(codes < 0)
-            if len(missing):
-                self._learn(list(dict.fromkeys(run[k] for k in missing)))
-                codes[missing] = [self.codes[run[k]] for k in missing]
-            cls = self.cls[codes]
-            classes.append(cls)
-            within += float((self.log_n[codes] - self.log_tokens[cls]).sum())
-            rare.append(self.word[codes[self.rare[codes]]])
-        if not classes:
-            return np.zeros(0, np.uint8), 0.0, np.zeros(0, np.int64)
-        return np.concatenate(classes), within, np.concatenate(rare)
+            here = slice(start, start + CHUNK)
+            codes = self.codes_of(tokens[here])
+            classes[here], rare[here], word[here] = self.cls[codes], self.rare[codes], self.word[codes]
+            within[:-1][here] = self.log_n[codes] - self.log_tokens[classes[here]]
+        out, start = [], 0
+        for end in ends.tolist():
+            out.append((classes[start:end].tobytes(), float(within[start:end].sum()), word[start:end][rare[start:end]]))
+            start = end
+        return out
 
 
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def counted(counter: Counter) -> Iterator[pa.RecordBatch]:
-        return tx.in_batches(((word_id(w), ending(w), min(len(w), LENGTHS), n) for w, n in counter.items()), _COUNT, 65536)
+        words, n = list(counter), np.fromiter(counter.values(), np.int64, len(counter))
+        lengths = np.minimum(np.fromiter(map(len, words), np.int32, len(words)), LENGTHS)
+        whole = pa.RecordBatch.from_arrays([pa.array(word_ids(words)), pa.array(endings(words)), pa.array(lengths), pa.array(n)], schema=_COUNT)
+        for start in range(0, len(words), 65536):
+            yield whole.slice(start, 65536)
 
     counter: Counter = Counter()
     for batch in batches:
@@ -161,6 +174,9 @@ def vocabulary(counts: DataFrame, frequent_share: int = FREQUENT) -> Vocabulary:
     tokens = np.zeros(WORDS + ENDINGS + LENGTHS)
     tokens[:len(top)] = list(first.values())
     top_class, end_class = {w: k for k, w in enumerate(top)}, {e: WORDS + k for k, e in enumerate(ends)}
+    by_ending = np.full(1 << 16, -1, np.int32)
+    for e, k in end_class.items():
+        by_ending[e] = k
     group = F.when(F.col("ending").isin(ends), F.col("ending")).otherwise(-F.col("length")) if ends else -F.col("length")
     for r in others.groupBy(group.alias("g")).agg(F.sum("n").alias("n")).collect():
         tokens[end_class[r["g"]] if r["g"] in end_class else WORDS + ENDINGS - r["g"] - 1] += r["n"]
@@ -169,22 +185,27 @@ def vocabulary(counts: DataFrame, frequent_share: int = FREQUENT) -> Vocabulary:
     ids, n = (np.asarray(frequent.column(c).to_numpy(), np.int64) for c in ("word", "n"))
     order = np.argsort(ids)
     ids, n = ids[order], n[order]
-    return Vocabulary(top_class, end_class, tokens, ids, n.astype(np.float64))
+    return Vocabulary(top_class, by_ending, tokens, ids, n.astype(np.float64))
 
 
 def _read(words: Broadcast):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = words.value.reader()
+
+        def taken(kept: list[tuple]) -> pa.RecordBatch:
+            """Texts of about `CHUNK` words together, or one longer text."""
+            read = zip(kept, reader.read([tokens for _, _, tokens in kept]))
+            return tx.to_batch([(row, doc_id, len(tokens), cls, within, rare) for (row, doc_id, tokens), (cls, within, rare) in read], _READ)
+
         for batch in batches:
-            found, held = [], 0
+            kept, held = [], 0
             for row, doc_id, body in tx.rows(batch, "row", "doc_id", "text"):
-                cls, within, rare = reader.read(tx.words(body))
-                found.append((row, doc_id, len(cls), cls.tobytes(), within, rare))
-                held += len(cls)
-                if held >= 1 << 20:
-                    yield tx.to_batch(found, _READ)
-                    found, held = [], 0
-            yield tx.to_batch(found, _READ)
+                kept.append((row, doc_id, tx.words(body)))
+                held += len(kept[-1][2])
+                if held >= CHUNK:
+                    yield taken(kept)
+                    kept, held = [], 0
+            yield taken(kept)
 
     return read
 
@@ -217,6 +238,11 @@ class Network:
             at += n
         return out
 
+    @staticmethod
+    def tame(w2: np.ndarray, b2: np.ndarray) -> bool:
+        """Whether no exponential can overflow."""
+        return float((np.abs(w2).sum(axis=0) + np.abs(b2)).max()) < 80
+
     def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         embed, w1, b1, _, _ = self.parts(self.flat)
         x = embed[around].reshape(len(around), -1)
@@ -243,7 +269,7 @@ class Network:
         logits = np.tanh(h, out=h) @ w2
         logits += b2
         chosen = logits[np.arange(n), np.minimum(padded[SIDE:SIDE + n], self.classes - 1)]
-        if float((np.abs(w2).sum(axis=0) + np.abs(b2)).max()) < 80:  # no exponential can overflow
+        if self.tame(w2, b2):
             return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
         top = logits.max(axis=1)
         logits -= top[:, None]
@@ -252,8 +278,11 @@ class Network:
     def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         _, w1, _, w2, b2 = self.parts(self.flat)
         x, h = self.hidden(around)
-        logits = h @ w2 + b2
-        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        logits = h @ w2
+        logits += b2
+        if not self.tame(w2, b2):
+            logits -= logits.max(axis=1, keepdims=True)
+        p = np.exp(logits, out=logits)
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(target)), target] -= 1
         p /= len(target)

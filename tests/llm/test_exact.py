@@ -193,19 +193,20 @@ def test_training_beats_word_frequencies(spark):
     mixed_up = [(k, " ".join(rng.sample(t.split(), len(t.split())))) for k, t in lines[:100]]
     words = pseudolikelihood.vocabulary(pseudolikelihood.word_counts(docs))
     net = pseudolikelihood.fit(pseudolikelihood.read(docs, words), words.size)
-    read = words.reader().read
-    good = np.mean([pseudolikelihood.document_score(net, read(text.words(t))[0]) for _, t in lines[:100]])
-    bad = np.mean([pseudolikelihood.document_score(net, read(text.words(t))[0]) for _, t in mixed_up])
+    read = lambda t: np.frombuffer(words.reader().read([text.words(t)])[0][0], np.uint8)
+    good = np.mean([pseudolikelihood.document_score(net, read(t)) for _, t in lines[:100]])
+    bad = np.mean([pseudolikelihood.document_score(net, read(t)) for _, t in mixed_up])
     assert good / 120 > -0.7 and good > bad + 50
 
 
 def _pseudo_likelihood_by_hand(net, words, counts: Counter, body: str) -> float:
     """Class by class from the neighbours, word by word from the counts, one token at a time."""
     tokens = body.lower().encode().split()
-    cls = [words.class_of(t) for t in tokens]
+    of = lambda some: words.classes(some, pseudolikelihood.word_ids(some)).tolist()
+    cls = of(tokens)
     in_class = Counter()
-    for w, n in counts.items():
-        in_class[words.class_of(w)] += n
+    for c, n in zip(of(list(counts)), counts.values()):
+        in_class[c] += n
     embed, w1, b1, w2, b2 = net.parts(net.flat.astype(np.float64))
     padded = [words.size] * 3 + cls + [words.size] * 3
     total = 0.0
