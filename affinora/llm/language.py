@@ -1,11 +1,12 @@
 """Language ID by prediction by partial matching: one byte context tree per language, exact code lengths under frozen counts.
 
-A text is read as bytes of its lower-case form over an alphabet of at most `SYMBOLS` symbols: the most frequent bytes of the
-training rows have one each, all others share the last. A language's tree holds what followed each context of up to `ORDER`
+A text is read as bytes of its lower-case form: every byte that occurs in the training rows is a symbol, all others share the last. A language's tree holds what followed each context of up to `ORDER`
 symbols. A symbol seen in the longest context that the tree has costs -log2 of its share there; one unseen there pays the
 escape (method C: as many escapes as the context has different symbols) and is coded in the next shorter context among the symbols not excluded
 already, down to equal shares. The shares of every context therefore add up to 1, and the sum of a text's costs is the exact length
-of its PPM code. The language with the shortest code wins, and its score is its share of 2^-length over all languages.
+of its PPM code. The language with the shortest code wins. Its score is its share of 2^-length over all languages and a background without
+context: `LEARNED` of the training rows' byte shares, the rest equal shares of all bytes. A text of random letters or of a language never learned is
+shorter under the background than under any tree, so it scores near 0.
 
 The trees are frozen after one pass over a bounded sample of labelled rows (`SAMPLE_PER_LANG`, whole texts), counted in Spark. Scoring reads
 every whole text with two table look-ups a byte.
@@ -29,7 +30,8 @@ from affinora.llm.cut import bounded_batches
 
 UNKNOWN = "und"
 ORDER = 3
-SYMBOLS = 64
+#: Part of the background that follows the bytes of the training rows; the rest is spread over all 256 bytes.
+LEARNED = 15 / 16
 #: Labelled documents that a language's tree is counted from.
 SAMPLE_PER_LANG = 2500
 #: Bytes that are scored at a time: bounds the memory of a task whatever the length of a text.
@@ -92,7 +94,8 @@ class Trees:
         self.langs = sorted(names)
         owner = np.array([self.langs.index(x) for x in names], np.int64)[coded.indices.to_numpy()]
         often = np.bincount(code & 255, weights=n, minlength=256)
-        alphabet = [b for b in np.argsort(-often, kind="stable")[:SYMBOLS - 1] if often[b] > 0]
+        self.background = -np.log2(LEARNED * often / max(often.sum(), 1) + (1 - LEARNED if often.any() else 1.0) / 256)
+        alphabet = np.flatnonzero(often)
         self.symbol = np.full(256, len(alphabet), np.int32)
         self.symbol[alphabet] = np.arange(len(alphabet))
         s = self.size = len(alphabet) + 1
@@ -100,22 +103,28 @@ class Trees:
         for k in range(ORDER, -1, -1):
             packed = packed * s + self.symbol[code >> 8 * k & 255]
         contexts = np.unique(packed // s)
-        # The table's first rows are the contexts one symbol shorter, which stand in where a longer one was never seen.
+        # The table's first rows are all contexts of one symbol, then come those seen one symbol short of the longest: each stands in
+        # where a longer one was never seen.
         short = s ** (ORDER - 1)
-        self.row = np.tile(np.arange(short, dtype=np.int32), s)
-        self.row[contexts] = short + np.arange(len(contexts), dtype=np.int32)
-        self.bits = np.empty(((short + len(contexts)) * s, len(self.langs)), np.float32)
+        shorter = np.unique(packed // s % short)
+        stand_in = (np.arange(short) % s).astype(np.int32)
+        stand_in[shorter] = s + np.arange(len(shorter), dtype=np.int32)
+        self.row = np.tile(stand_in, s)
+        self.row[contexts] = s + len(shorter) + np.arange(len(contexts), dtype=np.int32)
+        self.bits = np.empty(((s + len(shorter) + len(contexts)) * s, len(self.langs)), np.float32)
         for k in range(len(self.langs)):
             mine = owner == k
             shares = np.full((1, s), 1.0 / s)
             for order in range(ORDER):
                 tail = np.bincount(packed[mine] % s ** (order + 1), weights=n[mine], minlength=s ** (order + 1)).reshape(-1, s)
                 shares = _shares(tail, np.tile(shares, (len(tail) // len(shares), 1)))
+                if order == 1:
+                    single = shares
             place = np.searchsorted(contexts, packed[mine] // s)
             longest = np.zeros((len(contexts), s))
             np.add.at(longest, (place, packed[mine] % s), n[mine])
             longest = _shares(longest, shares[contexts % short])
-            self.bits[:, k] = -np.log2(np.vstack([shares, longest])).ravel()
+            self.bits[:, k] = -np.log2(np.vstack([single, shares[shorter], longest])).ravel()
 
     def code_lengths(self, texts: list[str]) -> np.ndarray:
         """Bits of each text under each language."""
@@ -150,13 +159,19 @@ class Trees:
             sums = np.add.reduceat(np.vstack([costs, np.zeros((1, costs.shape[1]), np.float32)]), bounds, axis=0, dtype=np.float64)[::2]
             np.add.at(out, np.array(owners)[keep], sums)
 
+    def background_lengths(self, texts: list[str]) -> np.ndarray:
+        """Bits of each text without context."""
+        return np.array([np.bincount(read_bytes(body)[ORDER:], minlength=256) @ self.background for body in texts])
+
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out = [(UNKNOWN, 0.0)] * len(texts)
         known = [i for i, x in enumerate(texts) if has_letter(x)] if self.langs else []
         if known:
-            bits = self.code_lengths([texts[i] for i in known])
-            odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0))
-            share = odds.max(axis=1) / odds.sum(axis=1)
+            bodies = [texts[i] for i in known]
+            bits = self.code_lengths(bodies)
+            best_bits = bits.min(axis=1)
+            rivals = np.column_stack([bits, self.background_lengths(bodies)])
+            share = 1 / np.exp2(np.clip(best_bits[:, None] - rivals, -1000.0, 1000.0)).sum(axis=1)
             for i, best, p in zip(known, bits.argmin(axis=1).tolist(), share.tolist()):
                 out[i] = (self.langs[best], p)
         return out
@@ -198,6 +213,8 @@ def languages(docs: DataFrame) -> DataFrame:
 
 
 def known_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose language is known with a score of `least` or more, with all their columns."""
+    """The rows of docs whose language is known with a score of `least` or more, with all their columns.
+
+    Texts without letters go, and those that the background explains better than the trees: junk, and languages never learned."""
     found = predicted(fit(docs), docs, docs["text"])
     return docs.filter((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))

@@ -490,3 +490,18 @@ def test_second_readings_have_positions(spark, small):
     assert any(r.n_readings == 2 for r in rows)
     assert all((r.n_readings == 2) == (r.position != r.last_position) for r in rows if r.n_readings)
     assert all(r.n_readings == 2 for r in rows if r.taken > r["size"])
+
+
+def test_language_stage_rejects_what_no_tree_explains(spark, small):
+    """Junk and languages never learned go; documents of the learned ones stay, mixed scripts have symbols of their own."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    odd = ["これは日本語の文章です。今日は天気がいいですね。", "xkq vbn zzt qwr plm wxq bgt hhj kkl zxv qpd fgh",
+           "Ten nowy dom stoi przy drodze i nikt w nim nie mieszka od wielu lat, bo dach przecieka", "12 34 -- 56", ""]
+    rows = docs.unionByName(spark.createDataFrame([(10 ** 9 + k, x, None) for k, x in enumerate(odd)], docs.schema))
+    kept = {r.doc_id for r in language.known_documents(rows).select("doc_id").collect()}
+    assert not any(k >= 10 ** 9 for k in kept)
+    with_letters = {r.doc_id for r in docs.collect() if language.has_letter(r.text)}
+    assert len(with_letters - kept) <= len(with_letters) // 200
+    learned = language.fit(spark.createDataFrame([(k, x, lang) for k, (x, lang) in enumerate([(odd[0] * 9, "ja"), ("доброе утро, как дела " * 9, "ru")] * 8)], docs.schema))
+    assert learned.size - 1 == len(set(language.read_bytes(odd[0] + "доброе утро, как дела ").tolist()))
+    assert [p[0] for p in learned.predict([odd[0], "как дела утро"])] == ["ja", "ru"]
