@@ -7,11 +7,18 @@ stay, others become optional, repeated on either side stays repeated, text becom
 mismatch deep in one place leaves the rest alone. An expression has no unions; a level whose order varies without end is
 written as optional repeated groups in order of appearance (`LONGEST`).
 
-For each slot the wrapper keeps the number of pages, characters, characters in links, and a sketch of how many different texts it
-held. Slots in navigation, headers, footers, side columns, forms, scripts, adverts, notices and comments (by tag, class or id) never
-hold main text. If pages of the host have an article (or main) part, its slots do. Otherwise all slots do but those of template text
-(which hardly differs between pages that differ) and of links. A page that would come out empty keeps its other text
-outside such parts.
+For each slot the wrapper keeps the number of pages, texts, characters, characters in links, and a sketch of how many different texts it
+held. What a slot is follows from its place in the expression: fixed (every page has it) or optional, single or repeated; and from its texts: a slot
+is template text if at least four different pages have it and its texts hardly differ. Template slots don't hold main text. Within
+an article (or main) part a slot must be fixed there and hold the same texts on every page to be one: values that
+recur, and remarks on some pages, stay. Elsewhere a tenth as many different texts as expected of its pages, each with as many
+texts as a repeated slot has on a page, makes template text, and slots of links don't hold main text either.
+
+Names break the ties: navigation, headers, footers, side columns, forms, scripts, adverts, notices and comments (by tag, class or id) never
+hold main text; names that an article may use for paragraphs of its own (`WEAK`) leave the decision to the expression there, and count as
+the former if it can't tell (fewer than four different pages). If a page has an article part, its slots are the main text, with a
+heading (h1) before or after it if the article has none; otherwise all other slots are. An article of template text alone keeps
+it, and a page that would come out empty keeps its other text outside such parts.
 
 Pages are parsed where they lie; wrappers are merged per task, then per host and part, then per host, so that a large host is no large group.
 Defined results: null or empty html has no text; a null or odd url is the host ''; a page cut off anywhere is read as if its elements ended
@@ -32,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinora.llm import text as tx
-from affinora.llm.cut import bounded_batches
+from affinora.llm.cut import bounded_batches, cut
 
 #: Items of one level of a wrapper before its order is given up.
 LONGEST = 60
@@ -40,6 +47,8 @@ LONGEST = 60
 SKETCH = 48
 #: Hosts that a task holds before it hands their wrappers on, and parts of a host's wrappers that are merged first.
 HOSTS, PARTS = 2000, 64
+#: Largest size of all hosts' slots that is broadcast; beyond it each host's pages are dealt to `SALTS` tasks.
+BROADCAST_BYTES, SALTS = 32 << 20, 32
 
 # Tags and words of names.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data dfn del em font i img ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
@@ -51,25 +60,30 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "thead", "tbody", "tfoot"}, "td": {"tr"}, "th": {"tr"}, "option": {"select"}, "tbody": {"table"}}
 MAIN_NAMES = frozenset(("main", "article", "post-content", "entry-content", "article-body", "articlebody", "post-body", "story-body"))
 NOISE = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|sidebar|side|rail|widget\w*|nav\w*|menu\w*|breadcrumb\w*|footer|foot|header|masthead|topbar|toolbar|"
-    r"comments?|commentlist|replies|reply|respond|disqus\w*|discussion|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search\w*|"
-    r"share|sharing|social|related|recommend\w*|pagination|pager|paywall|copyright|legal|disclaimer|skip\w*|tags?|hidden)(?:$|[-_ ])")
+    r"(?:^|[-_ ])(?:ads?|advert\w*|adsense|adslot|sponsor\w*|promo\w*|banner|sidebar|widget\w*|nav\w*|menu\w*|breadcrumb\w*|footer|header|masthead|topbar|toolbar|"
+    r"comments?|commentlist|replies|reply|respond|disqus\w*|cookies?|consent|gdpr|notices?|popup|modal|overlay|newsletter|subscribe|signup|login|"
+    r"share|sharing|related|recommend\w*|pagination|pager|paywall|copyright|skip\w*|hidden)(?:$|[-_ ])")
+WEAK = re.compile(r"(?:^|[-_ ])(?:side|rail|foot|discussion|alert|search\w*|social|legal|disclaimer|tags?)(?:$|[-_ ])")
+HEADING = re.compile(r"/h1(?:[.#][^/]*)?$")
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<shut>>|\Z)|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*(?:>|\Z)|[^<]+|<", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?P<shut>>|\Z)|<[!?][^>]*(?:>|\Z)|<[a-zA-Z/][^>]*(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
-def signature(name: str, rest: str) -> tuple[str, bool]:
-    """Tag with its first class and id (digits as one #), and whether its names mark something else than main text."""
+def signature(name: str, rest: str, inside: bool = False) -> str:
+    """Tag with its first class and id (runs of digits as one 0), behind the mark of its names: ! is never main text, * a main part, ~ a weak
+    name inside a main part."""
     names = {k.lower(): (a or b or c).lower().split() for k, a, b, c in ATTRIBUTE.findall(rest)} if rest else {}
     out = name
     for kind, mark in (("class", "."), ("id", "#")):
         if names.get(kind):
-            out += mark + re.sub(r"\d+", "0", names[kind][0])[:40]
+            out += mark + re.sub(r"\d+", "0", names[kind][0])
     role = names.get("role", [""])[0]
-    noise = any(NOISE.search(n) for kind in ("class", "id") for n in names.get(kind, [])) or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
-    main = name in ("article", "main") or role in ("main", "article") or any(n in MAIN_NAMES for kind in ("class", "id") for n in names.get(kind, []))
-    return ("!" if noise or name in NOT_TEXT else "*" if main else "") + out, noise
+    called = [n for kind in ("class", "id") for n in names.get(kind, [])]
+    weak = any(WEAK.search(n) for n in called)
+    noise = any(NOISE.search(n) for n in called) or weak and not inside or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
+    main = name in ("article", "main") or role in ("main", "article") or any(n in MAIN_NAMES for n in called)
+    return ("!" if noise or name in NOT_TEXT else "~" if weak else "*" if main else "") + out
 
 
 class Page:
@@ -146,8 +160,8 @@ class Page:
             if name in SIBLINGS:
                 for _ in range(2):
                     self._close(SIBLINGS[name], SCOPES.get(name, set()))
-            sig, _ = signature(name, m["rest"])
             _, node, path = self._stack[-1]
+            sig = signature(name, m["rest"], "/*" in path)
             child: list = [sig, []]
             node[1].append(child)
             self._stack.append((name, child, f"{path}/{sig}"))
@@ -239,11 +253,11 @@ def expression(wrapper: list) -> str:
     """The wrapper as a regular expression over tags, with # for text."""
     kind, items = wrapper
     inner = "".join("#" if i == "#" else (f"({expression(i[2])})" if i[0] or i[1] else expression(i[2])) + ("*" if i[0] and i[1] else "?" if i[0] else "+" if i[1] else "") for i in items)
-    return inner if kind in ("", "(") else f"<{kind.lstrip('!*')}>{inner}</>"
+    return inner if kind in ("", "(") else f"<{kind.lstrip('!*~')}>{inner}</>"
 
 
 class Host:
-    """Wrapper of a host and what its slots held: path to [pages, characters, in links, smallest hashes of texts, and of pages]."""
+    """Wrapper of a host and what its slots held: path to [pages, characters, in links, smallest hashes of texts, and of pages, texts]."""
 
     def __init__(self, wrapper: list | None = None, pages: int = 0, slots: dict[str, list] | None = None) -> None:
         self.wrapper, self.pages, self.slots = wrapper, pages, slots or {}
@@ -255,10 +269,11 @@ class Host:
         seen = set()
         whole = xxhash.xxh32_intdigest("\n".join(f"{path} {body}" for path, body, _ in page.texts if "/!" not in path))
         for path, body, links in page.texts:
-            slot = self.slots.setdefault(path, [0, 0, 0, [], []])
+            slot = self.slots.setdefault(path, [0, 0, 0, [], [], 0])
             slot[0] += path not in seen
             slot[1] += len(body)
             slot[2] += min(links, len(body))
+            slot[5] += 1
             seen.add(path)
             _remember(slot[3], xxhash.xxh32_intdigest(body))
             _remember(slot[4], whole)
@@ -266,9 +281,9 @@ class Host:
     def add(self, other: Host) -> None:
         self.wrapper = other.wrapper if self.wrapper is None else merge(self.wrapper, other.wrapper) if other.wrapper else self.wrapper
         self.pages += other.pages
-        for path, (pages, chars, links, hashes, wholes) in other.slots.items():
-            slot = self.slots.setdefault(path, [0, 0, 0, [], []])
-            slot[0], slot[1], slot[2] = slot[0] + pages, slot[1] + chars, slot[2] + links
+        for path, (pages, chars, links, hashes, wholes, texts) in other.slots.items():
+            slot = self.slots.setdefault(path, [0, 0, 0, [], [], 0])
+            slot[0], slot[1], slot[2], slot[5] = slot[0] + pages, slot[1] + chars, slot[2] + links, slot[5] + texts
             for h in hashes:
                 _remember(slot[3], h)
             for h in wholes:
@@ -281,31 +296,43 @@ class Host:
     def loads(cls, stored: str) -> Host:
         return cls(*json.loads(stored))
 
-    def paths(self) -> list[str]:
-        """Every slot that the expression leads to, as a path."""
-        out: dict[str, None] = {}
+    def marks(self) -> dict[str, tuple[bool, bool]]:
+        """Every slot that the expression leads to, as a path: whether all its places are optional (within its main part, if it is in one), and
+        whether one is repeated."""
+        out: dict[str, tuple[bool, bool]] = {}
 
-        def walk(wrapper: list, path: str) -> None:
+        def walk(wrapper: list, path: str, optional: bool, repeated: bool) -> None:
             for item in wrapper[1]:
                 if item == "#":
-                    out[path] = None
-                else:
-                    walk(item[2], path if item[2][0] == "(" else f"{path}/{item[2][0]}")
+                    before = out.get(path, (True, False))
+                    out[path] = (before[0] and optional, before[1] or repeated)
+                    continue
+                kind = item[2][0]
+                main = kind.startswith("*")
+                walk(item[2], path if kind == "(" else f"{path}/{kind}", (optional or item[0]) and not main, (repeated or item[1]) and not main)
 
         if self.wrapper:
-            walk(self.wrapper, "")
-        return list(out)
+            walk(self.wrapper, "", False, False)
+        return out
 
     def main_slots(self) -> dict[str, int]:
-        """Slots of main text: 2 within an article or main part, 1 elsewhere."""
-        open_paths = [p for p in self.paths() if "/!" not in p and p in self.slots]
-        out = {p: 2 for p in open_paths if "/*" in p}
-        for p in open_paths:
-            _, chars, links, hashes, wholes = self.slots[p]
-            different = _different(wholes)  # copies of a page are one page
-            constant = different >= 4 and _different(hashes) <= max(1, different // 10)
-            if p not in out and not constant and links * 2 <= chars:
-                out[p] = 1
+        """What slots hold: 2 main text of an article or main part, 3 a heading outside, 1 main text elsewhere; -2 template text of a main part,
+        -1 what stands under a weak name there and isn't main text."""
+        out: dict[str, int] = {}
+        for p, (optional, repeated) in self.marks().items():
+            if "/!" in p or p not in self.slots:
+                continue
+            pages, chars, links, hashes, wholes, texts = self.slots[p]
+            different, kinds = _different(wholes), _different(hashes)  # copies of a page are one page
+            on_a_page = texts / pages if repeated else 1
+            same = kinds <= max(1, on_a_page)
+            alike = kinds <= max(1, on_a_page, different * on_a_page // 10)
+            if "/~" in p:
+                out[p] = 2 if different >= 4 and not alike and links * 2 <= chars else -1
+            elif "/*" in p:
+                out[p] = -2 if different >= 4 and same and not optional else 2
+            elif not (different >= 4 and alike) and links * 2 <= chars:
+                out[p] = 3 if HEADING.search(p) else 1
         return out
 
 
@@ -357,16 +384,27 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
 
 def main_text(source: str | None, slots: dict[str, int]) -> str:
     """Blocks of a page in its host's main slots, those in an article alone if it has one; else all outside noise."""
-    blocks = [(slots.get(path, 0), body) for path, body, _ in Page(source).texts if "/!" not in path]
-    most = max((k for k, _ in blocks), default=0)
-    return "\n".join(body for k, body in blocks if k == most)
+    blocks = [(slots.get(path, 0), path, body) for path, body, _ in Page(source).texts if "/!" not in path]
+    found = {k for k, _, _ in blocks}
+    if 2 in found:
+        titled = any(k == 2 and HEADING.search(path) for k, path, _ in blocks)
+        kept = {2} if titled else {2, 3}
+    else:
+        kept = {-2} if -2 in found else {1, 3} if found & {1, 3} else {0}
+    return "\n".join(body for k, _, body in blocks if k in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of pages: page_id, url, text, n_chars."""
     bounded_batches(pages)
-    slots = host_wrappers(pages).withColumn("slots", F.pandas_udf(_slots, "string")("wrapper")).select("host", "slots")
-    rows = _with_host(pages).join(slots, "host", "left")
+    slots = cut(host_wrappers(pages).withColumn("slots", F.pandas_udf(_slots, "string")("wrapper")).select("host", "slots"))
+    size = slots.agg(F.sum(F.octet_length("host") + F.octet_length("slots"))).first()[0] or 0
+    rows = _with_host(pages)
+    if size <= BROADCAST_BYTES:
+        rows = rows.join(F.broadcast(slots), "host", "left")
+    else:  # a host of many pages meets its slots in several tasks
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(slots.withColumn("salt", F.explode(salts)), ["host", "salt"], "left")
     rows = rows.select("page_id", "url", F.pandas_udf(_extract, "string")("html", "slots").alias("text"))
     return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 

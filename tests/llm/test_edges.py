@@ -195,6 +195,40 @@ def test_pages_keep_their_text():
     assert texts([post.format("post", f"text {k}") for k in range(20)] + ["<div class=top>Welcome</div><nav>x</nav>", "<nav>x</nav>"])[20:] == ["Welcome", ""]
 
 
+def test_slots_by_the_expression(spark, monkeypatch):
+    def texts(sources):
+        host = wrappers.Host()
+        for source in sources:
+            host.read(wrappers.Page(source))
+        slots = host.main_slots()
+        return [wrappers.main_text(source, slots) for source in sources]
+
+    # Template text inside an article goes where every page has it; remarks on some pages and values that recur stay.
+    post = "<article><h1>T{0}</h1><p>word {0}<p>more {0}<div class=bio>About the author: Jane</div><div class=call>Ring us today</div>{1}<ul><li>{2}</ul></article>"
+    pages = [post.format(k, "<div class=fix>Corrected</div>" if k % 3 == 0 else "", "yes" if k % 2 else "no") for k in range(20)]
+    assert texts(pages) == [f"T{k}\nword {k}\nmore {k}" + ("\nCorrected" if k % 3 == 0 else "") + ("\nyes" if k % 2 else "\nno") for k in range(20)]
+    # A heading before the article is its title if it has none, and isn't where it is the same everywhere.
+    assert texts([f"<h1>Title {k}</h1><article><p>text {k}</article>" for k in range(9)]) == [f"Title {k}\ntext {k}" for k in range(9)]
+    assert texts([f"<h1>Site</h1><article><p>text {k}</article>" for k in range(9)]) == [f"text {k}" for k in range(9)]
+    assert texts(["<h1>Title</h1><article><p>text</article>"]) == ["Title\ntext"]
+    # An apostrophe in a bare value quotes nothing; one after = does.
+    assert texts(["<p data-x=it's>It is Bob's house and garden</p><p>second</p><p title='a>b' x = \"c>d\">third"]) == ["It is Bob's house and garden\nsecond\nthird"]
+    # Weak names in an article: varying text stays, template text and what few pages show go.
+    weak = "<article><p>text {0}</p><div class=legal><p>The court said {0}</div><div class=alert>Beware</div></article>"
+    assert texts([weak.format(k) for k in range(9)]) == [f"text {k}\nThe court said {k}" for k in range(9)]
+    assert texts([weak.format(1)]) == ["text 1"]
+    # An article of template text alone keeps it.
+    assert texts([f"<div>{k}</div><article><p>Closed</article>" for k in range(9)]) == ["Closed"] * 9
+    # Classes alike in their first 40 characters are different slots.
+    long = "c" * 40
+    assert texts([f"<div class={long}x>text {k}</div><div class={long}y>Welcome</div>" for k in range(9)]) == [f"text {k}" for k in range(9)]
+    # Slots too large to broadcast: salted, with the same rows.
+    rows = spark.createDataFrame([(k, "http://h/x", p) for k, p in enumerate(pages)] + [(None, None, None)], "page_id long, url string, html string")
+    small = wrappers.extract(rows).collect()
+    monkeypatch.setattr(wrappers, "BROADCAST_BYTES", -1)
+    assert sorted(map(str, wrappers.extract(rows).collect())) == sorted(map(str, small))
+
+
 def test_late_batches_after_a_compaction(spark, tmp_path):
     store = rollups.Store(spark, str(tmp_path / "s"))
     one = spark.createDataFrame([("insert", "a", "en", "v1", 10, None)], "op string, source string, lang string, tokenizer string, n_tokens long, old_tokens long")
