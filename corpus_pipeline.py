@@ -19,7 +19,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a known language go."""
+    """Documents without a known language go: no letters, junk, or a language never learned."""
     return language.known_documents(docs)
 
 
@@ -46,7 +46,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", mixing_stage),
 ]
 
-#: SQL can express neither the learned classifier nor the trained trees; tests hold run() against a brute-force version.
+#: SQL can express neither the learned classifier nor the trained trees; a test holds the kept ids of run() over a small table against a literal list.
 ORACLE_SQL = None
 
 
