@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_module
+from affinora.fixtures import Fixtures
 
 
 def planned_broadcasts(df):
@@ -32,3 +33,12 @@ def test_only_fixed_tables_are_broadcast_by_plan(spark, small, name):
     for below in planned_broadcasts(entry_module.queries()[name](spark, small)):
         tables = set(re.findall(r"/(\w+)\.parquet", below))
         assert tables and tables <= {"nation", "region"}, below
+
+
+def test_part_rows_are_dealt_to_all_tasks(spark, small):
+    """One small file is one scan task; the rows that views make of it must not stay in that task."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert tasks > 1
+    fx = Fixtures(spark, small)
+    for view in ("product", "sku_attribute", "live_mapping", "logo_payload", "raw_config"):
+        assert fx.view(view).rdd.getNumPartitions() == tasks, view
