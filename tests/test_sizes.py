@@ -42,3 +42,10 @@ def test_part_rows_are_dealt_to_all_tasks(spark, small):
     fx = Fixtures(spark, small)
     for view in ("product", "sku_attribute", "live_mapping", "logo_payload", "raw_config"):
         assert fx.view(view).rdd.getNumPartitions() == tasks, view
+
+
+def test_pairs_are_ranked_where_they_lie(spark, small):
+    """The pairs come out of the joins dealt by source: neither ranking shuffles them again."""
+    plan = entry_module.queries()["rank_substitutes"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(source#\d+,", plan)
+    assert not re.search(r"hashpartitioning\(source#\d+, target_product_key#", plan)
