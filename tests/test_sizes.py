@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from affinora.fixtures import Fixtures
+from affinora.operators import cooccurrence
 
 
 def planned_broadcasts(df):
@@ -49,3 +50,23 @@ def test_pairs_are_ranked_where_they_lie(spark, small):
     plan = entry_module.queries()["rank_substitutes"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(source#\d+,", plan)
     assert not re.search(r"hashpartitioning\(source#\d+, target_product_key#", plan)
+
+
+def test_pairs_bring_the_totals_of_their_articles(spark):
+    """Directed rules are far more than baskets' rows: they meet no join, and pairs read rows that are written once."""
+    rows = [("A" if b % 2 else "B", b, (b * 7 + i * 3) % 90) for b in range(40) for i in range(60 if b < 3 else 4)]
+    df = spark.createDataFrame(rows, "segment string, basket int, item int")
+    for tile in (8, 512):
+        rules = cooccurrence.association_rules(df, "segment", "basket", "item", 1, 1, tile)
+        plan = rules._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Join[^\n]*\[segment#\d+, (source|target)#", plan)
+        assert "Scan ExistingRDD" in plan and "LocalTableScan" not in plan
+        total = {(r.segment, r.item): r for r in cooccurrence.item_totals(cooccurrence.distinct_members(df, "segment", "basket", "item")).collect()}
+        for r in rules.collect():
+            assert (r.source_baskets, r.support) == (total[r.segment, r.source].item_baskets, total[r.segment, r.target].support)
+
+
+def test_borrowed_lists_are_shuffled_once(spark, small):
+    """The lists that articles without one borrow are most of the rows: they know their targets' categories, so only the source's join and the ranking move them."""
+    plan = entry_module.queries()["fbt_final_lists"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Join[^\n]*\[locale#\d+, target#", plan[: plan.index("Union")])
