@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinora.catalog.common import tidy
+from affinora.catalog.common import stage, tidy
 from affinora.operators import merge
 from affinora.plans import industry as I
 
@@ -24,14 +24,14 @@ def _keys(fx):
 
 
 def _orders(fx):
-    lines = fx.order_line.select(F.upper("region").alias("locale"), "customer_id", "product_key")
+    lines = fx.order_line_rows.select(F.upper("region").alias("locale"), "customer_id", "product_key")
     users = fx.customer_profile.filter("confidence_rank <= 8").select("customer_id", "user_id", "industry")
     return I.order_events(lines.join(users, "customer_id"), fx.product.select("product_key", "item"))
 
 
 def _index(fx, kind):
     if kind == "order":
-        base = _orders(fx)
+        base = stage(fx, "orders", _orders)
         return I.over_index(I.uptake_region_industry_product(base), I.uptake_region_product(base))
     base = _base(fx, kind)
     return I.over_index(I.uptake_region_industry_product(base), I.uptake_region_product(base), _keys(fx))
@@ -104,7 +104,7 @@ def _add(name, fn, sql):
 
 for _kind in ("view", "cart", "order"):
     def _b(fx, kind=_kind):
-        return _orders(fx) if kind == "order" else _base(fx, kind)
+        return stage(fx, "orders", _orders) if kind == "order" else _base(fx, kind)
     _add(f"industry_uptake_region_{_kind}", lambda fx, b=_b: _show(I.uptake_region_product(b(fx))),
          f"select locale, item, item_users, segment_users, pct / 100 as percent from ({uptake_sql(_kind, ['locale'])}) u")
     _add(f"industry_uptake_segment_{_kind}", lambda fx, b=_b: _show(I.uptake_region_industry_product(b(fx))),

@@ -70,3 +70,8 @@ def test_borrowed_lists_are_shuffled_once(spark, small):
     """The lists that articles without one borrow are most of the rows: they know their targets' categories, so only the source's join and the ranking move them."""
     plan = entry_module.queries()["fbt_final_lists"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Join[^\n]*\[locale#\d+, target#", plan[: plan.index("Union")])
+
+
+def test_order_uptake_reads_orders_once(spark, small):
+    plan = entry_module.queries()["industry_over_index_order"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "Scan ExistingRDD" in plan
