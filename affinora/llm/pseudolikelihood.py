@@ -42,6 +42,11 @@ SIDE, WIDTH, HIDDEN = 3, 8, 24
 ROUNDS, BATCH, RATE = 2, 512, 0.01
 #: Distinct words that a task remembers, and tokens that are read, trained or scored at a time.
 COUNTED, CHUNK = 150_000, 1 << 15
+#: Places that the network scores at a time.
+ROWS = 1024
+#: Steps of hidden units and of weights when scoring. A float64 holds the sum of their products exactly (up to 2^11), so it does not
+#: depend on the order in which the machine adds, and that on a row's place: equal texts get equal scores.
+UNIT_STEP, WEIGHT_STEP = 2.0 ** -22, 2.0 ** -20
 #: Steps of a sum of logarithms.
 UNIT = 1e9
 
@@ -263,37 +268,54 @@ class Network:
         """
         embed, w1, b1, w2, b2 = self.parts(self.flat)
         n = len(padded) - 2 * SIDE
-        h = np.broadcast_to(b1, (n, HIDDEN)).copy()
-        for k, step in enumerate(j for j in range(2 * SIDE + 1) if j != SIDE):
-            h += (embed @ w1[k * WIDTH:(k + 1) * WIDTH])[padded[step:step + n]]
-        logits = np.tanh(h, out=h) @ w2
-        logits += b2
-        chosen = logits[np.arange(n), np.minimum(padded[SIDE:SIDE + n], self.classes - 1)]
-        if self.tame(w2, b2):
-            return chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-        return chosen - top - np.log(np.exp(logits, out=logits).sum(axis=1))
+        tables = [embed @ w1[k * WIDTH:(k + 1) * WIDTH] for k in range(2 * SIDE)]
+        steps = [j for j in range(2 * SIDE + 1) if j != SIDE]
+        line = np.concatenate([padded, np.zeros(-n % ROWS, padded.dtype)]).astype(np.intp)
+        tame, ones = self.tame(w2, b2), np.ones(self.classes, np.float32)
+        weights = np.rint(np.vstack([w2, b2]).astype(np.float64) / WEIGHT_STEP) * (WEIGHT_STEP * UNIT_STEP)
+        units = np.full((ROWS, HIDDEN + 1), 1 / UNIT_STEP)  # the last one is the bias
+        h, seen, logits = np.empty((ROWS, HIDDEN), np.float32), np.empty((ROWS, HIDDEN), np.float32), np.empty((ROWS, self.classes), np.float32)
+        exact = np.empty((ROWS, self.classes))
+        out, firsts = np.empty(len(line) - 2 * SIDE, np.float32), np.arange(ROWS) * self.classes
+        for start in range(0, n, ROWS):
+            h[:] = b1
+            for table, step in zip(tables, steps):
+                h += np.take(table, line[start + step:start + step + ROWS], axis=0, out=seen, mode="clip")
+            np.tanh(h, out=h)
+            h *= np.float32(1 / UNIT_STEP)
+            units[:, :HIDDEN] = np.rint(h, out=h)
+            logits[:] = np.matmul(units, weights, out=exact)
+            if not tame:
+                logits -= logits.max(axis=1, keepdims=True)
+            target = np.minimum(line[start + SIDE:start + SIDE + ROWS], self.classes - 1)
+            chosen = logits.ravel().take(firsts + target)
+            out[start:start + ROWS] = chosen - np.log(np.exp(logits, out=logits) @ ones)
+        return out[:n]
 
     def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        _, w1, _, w2, b2 = self.parts(self.flat)
-        x, h = self.hidden(around)
+        embed, w1, b1, w2, b2 = self.parts(self.flat)
+        n = len(target)
+        x = embed.take(around.ravel(), axis=0).reshape(n, -1)
+        h = np.empty((n, HIDDEN + 1), np.float32)
+        h[:, HIDDEN] = 1  # the bias
+        one, h = h, h[:, :HIDDEN]
+        np.tanh(x @ w1 + b1, out=h)
         logits = h @ w2
         logits += b2
         if not self.tame(w2, b2):
             logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits, out=logits)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(target)), target] -= 1
-        p /= len(target)
+        p *= (1 / (n * (p @ np.ones(self.classes, np.float32))))[:, None].astype(np.float32)
+        p.ravel()[np.arange(n) * self.classes + target] -= np.float32(1 / n)
         out = np.zeros_like(self.flat)
         g_embed, g_w1, g_b1, g_w2, g_b2 = self.parts(out)
-        g_w2 += h.T @ p
-        g_b2 += p.sum(axis=0)
+        top = one.T @ p
+        g_w2 += top[:HIDDEN]
+        g_b2 += top[HIDDEN]
         back = p @ w2.T * (1 - h * h)
         g_w1 += x.T @ back
         g_b1 += back.sum(axis=0)
-        cells = around.ravel()[:, None].astype(np.int32) * WIDTH + np.arange(WIDTH, dtype=np.int32)
+        cells = around.ravel()[:, None].astype(np.intp) * WIDTH + np.arange(WIDTH)
         g_embed += np.bincount(cells.ravel(), (back @ w1.T).ravel(), minlength=g_embed.size).reshape(g_embed.shape)
         return out
 
@@ -409,7 +431,7 @@ def _score(net: Broadcast):
                 else:
                     runs.append((row, doc_id, within, ids))
                     held += len(ids)
-                    if held >= 4096:
+                    if held >= 16 * ROWS:
                         flush()
                         held = 0
             flush()

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeats, empty tables and clashing columns: every operator and stage has a defined result."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,20 @@ def test_pseudo_likelihood(docs, none):
     assert pseudolikelihood.scores(none).collect() == []
 
 
+def test_pseudo_likelihood_does_not_depend_on_a_text_s_place():
+    """Matrix kernels may round by the place of a row; before, places differed with OPENBLAS_CORETYPE=Haswell and none did with SkylakeX."""
+    random = np.random.default_rng(3)
+    net = pseudolikelihood.Network(127)
+    net.flat = net.flat + random.standard_normal(len(net.flat)).astype(np.float32) * np.float32(0.2)
+    text = lambda n: pseudolikelihood._padded(random.integers(0, 127, n).astype(np.uint8), 127)
+    one = text(61)
+    alone = net.sequence_log_probs(one)
+    for before in [*range(40), 1000, 16_000]:
+        for after in (0, 1, 7):
+            line = np.concatenate([text(before), one, text(after)])
+            assert np.array_equal(net.sequence_log_probs(line)[before + 6:before + 67], alone)
+
+
 def test_languages(docs, none):
     rows = by_id(language.languages(docs))
     assert [r.lang_pred == "und" for r in rows] == [True, True, True, True] + [False] * 8
