@@ -75,3 +75,23 @@ def test_borrowed_lists_are_shuffled_once(spark, small):
 def test_order_uptake_reads_orders_once(spark, small):
     plan = entry_module.queries()["industry_over_index_order"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "lineitem.parquet" not in plan and "Scan ExistingRDD" in plan
+
+
+def test_features_join_proxies_that_are_written(spark, small):
+    """Proxies inside the plan of the wide table would be planned anew after each of its stages: the driver holds one at a time."""
+    plan = entry_module.queries()["all_features"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "pct_rank" not in plan and plan.count("Scan ExistingRDD") >= 5
+
+
+def test_rated_orders_are_joined_once(spark, small):
+    """Products, groups and prior weights read the same reviews: no plan after them holds the order lines."""
+    from affinora.plans import proxies
+
+    cut = []
+    real = proxies.cut_lineage
+    proxies.cut_lineage = lambda df: cut.append(df._jdf.queryExecution().executedPlan().toString()) or real(df)
+    try:
+        entry_module.queries()["proxy_ratings"](spark, small)
+    finally:
+        proxies.cut_lineage = real
+    assert len(cut) == 2 and "lineitem.parquet" in cut[0] and "lineitem.parquet" not in cut[1]
