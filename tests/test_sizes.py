@@ -77,6 +77,15 @@ def test_order_uptake_reads_orders_once(spark, small):
     assert "lineitem.parquet" not in plan and "Scan ExistingRDD" in plan
 
 
+@pytest.mark.parametrize("name", [
+    "check_count_drift", "check_null_ratio", "engaged_overlap", "engaged_subcategories", "fbt_rules_item", "industry_list_gates", "industry_lists", "industry_over_index_cart",
+])
+def test_larger_tables_are_not_broadcast_by_plan(spark, small, name):
+    for below in planned_broadcasts(entry_module.queries()[name](spark, small)):
+        tables = set(re.findall(r"/(\w+)\.parquet", below))
+        assert tables and tables <= {"nation", "region"}, below
+
+
 def test_features_join_proxies_that_are_written(spark, small):
     """Proxies inside the plan of the wide table would be planned anew after each of its stages: the driver holds one at a time."""
     plan = entry_module.queries()["all_features"](spark, small)._jdf.queryExecution().executedPlan().toString()
