@@ -104,3 +104,29 @@ def test_rated_orders_are_joined_once(spark, small):
     finally:
         proxies.cut_lineage = real
     assert len(cut) == 2 and "lineitem.parquet" in cut[0] and "lineitem.parquet" not in cut[1]
+
+
+@pytest.mark.parametrize("name", ["check_count_drift", "check_null_ratio", "flag_constrained_configs", "fbt_bundle_arrays"])
+def test_exploded_rows_are_not_broadcast_while_running(spark, small, name):
+    """What adaptive execution broadcasts was measured after the explode: its stage lies between a broadcast and an explode."""
+    df = entry_module.queries()[name](spark, small)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("== Final Plan ==") : plan.index("== Initial Plan ==")].split("\n")
+    depth = [re.search(r"[A-Za-z(*]", line).start() if re.search(r"[A-Za-z(*]", line) else -1 for line in final]
+    for i, line in enumerate(final):
+        if "BroadcastExchange" not in line:
+            continue
+        below = []
+        for other, at in zip(final[i + 1 :], depth[i + 1 :]):
+            if at <= depth[i]:
+                break
+            below.append((at, other))
+        if set(re.findall(r"/(\w+)\.parquet", "\n".join(other for _, other in below))) <= {"nation", "region"}:
+            continue
+        stage = None
+        for at, other in below:
+            stage = None if stage is not None and at <= stage else stage
+            if stage is None and "ShuffleQueryStage" in other:
+                stage = at
+            assert stage is not None or "Generate explode" not in other, other
