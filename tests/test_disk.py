@@ -66,3 +66,9 @@ def test_packed_rows_are_compressed_and_read_by_column(spark):
     path = urlparse(session._packed[-1][1]).path
     assert sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path)) < 50000 * 12
     assert "ReadSchema: struct<id:bigint>" in packed.select("id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_items_dataset_joins_packed_stages(spark, small):
+    """Row checkpoints of the base items and proxies, and the shuffles of the dates, lay beside the shuffles of the last step."""
+    plan = entry_module.queries()["items_dataset"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" not in plan and "part.parquet" not in plan
